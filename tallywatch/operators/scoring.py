@@ -23,9 +23,9 @@ def composite(scores: dict[str, Column]) -> Column:
     return half_up(clamp(reduce(lambda a, b: a + b, terms), 0.0, 100.0), 2)
 
 
-def triggered(columns: list[str]) -> Column:
+def triggered(scores: dict[str, Column]) -> Column:
     """Names of the rules with a positive score, in rule order."""
-    names = F.array(*[F.when(F.col(c) > 0, F.lit(c)) for c in columns])
+    names = F.array(*[F.when(value > 0, F.lit(name)) for name, value in scores.items()])
     return F.filter(names, lambda n: n.isNotNull())
 
 
@@ -38,11 +38,10 @@ def score(df: DataFrame, scored_at: Column, keep: tuple[str, ...] = ()) -> DataF
             "scored_at": scored_at.cast("string"),
             "model_version": F.lit(MODEL_VERSION),
             "fraud_score": composite(parts),
-            "rules_triggered": triggered([f"_{r.column}" for r in RULES]),
+            "rules_triggered": triggered(parts),
             **{r.column: half_up(parts[r.column], 2) for r in RULES},
         }
     )
-    named = named.withColumn("rules_triggered", F.transform("rules_triggered", lambda n: F.ltrim(n, F.lit("_"))))
     return contracts.SCORES.conform(named, keep=keep)
 
 
