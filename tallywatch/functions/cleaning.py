@@ -39,14 +39,10 @@ def cast_text(text: Column, kind: str) -> Column:
 
 def cast_typed(value: Column, source: str, kind: str) -> Column:
     """Cast a column of Spark type ``source`` to a contract type; failure gives NULL."""
-    if source == "string":
-        return cast_text(value, kind)
-    if kind in ("int", "long"):
-        if source in ("float", "double") or source.startswith("decimal"):
-            return value.try_cast("double").try_cast(SPARK_TYPES[kind])
-        return value.try_cast(SPARK_TYPES[kind])
-    if kind.startswith("array"):
+    if kind.startswith("array") or SPARK_TYPES[kind] == source:
         return value
+    if source == "string" and kind != "string":
+        return cast_text(value, kind)
     return value.try_cast(SPARK_TYPES[kind])
 
 

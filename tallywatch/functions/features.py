@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,9 +14,20 @@ EPOCH_OF_OFFSETS = "2017-11-30 00:00:00"
 IDENTITY_FIELDS = ("id_01", "id_02", "id_03", "id_04", "id_05", "id_06")
 
 
+# Offsets that lead outside the years 1 to 9999.
+FIRST_OFFSET = int((datetime(1, 1, 1) - datetime.fromisoformat(EPOCH_OF_OFFSETS)).total_seconds())
+LAST_OFFSET = int((datetime(9999, 12, 31, 23, 59, 59) - datetime.fromisoformat(EPOCH_OF_OFFSETS)).total_seconds())
+
+
 def event_time(offset_seconds: Column) -> Column:
+    """Base date plus offset; a missing offset counts as 0, one out of range gives NULL."""
     base = F.to_timestamp_ntz(F.lit(EPOCH_OF_OFFSETS))
-    return F.timestamp_add("SECOND", F.coalesce(offset_seconds, F.lit(0)).cast("bigint"), base)
+    seconds = F.coalesce(offset_seconds, F.lit(0)).cast("bigint")
+    return F.timestamp_add("SECOND", F.when(~offset_out_of_range(offset_seconds), seconds), base)
+
+
+def offset_out_of_range(offset_seconds: Column) -> Column:
+    return F.coalesce(~offset_seconds.between(FIRST_OFFSET, LAST_OFFSET), F.lit(False))
 
 
 def transaction_date(ts: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,17 +34,35 @@ def body(value: Column) -> Column:
     return F.when(is_framed(value), F.substring(value, F.lit(HEADER_BYTES + 1), F.length(value) - F.lit(HEADER_BYTES)))
 
 
+# Micro-second times survive the round trip.
+JSON_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def encode_body(record: Column) -> Column:
-    return F.encode(F.to_json(record), "UTF-8")
+    return F.encode(F.to_json(record, JSON_OPTIONS), "UTF-8")
+
 
+def readable_bodies(payload: Column, schema: T.StructType) -> Column:
+    """Body to an array with its record, or an empty one where the body cannot be read.
 
-def decode_body(payload: Column, schema: T.StructType) -> Column:
-    """Body to a record struct; NULL where the body cannot be read."""
+    Meant for ``posexplode_outer``: the generator parses every body once, and no later filter on a
+    field is pushed below it, which would parse the body again for each field it tests.
+    """
     probe = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    options = {**JSON_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parsed = F.from_json(payload.cast("string"), probe, options)
-    readable = parsed.isNotNull() & parsed[_CORRUPT].isNull()
-    return F.when(readable, parsed.dropFields(_CORRUPT))
+    return F.filter(F.array(parsed), lambda r: r.isNotNull() & r[_CORRUPT].isNull())
+
+
+def decode_records(df: DataFrame, payload: Column, schema: T.StructType, keep: tuple[str, ...]) -> DataFrame:
+    """The ``keep`` columns, ``decoded``, and the fields of the body (all NULL where it is unreadable)."""
+    opened = df.select(*keep, F.posexplode_outer(readable_bodies(payload, schema)).alias("_found", "_record"))
+    return opened.select(
+        *keep, F.col("_found").isNotNull().alias("decoded"), *[F.col(f"_record.{n}").alias(n) for n in schema.names]
+    )
 
 
 def decode_map(payload: Column) -> Column:

@@ -46,22 +46,23 @@ class Contract:
     def struct_type(self) -> T.StructType:
         return T.StructType([T.StructField(f.name, _STRUCT_TYPES[f.kind], True) for f in self.fields])
 
-    def conform(self, df: DataFrame, keep: tuple[str, ...] = (), fill: bool = True) -> DataFrame:
+    def conform(self, df: DataFrame, keep: tuple[str, ...] = (), clean: bool = False) -> DataFrame:
         """One projection to every contract field in order; ``keep`` names extra columns to carry along.
 
-        With ``fill`` off a missing required value stays NULL, so that a stage can reject the row.
+        ``clean`` is for text straight from a source: it trims, turns missing-value texts to NULL and
+        reads numbers and flags leniently.
         """
         present = {c.lower(): (c, t) for c, t in df.dtypes}
 
         def column(field: Field) -> Column:
             if field.name.lower() not in present:
-                missing = cleaning.default_literal(field.kind, field.nullable or not fill, field.default)
-                return missing.alias(field.name)
+                return cleaning.default_literal(field.kind, field.nullable, field.default).alias(field.name)
             name, source = present[field.name.lower()]
-            value = cleaning.cast_typed(F.col(f"`{name}`"), source, field.kind)
-            if fill:
-                value = cleaning.fill_default(value, field.kind, field.nullable, field.default)
-            return value.alias(field.name)
+            raw = F.col(f"`{name}`")
+            value = cleaning.cast_text(raw, field.kind) if clean and source == "string" else (
+                cleaning.cast_typed(raw, source, field.kind)
+            )
+            return cleaning.fill_default(value, field.kind, field.nullable, field.default).alias(field.name)
 
         return df.select(*[column(f) for f in self.fields], *keep)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,34 +17,58 @@ VALID_PRODUCTS = ("W", "H", "C", "S", "R")
 DECODE_FAILED = "decode_failed"
 NULL_TRANSACTION_ID = "null_transaction_id"
 INFINITE_UID = "build_error:cannot convert float infinity to integer"
+DATE_RANGE = "build_error:date value out of range"
 
 
 def decode_log(df: DataFrame, contract: Contract, keep: tuple[str, ...] = ("offset",)) -> DataFrame:
     """Framed ``value`` to contract columns plus ``decoded``; rows that cannot be read keep only ``keep``."""
-    record = wire.decode_body(wire.body(F.col("value")), contract.struct_type())
-    parsed = df.select(*keep, record.alias("_record"))
-    return parsed.select(*keep, F.col("_record").isNotNull().alias("decoded"), "_record.*")
+    return wire.decode_records(df, wire.body(F.col("value")), contract.struct_type(), keep)
 
 
-def reject_reason(decoded: Column | None = None) -> Column:
-    """First failing check of a raw record; NULL for a good one. A NaN amount passes."""
+def _checks(decoded: Column | None) -> list[tuple[Column, Column]]:
+    """(failed, reason) pairs in order of precedence; ``failed`` is never NULL. A NaN amount passes."""
     amount = F.col("TransactionAmt")
     product = F.col("ProductCD")
-    bad_amount = amount.isNull() | (amount <= 0)
-    bad_product = product.isNull() | ~product.isin(*VALID_PRODUCTS)
     checks = [
-        F.when(F.col("TransactionID").isNull(), F.lit(NULL_TRANSACTION_ID)),
-        F.when(bad_amount, F.concat(F.lit("invalid_amount:"), F.coalesce(plain_float_text(amount), F.lit("None")))),
-        F.when(bad_product, F.concat(F.lit("invalid_product:"), F.coalesce(product, F.lit("None")))),
-        F.when(features.has_infinite_part(F.col("card1"), F.col("addr1")), F.lit(INFINITE_UID)),
+        (F.col("TransactionID").isNull(), F.lit(NULL_TRANSACTION_ID)),
+        (
+            amount.isNull() | (amount <= 0),
+            F.concat(F.lit("invalid_amount:"), F.coalesce(plain_float_text(amount), F.lit("None"))),
+        ),
+        (
+            product.isNull() | ~product.isin(*VALID_PRODUCTS),
+            F.concat(F.lit("invalid_product:"), F.coalesce(product, F.lit("None"))),
+        ),
+        (features.offset_out_of_range(F.col("TransactionDT")), F.lit(DATE_RANGE)),
+        (features.has_infinite_part(F.col("card1"), F.col("addr1")), F.lit(INFINITE_UID)),
     ]
-    if decoded is not None:
-        checks.insert(0, F.when(~decoded, F.lit(DECODE_FAILED)))
-    return F.coalesce(*checks)
+    return checks if decoded is None else [(~decoded, F.lit(DECODE_FAILED)), *checks]
+
+
+def _decoded(df: DataFrame) -> Column | None:
+    return F.col("decoded") if "decoded" in df.columns else None
+
+
+def reject_reason(decoded: Column | None = None) -> Column:
+    """First failing check of a raw record; NULL for a good one."""
+    return F.coalesce(*[F.when(failed, why) for failed, why in _checks(decoded)])
 
 
 def with_reject_reason(df: DataFrame) -> DataFrame:
-    return df.withColumn("reject_reason", reject_reason(F.col("decoded") if "decoded" in df.columns else None))
+    return df.withColumn("reject_reason", reject_reason(_decoded(df)))
+
+
+def good_records(df: DataFrame) -> DataFrame:
+    """Raw records with no reject reason, by plain predicates that can reach the scan."""
+    for failed, _ in _checks(_decoded(df)):
+        df = df.filter(~failed)
+    return df
+
+
+def bad_records(df: DataFrame) -> DataFrame:
+    """Raw records with a reject reason, and the reason."""
+    failed = [test for test, _ in _checks(_decoded(df))]
+    return with_reject_reason(df.filter(reduce(lambda a, b: a | b, failed)))
 
 
 def missing_required(contract: Contract, label: str) -> Column:

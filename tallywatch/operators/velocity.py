@@ -24,9 +24,8 @@ SPEND_WIDTHS = {
 }
 COUNT_WIDTHS = {"txn_count_1hr": SPEND_WIDTHS["spend_1hr"], "txn_count_24hr": SPEND_WIDTHS["spend_24hr"]}
 
-# A sliding frame revisits every row inside it, so a key with more rows than this takes the
-# running-total path, whose cost per row is constant and whose work is split by row ranges.
-DENSE_KEY_ROWS = 20_000
+# A key with more rows than this is worked in row ranges shared by many tasks instead of one sort.
+DENSE_KEY_ROWS = 2_000_000
 DENSE_KEYS_BROADCAST = 1_000_000
 
 
@@ -51,52 +50,55 @@ def add_velocity(
     dense = prepared.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > dense_key_rows)
     dense_keys = dense.count()
     if dense_keys == 0:
-        summed = _by_sliding_frames(prepared, key, time_us, tie, row_id)
+        summed = _by_prefix_sums(prepared, key, time_us, tie, row_id)
     else:
         ensure_checkpoint_dir(df.sparkSession)
         keys = dense.select(key).checkpoint()
         keys = F.broadcast(keys) if dense_keys <= DENSE_KEYS_BROADCAST else keys
         sparse_rows = prepared.join(keys, key, "left_anti")
         dense_rows = prepared.join(keys, key, "left_semi").select(*prepared.columns)
-        summed = _by_sliding_frames(sparse_rows, key, time_us, tie, row_id).unionByName(
+        summed = _by_prefix_sums(sparse_rows, key, time_us, tie, row_id).unionByName(
             _by_running_totals(dense_rows, key, time_us, tie, row_id)
         )
-    return _finish(summed, key)
+    return finish(summed, F.col(key).isNotNull())
 
 
-def _finish(df: DataFrame, key: str) -> DataFrame:
-    known = F.col(key).isNotNull()
+def finish(df: DataFrame, known: Column) -> DataFrame:
+    """Window sums in ``_name`` columns to the published ones, NULL where the key is not ``known``."""
     spends = {name: F.when(known, cents_from_units(F.col(f"_{name}"))) for name in SPEND_WIDTHS}
     counts = {name: F.when(known, F.col(f"_{name}").cast("int")) for name in COUNT_WIDTHS}
     named = df.withColumns({**spends, **counts})
     helpers = [f"_{n}" for n in (*SPEND_WIDTHS, *COUNT_WIDTHS)]
-    return named.withColumn("velocity_flag", velocity_flag()).drop("_units", *helpers)
+    return named.withColumn("velocity_flag", velocity_flag()).drop(*helpers, "_units")
 
 
-def _by_sliding_frames(df: DataFrame, key: str, time_us: str, tie: str, row_id: str) -> DataFrame:
-    """One exchange: earlier events at the same time, plus RANGE frames that end just before it."""
+def _by_prefix_sums(df: DataFrame, key: str, time_us: str, tie: str, row_id: str) -> DataFrame:
+    """One exchange and one sort: all rows before this one, minus those before the window opened.
+
+    Every frame starts at the first row of the key, so it is extended row by row and never re-read,
+    however many events a window holds.
+    """
     scattered = df.withColumn(
         "_scatter", F.when(F.col(key).isNull(), F.xxhash64(row_id)).otherwise(F.lit(0).cast("bigint"))
     )
-    same_time = (
-        Window.partitionBy(key, "_scatter", time_us).orderBy(tie, row_id).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    peers = scattered.withColumns(
+    group = Window.partitionBy(key, "_scatter")
+    before_row = group.orderBy(time_us, tie, row_id).rowsBetween(Window.unboundedPreceding, -1)
+    running = scattered.withColumns(
         {
-            "_peer_units": F.coalesce(F.sum("_units").over(same_time), F.lit(0)),
-            "_peer_rows": F.count("_units").over(same_time),
+            "_units_before": F.coalesce(F.sum("_units").over(before_row), F.lit(0)),
+            "_rows_before": F.count("_units").over(before_row),
         }
     )
 
-    def before(width: int):
-        return Window.partitionBy(key, "_scatter").orderBy(time_us).rangeBetween(-width, -1)
+    def opened(width: int):
+        return group.orderBy(time_us).rangeBetween(Window.unboundedPreceding, -width - 1)
 
     spends = {
-        f"_{n}": F.coalesce(F.sum("_units").over(before(w)), F.lit(0)) + F.col("_peer_units")
+        f"_{n}": F.col("_units_before") - F.coalesce(F.sum("_units").over(opened(w)), F.lit(0))
         for n, w in SPEND_WIDTHS.items()
     }
-    counts = {f"_{n}": F.count("_units").over(before(w)) + F.col("_peer_rows") for n, w in COUNT_WIDTHS.items()}
-    return peers.withColumns({**spends, **counts}).drop("_scatter", "_peer_units", "_peer_rows")
+    counts = {f"_{n}": F.col("_rows_before") - F.count("_units").over(opened(w)) for n, w in COUNT_WIDTHS.items()}
+    return running.withColumns({**spends, **counts}).drop("_scatter", "_units_before", "_rows_before")
 
 
 def _by_running_totals(df: DataFrame, key: str, time_us: str, tie: str, row_id: str) -> DataFrame:
@@ -109,8 +111,11 @@ def _by_running_totals(df: DataFrame, key: str, time_us: str, tie: str, row_id:
     payload = [c for c in df.columns if c not in (key, time_us, tie, row_id, "_units")]
     widths = list(SPEND_WIDTHS.items())
     at = F.col(time_us)
-    moments = [F.struct(at.alias("at"), F.lit(0).alias("step"), F.lit("").alias("expires"))]
-    moments += [F.struct((at + F.lit(w)).alias("at"), F.lit(1), F.lit(name)) for name, w in widths]
+
+    def moment(when: Column, step: int, expires: str) -> Column:
+        return F.struct(when.alias("at"), F.lit(step).alias("step"), F.lit(expires).alias("expires"))
+
+    moments = [moment(at, 0, ""), *[moment(at + F.lit(w), 1, name) for name, w in widths]]
     exploded = df.withColumn("_m", F.explode(F.array(*moments)))
     arrival = F.col("_m.step") == 0
 

@@ -14,7 +14,7 @@ Dimensions = tuple[DataFrame, DataFrame, DataFrame]
 
 
 def with_event_us(validated: DataFrame) -> DataFrame:
-    return validated.withColumn("event_us", F.col("TransactionDT") * F.lit(SECOND_US))
+    return validated.withColumn("event_us", F.try_multiply(F.col("TransactionDT"), F.lit(SECOND_US)))
 
 
 def enrich(

@@ -16,7 +16,9 @@ from tallywatch.functions.rules import RULES
 # Rates are averaged as whole billionths, so that the mean does not depend on the row order.
 RATE_UNITS = 1_000_000_000
 
-FRAUD = F.col("isfraud") == 1
+
+def _is_fraud() -> Column:
+    return F.col("isfraud") == 1
 
 
 def _count_where(condition: Column) -> Column:
@@ -45,10 +47,10 @@ def daily_fraud_summary(decisions: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("total_transactions"),
             _units_where().alias("_all"),
-            _count_where(FRAUD).alias("fraud_count"),
-            _units_where(FRAUD).alias("_fraud"),
-            F.count(F.when(FRAUD, F.col("transactionamt"))).alias("_fraud_n"),
-            F.max(F.when(FRAUD, F.col("transactionamt"))).alias("max_fraud_amount"),
+            _count_where(_is_fraud()).alias("fraud_count"),
+            _units_where(_is_fraud()).alias("_fraud"),
+            F.count(F.when(_is_fraud(), F.col("transactionamt"))).alias("_fraud_n"),
+            F.max(F.when(_is_fraud(), F.col("transactionamt"))).alias("max_fraud_amount"),
             _count_where(blocked).alias("blocked_count"),
             _units_where(blocked).alias("_blocked"),
         )
@@ -73,13 +75,13 @@ def _performance_counts(decisions: DataFrame, scores: list[tuple[str, Column]])
     blocked = F.col("decision") == "BLOCK"
     measures = {
         "triggers_count": lambda s: _count_where(s > 0),
-        "true_positive": lambda s: _count_where((s > 0) & FRAUD),
+        "true_positive": lambda s: _count_where((s > 0) & _is_fraud()),
         "false_positive": lambda s: _count_where((s > 0) & legit),
         "true_negative": lambda s: _count_where((s == 0) & legit),
-        "false_negative": lambda s: _count_where((s == 0) & FRAUD),
+        "false_negative": lambda s: _count_where((s == 0) & _is_fraud()),
         "_blocked": lambda s: _units_where((s > 0) & blocked),
     }
-    aggregates = [F.count("*").alias("_rows"), _count_where(FRAUD).alias("_fraud")]
+    aggregates = [F.count("*").alias("_rows"), _count_where(_is_fraud()).alias("_fraud")]
     for i, (_, value) in enumerate(scores):
         aggregates += [measure(value).alias(f"{name}{i}") for name, measure in measures.items()]
     wide = decisions.agg(*aggregates).filter(F.col("_rows") > 0)
@@ -144,7 +146,7 @@ def uid_risk_profile(decisions: DataFrame) -> DataFrame:
             F.count("*").alias("n"),
             F.count("transactionamt").alias("n_amount"),
             _units_where().alias("units"),
-            _count_where(FRAUD).alias("fraud"),
+            _count_where(_is_fraud()).alias("fraud"),
             F.max("transactionamt").alias("top"),
             F.sum(F.round(F.col("fraud_score") * F.lit(100.0)).cast("bigint")).alias("points"),
             F.count("fraud_score").alias("n_score"),
@@ -192,7 +194,7 @@ def hourly_fraud_pattern(decisions: DataFrame, run_date: Column, by_weekday: boo
         .groupBy(*keys)
         .agg(
             F.count("*").alias("total_transactions"),
-            _count_where(FRAUD).alias("fraud_count"),
+            _count_where(_is_fraud()).alias("fraud_count"),
             _units_where().alias("_units"),
             F.count("transactionamt").alias("_n"),
         )
@@ -217,9 +219,9 @@ def product_fraud_stats(decisions: DataFrame) -> DataFrame:
             F.count("*").alias("total_transactions"),
             _units_where().alias("_all"),
             F.count("transactionamt").alias("_n"),
-            _count_where(FRAUD).alias("fraud_count"),
-            _units_where(FRAUD).alias("_fraud"),
-            F.count(F.when(FRAUD, F.col("transactionamt"))).alias("_fraud_n"),
+            _count_where(_is_fraud()).alias("fraud_count"),
+            _units_where(_is_fraud()).alias("_fraud"),
+            F.count(F.when(_is_fraud(), F.col("transactionamt"))).alias("_fraud_n"),
         )
     )
     return sums.select(
@@ -252,7 +254,7 @@ def _fraud_view(transactions: DataFrame, key: str, *extra: Column) -> DataFrame:
 
 
 def fraud_rate_by_product(transactions: DataFrame) -> DataFrame:
-    fraud_units = F.coalesce(_units_where(FRAUD), F.lit(0).cast("bigint"))
+    fraud_units = F.coalesce(_units_where(_is_fraud()), F.lit(0).cast("bigint"))
     return _fraud_view(transactions, "productcd", half_up(from_units(fraud_units), 2).alias("total_fraud_amt"))
 
 

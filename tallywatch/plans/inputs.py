@@ -70,8 +70,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def valid_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted rows as validated records, with the log offset kept."""
-    checked = validation.with_reject_reason(raw_transactions(spark, sf_dir))
-    return validation.build_validated(validation.accepted(checked), keep=("offset",))
+    return validation.build_validated(validation.good_records(raw_transactions(spark, sf_dir)), keep=("offset",))
 
 
 def identity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,12 +97,19 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(key.cast("binary").alias("key"), value.alias("value"), partition.alias("partition"), "offset")
 
 
+def inline_table(spark: SparkSession, rows: list[tuple], columns: dict[str, str]) -> DataFrame:
+    """A few fixed rows as a local relation of the plan."""
+    literals = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, columns.items())]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*literals)))
+
+
 def dim_product(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DIM_PRODUCT, "product_cd string, risk_tier string, risk_score double")
+    return inline_table(spark, DIM_PRODUCT, {"product_cd": "string", "risk_tier": "string", "risk_score": "double"})
 
 
 def dim_email(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DIM_EMAIL, "domain string, is_anonymous boolean, risk_tier string, risk_score double")
+    columns = {"domain": "string", "is_anonymous": "boolean", "risk_tier": "string", "risk_score": "double"}
+    return inline_table(spark, DIM_EMAIL, columns)
 
 
 def dim_hour(spark: SparkSession) -> DataFrame:

@@ -16,6 +16,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.adaptive.enabled", "true")
@@ -25,10 +26,16 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
     )
 
 
+# The JVM does not compile methods above 8000 bytes of bytecode. The wide projections here would
+# generate larger ones and then run interpreted; below the limit Spark generates smaller methods.
+RUNTIME_SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings every plan in this package assumes."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for name, value in RUNTIME_SETTINGS.items():
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
     return spark
 
 
