@@ -49,9 +49,9 @@ def cast_typed(value: Column, source: str, kind: str) -> Column:
 def default_literal(kind: str, nullable: bool, default: object) -> Column:
     """What fills a missing field: NULL if allowed, else the declared default, else the zero value."""
     if kind.startswith("array"):
-        return F.array().cast("array<string>")
+        return F.expr("CAST(array() AS array<string>)")
     if nullable:
-        return F.lit(None).cast(SPARK_TYPES[kind])
+        return F.expr(f"CAST(NULL AS {SPARK_TYPES[kind]})")
     fill = ZERO_VALUES[kind] if default is None else default
     return F.lit(fill).cast(SPARK_TYPES[kind])
 

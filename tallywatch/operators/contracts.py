@@ -43,6 +43,10 @@ class Contract:
         """Fields a record cannot be built without: not nullable and no declared default."""
         return [f.name for f in self.fields if not f.nullable and f.default is None]
 
+    def only(self, names: list[str] | tuple[str, ...]) -> Contract:
+        """The same contract cut to some fields, in contract order, so that a plan carries no unused ones."""
+        return Contract(self.subject, self.schema_id, tuple(f for f in self.fields if f.name in names))
+
     def struct_type(self) -> T.StructType:
         return T.StructType([T.StructField(f.name, _STRUCT_TYPES[f.kind], True) for f in self.fields])
 
@@ -58,10 +62,13 @@ class Contract:
             if field.name.lower() not in present:
                 return cleaning.default_literal(field.kind, field.nullable, field.default).alias(field.name)
             name, source = present[field.name.lower()]
-            raw = F.col(f"`{name}`")
-            value = cleaning.cast_text(raw, field.kind) if clean and source == "string" else (
-                cleaning.cast_typed(raw, source, field.kind)
-            )
+            as_is = source == cleaning.SPARK_TYPES.get(field.kind, source) and not (clean and source == "string")
+            if as_is and field.nullable:
+                return F.col(name) if name == field.name else F.col(name).alias(field.name)
+            raw = F.col(name)
+            value = raw if as_is else cleaning.cast_typed(raw, source, field.kind)
+            if clean and source == "string":
+                value = cleaning.cast_text(raw, field.kind)
             return cleaning.fill_default(value, field.kind, field.nullable, field.default).alias(field.name)
 
         return df.select(*[column(f) for f in self.fields], *keep)

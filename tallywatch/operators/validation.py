@@ -21,7 +21,10 @@ DATE_RANGE = "build_error:date value out of range"
 
 
 def decode_log(df: DataFrame, contract: Contract, keep: tuple[str, ...] = ("offset",)) -> DataFrame:
-    """Framed ``value`` to contract columns plus ``decoded``; rows that cannot be read keep only ``keep``."""
+    """Framed ``value`` to contract columns plus ``decoded``; rows that cannot be read keep only ``keep``.
+
+    Pass ``contract.only(...)`` to parse no more fields than are used.
+    """
     return wire.decode_records(df, wire.body(F.col("value")), contract.struct_type(), keep)
 
 
@@ -77,7 +80,13 @@ def missing_required(contract: Contract, label: str) -> Column:
     return F.coalesce(F.when(~F.col("decoded"), F.lit(DECODE_FAILED)), *missing)
 
 
-def build_validated(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+# Raw fields the checks and derived columns read.
+CHECKED_FIELDS = ("TransactionID", "TransactionDT", "TransactionAmt", "ProductCD", "card1", "addr1")
+
+
+def build_validated(
+    df: DataFrame, keep: tuple[str, ...] = (), contract: Contract = contracts.VALIDATED
+) -> DataFrame:
     """Typed record with time features, uid, flags and has_identity, in contract order."""
     event_ts = features.event_time(F.col("TransactionDT"))
     have = set(df.columns)
@@ -92,10 +101,11 @@ def build_validated(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     }
     identity = [F.col(c) for c in features.IDENTITY_FIELDS if c in have]
     derived["has_identity"] = features.has_identity(identity) if identity else F.lit(False)
-    for name in contracts.VALIDATED.names:
+    derived = {n: c for n, c in derived.items() if n in contract.names}
+    for name in contract.names:
         if name in have and name.startswith("M") and name != "M4":
             derived[name] = features.parse_flag(F.col(name))
-    return contracts.VALIDATED.conform(df.withColumns(derived), keep=keep)
+    return contract.conform(df.withColumns(derived), keep=keep)
 
 
 def dead_letters(df: DataFrame, stage: str, reason: str = "reject_reason", key: str | None = None) -> DataFrame:

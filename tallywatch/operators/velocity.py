@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions.numbers import cents_from_units, to_units
-from tallywatch.session import ensure_checkpoint_dir
+from tallywatch.session import materialize
 
 SECOND_US = 1_000_000
 # Window names and widths.
@@ -47,14 +47,10 @@ def add_velocity(
 ) -> DataFrame:
     """Append the velocity columns; ``row_id`` is unique per row (the log offset)."""
     prepared = df.withColumn("_units", F.coalesce(to_units(F.col(amount)), F.lit(0).cast("bigint")))
-    dense = prepared.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > dense_key_rows)
-    dense_keys = dense.count()
-    if dense_keys == 0:
+    keys = dense_keys(prepared, key, dense_key_rows)
+    if keys is None:
         summed = _by_prefix_sums(prepared, key, time_us, tie, row_id)
     else:
-        ensure_checkpoint_dir(df.sparkSession)
-        keys = dense.select(key).checkpoint()
-        keys = F.broadcast(keys) if dense_keys <= DENSE_KEYS_BROADCAST else keys
         sparse_rows = prepared.join(keys, key, "left_anti")
         dense_rows = prepared.join(keys, key, "left_semi").select(*prepared.columns)
         summed = _by_prefix_sums(sparse_rows, key, time_us, tie, row_id).unionByName(
@@ -63,6 +59,18 @@ def add_velocity(
     return finish(summed, F.col(key).isNotNull())
 
 
+def dense_keys(df: DataFrame, key: str, more_than: int) -> DataFrame | None:
+    """Keys with more rows than ``more_than``, with a broadcast hint if there are few; None if there are none."""
+    known = df.filter(F.col(key).isNotNull()).select(key)
+    if known.limit(more_than + 1).count() <= more_than:
+        return None
+    found = materialize(known.groupBy(key).count().filter(F.col("count") > more_than).select(key), "dense-keys")
+    how_many = found.count()
+    if how_many == 0:
+        return None
+    return F.broadcast(found) if how_many <= DENSE_KEYS_BROADCAST else found
+
+
 def finish(df: DataFrame, known: Column) -> DataFrame:
     """Window sums in ``_name`` columns to the published ones, NULL where the key is not ``known``."""
     spends = {name: F.when(known, cents_from_units(F.col(f"_{name}"))) for name in SPEND_WIDTHS}
@@ -140,8 +148,7 @@ def _by_running_totals(df: DataFrame, key: str, time_us: str, tie: str, row_id:
     )
     order = ["_at", "_step", tie, row_id]
     ranged = moved.repartitionByRange(key, *order).withColumn("_range", F.spark_partition_id())
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint()
+    ranged = materialize(ranged, "velocity-ranges")
 
     totals = ranged.groupBy(key, "_range").agg(*[F.sum(n).alias(f"_t{n}") for n in changes])
     earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -13,6 +13,10 @@ from tallywatch.operators.velocity import DENSE_KEY_ROWS, SECOND_US, add_velocit
 Dimensions = tuple[DataFrame, DataFrame, DataFrame]
 
 
+# The part of a validated record that the enrichment stage reads.
+FOR_ENRICHMENT = contracts.VALIDATED.only([*contracts.ENRICHED.names, "TransactionDT"])
+
+
 def with_event_us(validated: DataFrame) -> DataFrame:
     return validated.withColumn("event_us", F.try_multiply(F.col("TransactionDT"), F.lit(SECOND_US)))
 
@@ -103,7 +107,8 @@ def decisions_from_log(messages: DataFrame) -> DataFrame:
     """Framed decision messages to table columns through a text map, whatever fields a body carries."""
     from tallywatch.functions import wire
 
-    decoded = messages.select(wire.decode_map(wire.body(F.col("value"))).alias("data"))
+    # the generator opens every body once, however many keys are read from it
+    decoded = messages.select(F.explode(F.array(wire.decode_map(wire.body(F.col("value"))))).alias("data"))
     projected = decoded.filter(F.col("data").isNotNull()).select(
         *contracts.project_map(F.col("data"), DECISION_MAP_COLUMNS)
     )

@@ -68,9 +68,12 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.selectExpr(*[f"{sql} AS `{name}`" for name, sql in _RAW_COLUMNS.items()])
 
 
-def valid_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def valid_transactions(
+    spark: SparkSession, sf_dir: str, contract: contracts.Contract = contracts.VALIDATED
+) -> DataFrame:
     """Accepted rows as validated records, with the log offset kept."""
-    return validation.build_validated(validation.good_records(raw_transactions(spark, sf_dir)), keep=("offset",))
+    good = validation.good_records(raw_transactions(spark, sf_dir))
+    return validation.build_validated(good, keep=("offset",), contract=contract)
 
 
 def identity_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,8 +39,18 @@ def _run_date() -> Column:
 # --- shared plans ---------------------------------------------------------------------------
 
 
+SILVER_FIELDS = contracts.VALIDATED.only(
+    ["TransactionID", "isFraud", "TransactionDT", "TransactionAmt", "ProductCD", "uid", "transaction_date"]
+    + ["event_timestamp", "transaction_hour", "ingestion_id"]
+)
+
+
+def _valid_for_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.valid_transactions(spark, sf_dir, decisioning.FOR_ENRICHMENT)
+
+
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decisioning.enrich(inputs.valid_transactions(spark, sf_dir), inputs.dimensions(spark))
+    return decisioning.enrich(_valid_for_enrichment(spark, sf_dir), inputs.dimensions(spark))
 
 
 def _scored(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -56,7 +66,7 @@ def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decisioning.silver_transactions(inputs.valid_transactions(spark, sf_dir))
+    return decisioning.silver_transactions(inputs.valid_transactions(spark, sf_dir, SILVER_FIELDS))
 
 
 def _rows_of_sinks(spark: SparkSession, root: str) -> DataFrame:
@@ -64,7 +74,7 @@ def _rows_of_sinks(spark: SparkSession, root: str) -> DataFrame:
 
     def records(contract: contracts.Contract) -> DataFrame:
         log = spark.read.parquet(stages.stage_path(root, contract.subject))
-        return validation.decode_log(log, contract).select(
+        return validation.decode_log(log, contract.only(["TransactionID", "decision"])).select(
             F.lit(contract.subject).alias("sink"), F.col("TransactionID").alias("row_id"), F.col("decision").alias("detail")
         )
 
@@ -286,7 +296,7 @@ def replay_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("uid").cast("binary").alias("key"), framed.alias("value"), "partition", "offset"
     ).write.parquet(path)
     log = spark.read.schema(inputs.MESSAGE_SCHEMA).parquet(path)
-    decoded = validation.decode_log(log, contracts.RAW, keep=("key", "offset"))
+    decoded = validation.decode_log(log, contracts.RAW.only(["TransactionID", "TransactionDT"]), keep=("key", "offset"))
     return decoded.select(
         F.col("key").cast("string").alias("message_key"),
         F.col("offset").alias("log_offset"),
@@ -302,7 +312,8 @@ def replay_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def frame_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Framed messages, some broken, to records; what cannot be read has no record."""
     log = inputs.messages(spark, sf_dir)
-    decoded = validation.decode_log(log, contracts.RAW, keep=("offset", "value"))
+    shown = contracts.RAW.only(["TransactionID", "TransactionAmt", "ProductCD", "P_emaildomain", "isFraud"])
+    decoded = validation.decode_log(log, shown, keep=("offset", "value"))
     return decoded.select(
         F.col("offset").alias("log_offset"),
         "decoded",
@@ -440,7 +451,7 @@ def email_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def message_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = inputs.valid_transactions(spark, sf_dir)
+    valid = _valid_for_enrichment(spark, sf_dir)
     return valid.select(
         F.col("offset").alias("log_offset"),
         features.message_key(F.col("uid"), F.col("TransactionID")).alias("message_key"),
@@ -469,7 +480,7 @@ def validate_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dlq_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters of the raw log: unreadable messages and rejected records, with key and payload."""
-    decoded = validation.decode_log(inputs.messages(spark, sf_dir), contracts.RAW)
+    decoded = validation.decode_log(inputs.messages(spark, sf_dir), contracts.RAW.only(validation.CHECKED_FIELDS))
     letters = validation.dead_letters(validation.bad_records(decoded), "validation")
     return letters.select(
         "stage",
@@ -529,7 +540,7 @@ def identity_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dimension_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = inputs.valid_transactions(spark, sf_dir)
+    valid = _valid_for_enrichment(spark, sf_dir)
     joined = enrichment.attach_dimensions(valid, *inputs.dimensions(spark))
     return joined.select(
         F.col("offset").alias("log_offset"),
@@ -561,7 +572,7 @@ def velocity_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def velocity_windows_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same windows where many events of a key share one time."""
-    tied = inputs.with_hour_ties(inputs.valid_transactions(spark, sf_dir))
+    tied = inputs.with_hour_ties(_valid_for_enrichment(spark, sf_dir))
     enriched = decisioning.enrich(tied, inputs.dimensions(spark))
     return enriched.select(F.col("offset").alias("log_offset"), "uid", *VELOCITY)
 
@@ -569,7 +580,7 @@ def velocity_windows_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def velocity_windows_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same windows where every key is so frequent that it is worked in ranges over many tasks."""
-    valid = inputs.valid_transactions(spark, sf_dir)
+    valid = _valid_for_enrichment(spark, sf_dir)
     crowded = valid.withColumn("uid", F.when(F.col("uid").isNotNull(), F.substring_index("uid", "_", -1)))
     enriched = decisioning.enrich(crowded, inputs.dimensions(spark), dense_key_rows=100)
     return enriched.select(F.col("offset").alias("log_offset"), "uid", *VELOCITY)
@@ -903,7 +914,7 @@ def telemetry_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedup_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    copies = inputs.with_copies(inputs.valid_transactions(spark, sf_dir)).select(
+    copies = inputs.with_copies(_valid_for_enrichment(spark, sf_dir)).select(
         "TransactionID", "TransactionDT", "TransactionAmt", "uid", "offset", "copy"
     )
     first = arrival.first_per_key(copies, "TransactionID", ["TransactionDT", "copy"])
@@ -915,7 +926,7 @@ def dedup_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that arrive more than a day behind the newest event of the earlier batches."""
-    batches = inputs.with_batches(inputs.valid_transactions(spark, sf_dir)).select("offset", "batch", "TransactionDT")
+    batches = inputs.with_batches(_valid_for_enrichment(spark, sf_dir)).select("offset", "batch", "TransactionDT")
     flagged = arrival.flag_late(decisioning.with_event_us(batches), "batch", "event_us", 86_400_000_000)
     return flagged.select(F.col("offset").alias("log_offset"), "batch", "is_late")
 
@@ -955,7 +966,8 @@ def stream_stage_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     filelog.append_messages(inputs.messages(spark, sf_dir), f"{root}/raw")
     stages.run_chain(spark, root, f"{root}/raw", inputs.dimensions(spark), inputs.run_ts())
     log = spark.read.parquet(stages.stage_path(root, contracts.DECISIONS.subject))
-    return _decision_rows(validation.decode_log(log, contracts.DECISIONS))
+    shown = contracts.DECISIONS.only(["TransactionID", "uid", "fraud_score", "decision", "rules_triggered"])
+    return _decision_rows(validation.decode_log(log, shown))
 
 
 @query
@@ -964,7 +976,7 @@ def stream_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "velocity")
     log = f"{root}/log"
     wanted = ["offset", "TransactionID", "TransactionDT", "TransactionAmt", "uid"]
-    valid = decisioning.with_event_us(inputs.valid_transactions(spark, sf_dir).select(*wanted))
+    valid = decisioning.with_event_us(_valid_for_enrichment(spark, sf_dir).select(*wanted))
 
     def catch_up() -> None:
         stream = stateful.velocity_on_stream(filelog.read_stream(spark, log, valid.schema))

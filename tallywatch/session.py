@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -53,11 +53,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{_shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable without overriding a configured directory."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(_shared_root(spark))
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a plan's result to a table below the shared root and read it back.
+
+    The plan runs once, its lineage ends here, and a lost executor costs no more than re-reading files.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywatch.functions import features
 from tallywatch.operators import contracts, scoring, validation
 from tallywatch.operators.contracts import Contract
 from tallywatch.operators.enrichment import attach_dimensions
-from tallywatch.plans.decisioning import Dimensions, with_event_us
+from tallywatch.plans.decisioning import FOR_ENRICHMENT, Dimensions, with_event_us
 from tallywatch.plans.inputs import MESSAGE_SCHEMA
 from tallywatch.sources import filelog
 from tallywatch.streaming import sinks
@@ -33,10 +34,11 @@ def read_log(spark: SparkSession, path: str, files_per_trigger: int | None = Non
 # --- transformations ------------------------------------------------------------------------
 
 
-def validate_messages(messages: DataFrame) -> DataFrame:
+def validate_messages(messages: DataFrame, contract: Contract = contracts.VALIDATED) -> DataFrame:
     """Raw messages to validated records plus offset and reject reason; rejected rows stay in."""
-    decoded = validation.decode_log(messages, contracts.RAW)
-    return validation.build_validated(validation.with_reject_reason(decoded), keep=CARRIED)
+    read = (*validation.CHECKED_FIELDS, *features.IDENTITY_FIELDS, *contract.names)
+    decoded = validation.decode_log(messages, contracts.RAW.only(read))
+    return validation.build_validated(validation.with_reject_reason(decoded), keep=CARRIED, contract=contract)
 
 
 def checked(messages: DataFrame, contract: Contract, label: str) -> DataFrame:
@@ -140,7 +142,7 @@ def run_chain(spark: SparkSession, root: str, source: str, dims: Dimensions, at:
 
 def fused(messages: DataFrame, dims: Dimensions, at: Column) -> DataFrame:
     """Raw messages to decisions in one plan; rejected rows carry their reason to the end."""
-    enriched = enrich_stream(validate_messages(messages), dims)
+    enriched = enrich_stream(validate_messages(messages, FOR_ENRICHMENT), dims)
     return scoring.decide(scoring.score(enriched, at, keep=CARRIED), at, keep=CARRIED)
 
 
