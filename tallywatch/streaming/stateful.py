@@ -39,7 +39,7 @@ def _velocity_processor(spend_widths: list[int], count_widths: list[int], window
             if not key[0].startswith("u:"):
                 yield self._output(batch, [0] * (len(spend_widths) + len(count_widths)), False)
                 return
-            batch = batch.sort_values(["event_us", "tie", "row_id"], kind="stable", ignore_index=True)
+            batch = batch.take(np.lexsort((batch["row_id"], batch["tie"], batch["event_us"])))
             held = np.array(list(self.history.get()), dtype=np.int64).reshape(-1, 3)
             now = batch["event_us"].to_numpy(np.int64)
             units = np.concatenate([held[:, 1], batch["units"].to_numpy(np.int64)])
@@ -83,7 +83,7 @@ def _velocity_processor(spend_widths: list[int], count_widths: list[int], window
 
         def _output(self, batch, results, late):
             columns = {f"v{i}": value for i, value in enumerate(results)}
-            return pd.DataFrame({"carry": batch["carry"], **columns, "is_late": late})
+            return pd.DataFrame({"carry": batch["carry"].to_numpy(), **columns, "is_late": late})
 
         def close(self) -> None:
             pass
