@@ -27,6 +27,7 @@ COUNT_WIDTHS = {"txn_count_1hr": SPEND_WIDTHS["spend_1hr"], "txn_count_24hr": SP
 # A key with more rows than this is worked in row ranges shared by many tasks instead of one sort.
 DENSE_KEY_ROWS = 2_000_000
 DENSE_KEYS_BROADCAST = 1_000_000
+RANGE_ROWS = 5_000_000
 
 
 def velocity_flag() -> Column:
@@ -47,28 +48,34 @@ def add_velocity(
 ) -> DataFrame:
     """Append the velocity columns; ``row_id`` is unique per row (the log offset)."""
     prepared = df.withColumn("_units", F.coalesce(to_units(F.col(amount)), F.lit(0).cast("bigint")))
-    keys = dense_keys(prepared, key, dense_key_rows)
+    keys, dense_rows_total = dense_keys(prepared, key, dense_key_rows)
     if keys is None:
         summed = _by_prefix_sums(prepared, key, time_us, tie, row_id)
     else:
+        moments = dense_rows_total * (len(SPEND_WIDTHS) + 1)
+        ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), moments // RANGE_ROWS + 1)
         sparse_rows = prepared.join(keys, key, "left_anti")
         dense_rows = prepared.join(keys, key, "left_semi").select(*prepared.columns)
         summed = _by_prefix_sums(sparse_rows, key, time_us, tie, row_id).unionByName(
-            _by_running_totals(dense_rows, key, time_us, tie, row_id)
+            _by_running_totals(dense_rows, key, time_us, tie, row_id, ranges)
         )
     return finish(summed, F.col(key).isNotNull())
 
 
-def dense_keys(df: DataFrame, key: str, more_than: int) -> DataFrame | None:
-    """Keys with more rows than ``more_than``, with a broadcast hint if there are few; None if there are none."""
+def dense_keys(df: DataFrame, key: str, more_than: int) -> tuple[DataFrame | None, int]:
+    """Keys with more rows than ``more_than`` and how many rows they have; (None, 0) if there are none.
+
+    The keys carry a broadcast hint only if there are few of them.
+    """
     known = df.filter(F.col(key).isNotNull()).select(key)
     if known.limit(more_than + 1).count() <= more_than:
-        return None
-    found = materialize(known.groupBy(key).count().filter(F.col("count") > more_than).select(key), "dense-keys")
-    how_many = found.count()
-    if how_many == 0:
-        return None
-    return F.broadcast(found) if how_many <= DENSE_KEYS_BROADCAST else found
+        return None, 0
+    counted = materialize(known.groupBy(key).count().filter(F.col("count") > more_than), "dense-keys")
+    size = counted.agg(F.count("*").alias("keys"), F.sum("count").alias("rows")).collect()[0]
+    if size["keys"] == 0:
+        return None, 0
+    found = counted.select(key)
+    return (F.broadcast(found) if size["keys"] <= DENSE_KEYS_BROADCAST else found), size["rows"]
 
 
 def finish(df: DataFrame, known: Column) -> DataFrame:
@@ -109,7 +116,7 @@ def _by_prefix_sums(df: DataFrame, key: str, time_us: str, tie: str, row_id: str
     return running.withColumns({**spends, **counts}).drop("_scatter", "_units_before", "_rows_before")
 
 
-def _by_running_totals(df: DataFrame, key: str, time_us: str, tie: str, row_id: str) -> DataFrame:
+def _by_running_totals(df: DataFrame, key: str, time_us: str, tie: str, row_id: str, ranges: int) -> DataFrame:
     """Window sums as running totals of arrivals minus expiries, cut into ranges of the sort order.
 
     Every event adds its amount when it arrives and takes it back just after each window has passed.
@@ -147,7 +154,7 @@ def _by_running_totals(df: DataFrame, key: str, time_us: str, tie: str, row_id:
         *[c.alias(n) for n, c in changes.items()],
     )
     order = ["_at", "_step", tie, row_id]
-    ranged = moved.repartitionByRange(key, *order).withColumn("_range", F.spark_partition_id())
+    ranged = moved.repartitionByRange(ranges, key, *order).withColumn("_range", F.spark_partition_id())
     ranged = materialize(ranged, "velocity-ranges")
 
     totals = ranged.groupBy(key, "_range").agg(*[F.sum(n).alias(f"_t{n}") for n in changes])

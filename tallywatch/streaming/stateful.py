@@ -106,7 +106,8 @@ def velocity_on_stream(
 
     Rows without a key, and rows with a reason in ``rejected``, pass through spread over many keys.
     The other columns travel as one JSON text, so the state operator has the same shape for any input.
-    With ``idle_ms`` the state of a key is dropped after that long without events.
+    With ``idle_ms`` the state of a key is dropped after that long without events; its timers need a
+    query that keeps running, not one that drains what is available.
     """
     use_state_store(df.sparkSession)
     tracked = F.col(key).isNotNull()

@@ -76,7 +76,7 @@ def test_stream_velocity_equals_brute_force_for_any_split(spark, batches):
     for low, high in zip(edges, edges[1:]):
         spark.createDataFrame(events[low:high], SCHEMA).write.mode("append").parquet(f"{root}/log")
         stream = filelog.read_stream(spark, f"{root}/log", spark.createDataFrame([], SCHEMA).schema)
-        sinks.drain_to_files(stateful.velocity_on_stream(stream, idle_ms=86_400_000), f"{root}/cp", f"{root}/out")
+        sinks.drain_to_files(stateful.velocity_on_stream(stream), f"{root}/cp", f"{root}/out")
     out = spark.read.parquet(f"{root}/out")
     same(collected(out), brute_force(events))
     assert out.filter("is_late").count() == 0
@@ -103,6 +103,65 @@ def test_stream_velocity_marks_late_events_and_passes_rejects(spark):
     assert got[5].spend_24hr == 0.0
 
 
+def test_idle_state_is_dropped_and_timers_follow_the_last_event():
+    pd = pytest.importorskip("pandas")
+
+    class State:
+        rows: list = []
+
+        def get(self):
+            return iter(self.rows)
+
+        def put(self, rows):
+            self.rows = list(rows)
+
+        def appendList(self, rows):
+            self.rows = [*self.rows, *rows]
+
+        def clear(self):
+            self.rows = []
+
+    class Handle:
+        timers: list = []
+
+        def getListState(self, name, schema):
+            return State()
+
+        def listTimers(self):
+            return iter(self.timers)
+
+        def deleteTimer(self, at):
+            self.timers = [t for t in self.timers if t != at]
+
+        def registerTimer(self, at):
+            self.timers = [*self.timers, at]
+
+    class Clock:
+        now = 1000
+
+        def getCurrentProcessingTimeInMs(self):
+            return self.now
+
+    day = 86_400_000_000
+    processor = stateful._velocity_processor(list(SPEND_WIDTHS.values()), list(COUNT_WIDTHS.values()), day, day, 50)
+    handle, clock = Handle(), Clock()
+    processor.init(handle)
+
+    def feed(*times):
+        rows = pd.DataFrame({"carry": ["{}"] * len(times), "event_us": times, "tie": 1, "row_id": 1, "units": 100})
+        return pd.concat(list(processor.handleInputRows(("u:x",), iter([rows]), clock)))
+
+    assert feed(0, 0, day // 2)["v3"].tolist() == [0, 100, 200]
+    assert len(processor.history.rows) == 2
+    clock.now = 2000
+    feed(10 * day)
+    assert handle.timers == [2050]
+    # everything before the last event is stale by now
+    assert [r[0] for r in processor.history.rows] == [10 * day]
+    list(processor.handleExpiredTimer(("u:x",), clock, None))
+    assert processor.history.rows == []
+
+
 def ticks_of(n=400, hot=0.6, seed=7):
     rng = random.Random(seed)
     names = [rng.random() for _ in range(n)]
