@@ -933,25 +933,25 @@ def late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming ------------------------------------------------------------------------------
 
-TEN_DAYS = 864_000
+FIFTEEN_DAYS = 1_296_000
 
 
-def _in_thirds(spark: SparkSession, source: DataFrame, part: Column, log: str, run: Callable[[], None]) -> None:
-    """Append the source to a log in three ordered parts and let the stream catch up after each one."""
-    for i in range(3):
-        source.filter(part == i).write.mode("append").parquet(log)
+def _in_halves(source: DataFrame, second: Column, log: str, run: Callable[[], None]) -> None:
+    """Append the source to a log in two ordered parts and let the stream catch up after each one."""
+    for part in (~second, second):
+        source.filter(part).write.mode("append").parquet(log)
         run()
 
 
 @query
 def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fused query over a growing log, restarted from its checkpoint for every part of it."""
+    """The fused query over a growing log, restarted from its checkpoint half-way."""
     root = scratch_dir(spark, "fused")
     log = f"{root}/raw"
     dims = inputs.dimensions(spark)
-    part = F.least(F.lit(2), F.floor(F.col("offset") * 3 / F.lit(_event_count(spark, sf_dir))))
+    second = F.col("offset") * 2 >= F.lit(_event_count(spark, sf_dir))
     source = inputs.messages(spark, sf_dir)
-    _in_thirds(spark, source, part, log, lambda: stages.run_fused(spark, root, log, dims, inputs.run_ts()))
+    _in_halves(source, second, log, lambda: stages.run_fused(spark, root, log, dims, inputs.run_ts()))
     return _rows_of_sinks(spark, root)
 
 
@@ -972,7 +972,7 @@ def stream_stage_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The velocity windows from keyed state, over three restarts."""
+    """The velocity windows from keyed state, restarted half-way."""
     root = scratch_dir(spark, "velocity")
     log = f"{root}/log"
     wanted = ["offset", "TransactionID", "TransactionDT", "TransactionAmt", "uid"]
@@ -982,14 +982,14 @@ def stream_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = stateful.velocity_on_stream(filelog.read_stream(spark, log, valid.schema))
         sinks.drain_to_files(stream, f"{root}/checkpoint", f"{root}/out")
 
-    _in_thirds(spark, valid, F.least(F.lit(2), F.floor(F.col("TransactionDT") / TEN_DAYS)), log, catch_up)
+    _in_halves(valid, F.col("TransactionDT") >= FIFTEEN_DAYS, log, catch_up)
     out = spark.read.parquet(f"{root}/out")
     return out.select(F.col("offset").alias("log_offset"), "uid", *VELOCITY, "velocity_flag", "is_late")
 
 
 @query
 def stream_price_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The moving-window signals from keyed state, over three restarts."""
+    """The moving-window signals from keyed state, restarted half-way."""
     root = scratch_dir(spark, "signals")
     log = f"{root}/log"
     ticks = inputs.ticks(spark, sf_dir)
@@ -998,6 +998,5 @@ def stream_price_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = stateful.price_signals_on_stream(filelog.read_stream(spark, log, ticks.schema), PRICE_DIGITS)
         sinks.drain_to_files(stream, f"{root}/checkpoint", f"{root}/out")
 
-    day = F.datediff(F.col("ingested_at"), F.lit("2024-01-01").cast("date"))
-    _in_thirds(spark, ticks, F.least(F.lit(2), F.floor(day / 10)), log, catch_up)
+    _in_halves(ticks, F.col("ingested_at") >= F.lit("2024-01-16").cast("timestamp_ntz"), log, catch_up)
     return spark.read.parquet(f"{root}/out")
