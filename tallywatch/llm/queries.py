@@ -8,11 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import wavelet_ids
+from tallywatch.llm import imatch, piece_bpe, wavelet_ids
 from tallywatch.llm.tables import table
 from tallywatch.session import scratch_dir
 
 
+def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every text and the text decoded from them, as digests."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    both = piece_bpe.decode(piece_bpe.encode(table(spark, sf_dir, "documents"), model), model)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, written as wavelet-matrix shards and read back from them."""
     path = scratch_dir(spark, "wavelet-ids")
@@ -21,8 +33,24 @@ def op8_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_ids.with_start(read, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, with likeness to the edited and the next text."""
+    report = imatch.edit_report(table(spark, sf_dir, "documents"))
+    return report.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        imatch.fingerprint_text("fp").alias("fingerprint"),
+        imatch.fingerprint_text("edited_fp").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_piece_bpe": op7_piece_bpe,
     "op8_wavelet_ids": op8_wavelet_ids,
+    "op10_imatch": op10_imatch,
 }
 
 ORACLES: dict[str, str] = {}
