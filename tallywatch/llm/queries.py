@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import imatch, minhash_forest, piece_bpe, wavelet_ids
+from tallywatch.llm import compression_quality, imatch, minhash_forest, piece_bpe, wavelet_ids
 from tallywatch.llm.tables import table
 from tallywatch.session import scratch_dir
 
@@ -18,6 +18,12 @@ def op5_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"), minhash_forest.Near(words=3, percent=85))
 
 
+def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text from its compressed sizes."""
+    docs = table(spark, sf_dir, "documents")
+    return compression_quality.score(docs, compression_quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every text and the text decoded from them, as digests."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -54,6 +60,7 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash_forest": op5_minhash_forest,
+    "op6_compression_quality": op6_compression_quality,
     "op7_piece_bpe": op7_piece_bpe,
     "op8_wavelet_ids": op8_wavelet_ids,
     "op10_imatch": op10_imatch,
