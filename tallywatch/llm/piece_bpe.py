@@ -24,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.llm.byte_ids import RECENT, Recent, Unsafe
+from tallywatch.llm.byte_ids import Recent, Unsafe
 from tallywatch.llm.tables import map_batches, text_or_empty
 
 SPACE = "▁"
+RECENT = 250_000  # words a worker keeps in each of two generations
+PAIRS = 400_000  # pairs whose compatibility it keeps
 
 
 class Pieces:
@@ -74,6 +76,29 @@ class Pieces:
             out.append((best[0], symbols[0], symbols[-1]))
         return out if len(symbols) == 1 else [*out, (-np.inf, "", "")]
 
+    def decode(self, ids: Sequence[int]) -> str:
+        """Text of ``ids``: pieces joined, byte runs read as UTF-8, the leading space mark dropped."""
+        surface = self.surface
+        try:
+            out = "".join([surface[k] for k in ids])
+        except TypeError:
+            out = self._decode_bytes(ids)
+        first = next((k for k in ids if surface[k] != ""), None)
+        return out[1:] if first in self.marked else out
+
+    def _decode_bytes(self, ids: Sequence[int]) -> str:
+        out, run, surface, byte_of = [], bytearray(), self.surface, self.byte_of
+        for k in ids:
+            if surface[k] is None:
+                run.append(byte_of[k])
+                continue
+            if run:
+                out.append(_utf8(run))
+                run = bytearray()
+            out.append(surface[k])
+        out.append(_utf8(run))
+        return "".join(out)
+
 
 class PrefixTable:
     """Encoder of single words."""
@@ -148,14 +173,14 @@ class PairMemo(dict):
         return out
 
 
-class PieceCodec:
-    """Encoder and decoder of one worker."""
+class PieceEncoder:
+    """Encoder of one worker."""
 
     def __init__(self, path: str, limit: int = RECENT):
         self.pieces = Pieces(path)
         self.table = PrefixTable(self.pieces)
         self.words = Recent(self._word, limit)
-        self.parts = Recent(self._part, limit)
+        self.parts = Recent(self._part, limit // 4)
         self.pairs = {a + b for piece in self.pieces.score for a, b in zip(piece, piece[1:], strict=False)}
         alone = [c for c in map(chr, range(128)) if not c.isalnum() and c != " "]
         # Cut around an ASCII mark wherever no piece holds both neighbours; only pieces decide which cuts are safe.
@@ -192,33 +217,10 @@ class PieceCodec:
             out = b"".join(map(self.parts.__getitem__, re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", marked)))
         self.words.trim()
         self.parts.trim()
-        if len(self.table.fits) > 4 * RECENT:
+        if len(self.table.fits) > PAIRS:
             self.table.fits.clear()
         return out + self.end
 
-    def decode(self, ids: Sequence[int]) -> str:
-        """Text of ``ids``: pieces joined, byte runs read as UTF-8, the leading space mark dropped."""
-        surface = self.pieces.surface
-        try:
-            out = "".join([surface[k] for k in ids])
-        except TypeError:
-            out = self._decode_bytes(ids)
-        first = next((k for k in ids if surface[k] != ""), None)
-        return out[1:] if first in self.pieces.marked else out
-
-    def _decode_bytes(self, ids: Sequence[int]) -> str:
-        out, run, surface, byte_of = [], bytearray(), self.pieces.surface, self.pieces.byte_of
-        for k in ids:
-            if surface[k] is None:
-                run.append(byte_of[k])
-                continue
-            if run:
-                out.append(_utf8(run))
-                run = bytearray()
-            out.append(surface[k])
-        out.append(_utf8(run))
-        return "".join(out)
-
 
 def _utf8(run: bytearray) -> str:
     """The characters of a byte run; each byte that belongs to none becomes U+FFFD."""
@@ -229,8 +231,13 @@ def _utf8(run: bytearray) -> str:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> PieceCodec:
-    return PieceCodec(path)
+def encoder(path: str) -> PieceEncoder:
+    return PieceEncoder(path)
+
+
+@lru_cache(maxsize=2)
+def pieces(path: str) -> Pieces:
+    return Pieces(path)
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,7 +248,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     """
 
     def start():
-        one = codec(model)
+        one = encoder(model)
 
         def step(batch):
             bodies = [one.encode(x.as_py()) for x in batch.column(1)]
@@ -260,7 +267,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     """Adds ``decoded string`` to ``doc_id, ids``."""
 
     def start():
-        one = codec(model)
+        one = pieces(model)
 
         def step(batch):
             ids = batch.column(1)

@@ -8,11 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import compression_quality, imatch, minhash_forest, piece_bpe, wavelet_ids
+from tallywatch.llm import compression_quality, html_extract, imatch, minhash_forest, piece_bpe, wavelet_ids
 from tallywatch.llm.tables import table
 from tallywatch.session import scratch_dir
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.learn(pages)).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op5_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents at 85 percent of 3-word shingles."""
     return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"), minhash_forest.Near(words=3, percent=85))
@@ -59,6 +65,7 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_html_extract": op2_html_extract,
     "op5_minhash_forest": op5_minhash_forest,
     "op6_compression_quality": op6_compression_quality,
     "op7_piece_bpe": op7_piece_bpe,
