@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import compression_quality, html_extract, imatch, minhash_forest, piece_bpe, wavelet_ids
+from tallywatch.llm import compression_quality, html_extract, imatch, minhash_forest, piece_bpe, suffix_dedup, wavelet_ids
 from tallywatch.llm.tables import table
 from tallywatch.session import scratch_dir
 
@@ -19,6 +19,12 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, html_extract.learn(pages)).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every text less its repeated 200-byte strings."""
+    out = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", suffix_dedup.n_removed().alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents at 85 percent of 3-word shingles."""
     return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"), minhash_forest.Near(words=3, percent=85))
@@ -66,6 +72,7 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_extract": op2_html_extract,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_minhash_forest": op5_minhash_forest,
     "op6_compression_quality": op6_compression_quality,
     "op7_piece_bpe": op7_piece_bpe,
