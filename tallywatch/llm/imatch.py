@@ -132,10 +132,10 @@ def with_successor(df: DataFrame, key: str, columns: list[str], ties: str, parts
     before = F.when(F.array_contains(cuts_col, F.col("_key")) & (F.col("_key") > first), F.struct((F.col("_part") - 1).alias("part"), F.lit(1).alias("copy")))
     around = F.when(F.col("_key") == first, F.struct(F.lit(len(cuts)).alias("part"), F.lit(2).alias("copy")))
     dealt = df.withColumn("_key", order).withColumn("_part", part).withColumn("_to", F.explode(F.array_compact(F.array(here, before, around))))
-    window = Window.partitionBy("_to.part").orderBy(F.col("_to.copy") == 2, "_key", ties)
-    for c in columns:
-        dealt = dealt.withColumn(f"next_{c}", F.lead(c).over(window))
-    return dealt.filter(F.col("_to.copy") == 0).drop("_key", "_part", "_to")
+    dealt = dealt.select(*df.columns, "_key", F.col("_to.part").alias("_range"), F.col("_to.copy").alias("_copy"), (F.col("_to.copy") == 2).alias("_last"))
+    window = Window.partitionBy("_range").orderBy("_last", "_key", ties)
+    dealt = dealt.select("*", *[F.lead(c).over(window).alias(f"next_{c}") for c in columns])
+    return dealt.filter(F.col("_copy") == 0).drop("_key", "_range", "_copy", "_last")
 
 
 def edit_report(docs: DataFrame, band: Band = Band(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
