@@ -67,7 +67,9 @@ class ByteIds:
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids do not fit 16 bits")
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.find = regex.compile(PATTERN).findall
+        pattern = regex.compile(PATTERN)
+        self.find = pattern.findall
+        self.scan = lambda text, start: pattern.finditer(text, start)
         self.stand_in = byte_characters()
         self.space = self.stand_in[32]
         self.pretoken = Recent(self._pretoken, limit)

@@ -8,17 +8,44 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import compression_quality, html_extract, imatch, minhash_forest, piece_bpe, suffix_dedup, wavelet_ids
+from tallywatch.llm import (
+    compression_quality,
+    embedding_neardup,
+    html_extract,
+    imatch,
+    length_packing,
+    minhash_forest,
+    piece_bpe,
+    suffix_dedup,
+    token_counts,
+    wavelet_ids,
+)
 from tallywatch.llm.tables import table
 from tallywatch.session import scratch_dir
 
 
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors inside each label, at a cosine of 0.98."""
+    return embedding_neardup.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages")
     return html_extract.extract(pages, html_extract.learn(pages)).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every text and of the text after four drawn edits, recounted from its tree."""
+    path = public_tokenizers.path(BYTE_BPE)
+    docs = table(spark, sf_dir, "documents").withColumn("edits", token_counts.drawn_edits())
+    edited = token_counts.recount(token_counts.count(docs, path, edits_col="edits"), path)
+    return edited.select("doc_id", "n_tokens", "n_edited", "n_encoded", F.sha2("text", 256).alias("edited_sha256"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every text less its repeated 200-byte strings."""
     out = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
@@ -51,11 +78,16 @@ def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, written as wavelet-matrix shards and read back from them."""
     path = scratch_dir(spark, "wavelet-ids")
-    wavelet_ids.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    wavelet_ids.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path(BYTE_BPE), end_id=0)
     read = wavelet_ids.read_ids(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return wavelet_ids.with_start(read, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's tokens in sequences, bucketed by length and batched."""
+    return length_packing.pack_texts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited text, with likeness to the edited and the next text."""
     report = imatch.edit_report(table(spark, sf_dir, "documents"))
@@ -71,12 +103,15 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_neardup": op1_embedding_neardup,
     "op2_html_extract": op2_html_extract,
+    "op3_token_counts": op3_token_counts,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_minhash_forest": op5_minhash_forest,
     "op6_compression_quality": op6_compression_quality,
     "op7_piece_bpe": op7_piece_bpe,
     "op8_wavelet_ids": op8_wavelet_ids,
+    "op9_length_packing": op9_length_packing,
     "op10_imatch": op10_imatch,
 }
 
