@@ -16,8 +16,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tallywatch.llm.tables import map_batches, text_or_empty
+from tallywatch.llm.tables import map_batches, packed, text_or_empty
 
 CHUNK = 4096  # bytes compressed at once, so that a dictionary matters throughout a long text
 LEVEL = 3
@@ -59,16 +60,18 @@ def dictionary(samples: list[bytes]) -> bytes:
 
 
 def _compressor(content: bytes):
-    kind = zstandard.DICT_TYPE_AUTO if content else zstandard.DICT_TYPE_RAWCONTENT
     if not content:
         return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False).compress
-    primed = zstandard.ZstdCompressionDict(content, dict_type=kind)
+    primed = zstandard.ZstdCompressionDict(content)
     primed.precompute_compress(level=LEVEL)
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=primed, write_content_size=False, write_dict_id=False).compress
 
 
-def features(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, good_bytes, bad_bytes``: whole texts, compressed with either dictionary."""
+SIZES = "n_bytes long, good_bytes long, bad_bytes long"
+
+
+def with_sizes(rows: DataFrame, model: Model) -> DataFrame:
+    """``row`` and the bytes of ``text`` in ``row, text``: plain, and compressed with either dictionary; whole texts."""
 
     def start():
         good, bad = _compressor(model.good), _compressor(model.bad)
@@ -79,12 +82,12 @@ def features(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 parts = chunks(text.as_py())
                 sizes.append((sum(map(len, parts)), sum(len(good(p)) for p in parts), sum(len(bad(p)) for p in parts)))
             columns = [pa.array(c, pa.int64()) for c in np.array(sizes, np.int64).reshape(-1, 3).T]
-            return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_bytes", "good_bytes", "bad_bytes"])
+            return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["row", "n_bytes", "good_bytes", "bad_bytes"])
 
         return step
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).cast("binary").alias("text"))
-    return map_batches(rows, "doc_id long, n_bytes long, good_bytes long, bad_bytes long", start)
+    schema = StructType([rows.schema["row"], *StructType.fromDDL(SIZES)])
+    return map_batches(rows.select("row", text_or_empty().cast("binary").alias("text")), schema, start)
 
 
 def _inputs() -> list[Column]:
@@ -149,7 +152,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> Mode
     model = Model(good=dictionary(parts[1]), bad=dictionary(parts[0]))
 
     rest = texts.filter(F.col("turn") * rows >= F.lit(sample.dictionary_rows) * rows)
-    seen = features(rest, model).join(picked, "doc_id").select(F.col("good").cast("double").alias("y"), *[c.alias(f"x{k}") for k, c in enumerate(_inputs())]).collect()
+    seen = with_sizes(rest.select(F.struct("good").alias("row"), "text"), model).select(F.col("row.good").cast("double").alias("y"), *[c.alias(f"x{k}") for k, c in enumerate(_inputs())]).collect()
     y = np.array([r["y"] for r in sorted(seen)])
     if not y.size or y.min() == y.max():
         share = y.mean() if y.size else 0.5
@@ -158,12 +161,25 @@ def learn(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> Mode
     return Model(model.good, model.bad, tuple(map(float, fit_curve(x, y))))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row; repeated rows stay, other columns are not read.
-
-    A null text counts as empty; all empty texts share one score. A null id is kept, and is not held out.
-    """
+def _curve(model: Model) -> Column:
     *w, base = model.weights
     line = sum((F.lit(k) * c for k, c in zip(w, _inputs(), strict=True)), F.lit(base))
-    out = features(docs, model, id_col, text_col).withColumn("score", 1 / (1 + F.exp(-line)))
-    return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return 1 / (1 + F.exp(-line))
+
+
+def with_score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``row`` (the columns of ``docs``) and ``score``: 0 to 1, higher where good is likelier.
+
+    Rows are scored apart, so repeated rows and null ids stay; a null text counts as empty, and all empty texts
+    share one score.
+    """
+    rows = packed(docs).withColumn("text", F.col(f"row.`{text_col}`"))
+    return with_sizes(rows, model).select("row", _curve(model).alias("score"))
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for every row; other columns are not read. A null id is not held out."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    out = with_sizes(rows.select(F.struct("doc_id").alias("row"), "text"), model)
+    out = out.select("row", _curve(model).alias("score"))
+    return out.select(F.col("row.doc_id").alias("doc_id"), "score").select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

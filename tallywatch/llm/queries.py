@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,8 +49,8 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every text less its repeated 200-byte strings."""
-    out = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", suffix_dedup.n_removed().alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    out = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", "n_bytes", suffix_dedup.n_removed().alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op5_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +104,7 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
     "op1_embedding_neardup": op1_embedding_neardup,
     "op2_html_extract": op2_html_extract,
     "op3_token_counts": op3_token_counts,

@@ -21,10 +21,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallywatch.llm.links import runs
 from tallywatch.llm.suffix_sort import PERIOD, Block
-from tallywatch.llm.tables import map_batches, partitions_for, stored
+from tallywatch.llm.tables import map_batches, packed, partitions_for, stored
 
 PIECE = 1 << 20  # string starts looked at together; their place fits the low bits of a hash
 LOW = np.uint64((1 << 21) - 1)
@@ -86,11 +87,11 @@ class Grams:
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _document(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _document(docs: DataFrame, id_col: str, text_col: str, *carried: str) -> DataFrame:
     """``doc, mark, text``: an id without nulls, 16 bits that tell apart the texts of rows with the same id, bytes."""
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), doc.alias("doc"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("mark"), text.alias("text"))
+    return docs.select(*carried, doc.alias("doc"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("mark"), text.alias("text"))
 
 
 FILED = "gram long, doc long, place long, known boolean, deal long"
@@ -335,12 +336,15 @@ def removed_runs(starts: list[bytes], length: int) -> np.ndarray:
     return np.column_stack([pairs[at, 0], reach[np.append(at[1:], len(pairs)) - 1]])
 
 
+CUT = "n_bytes long, removed array<struct<start: long, end: long>>, kept binary"
+
+
 def without_repeats(docs: DataFrame, repeats: Repeats = Repeats(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, removed array<struct<start, end>>, kept binary`` for every row.
+    """``row`` (the columns of ``docs``), ``n_bytes``, ``removed`` (runs of byte offsets) and ``kept`` (bytes) for every row.
 
     Texts are their UTF-8 bytes; a null text is empty. Strings never cross rows, and every row is a document
     of its own: rows with equal texts lose whatever is as long as a string. Rows shorter than a string stay
-    whole. Other columns are not read; an empty table gives an empty one.
+    whole. An empty table gives an empty one.
     """
     found = spans(docs, repeats, id_col, text_col)
 
@@ -354,10 +358,11 @@ def without_repeats(docs: DataFrame, repeats: Repeats = Repeats(), id_col: str =
             lists.append([{"start": a, "end": b} for a, b in gone])
             kept.append(b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
         runs_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(lists, runs_type), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "removed", "kept"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(lists, runs_type), pa.array(kept, pa.binary())], names=["row", "n_bytes", "removed", "kept"])
 
-    joined = _document(docs, id_col, text_col).join(found, ["doc", "mark"], "left").select("doc_id", "text", "starts")
-    return map_batches(joined, "doc_id long, n_bytes long, removed array<struct<start: long, end: long>>, kept binary", lambda: step)
+    rows = packed(docs).select("row", *(F.col(f"row.`{c}`").alias(f"row_{k}") for k, c in enumerate((id_col, text_col))))
+    joined = _document(rows, "row_0", "row_1", "row").join(found, ["doc", "mark"], "left").select("row", "text", "starts")
+    return map_batches(joined, StructType([joined.schema["row"], *StructType.fromDDL(CUT)]), lambda: step)
 
 
 def n_removed(removed: str = "removed") -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallywatch.session import scratch_dir
 
@@ -26,7 +27,7 @@ def stored(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch]]) -> DataFrame:
+def map_batches(df: DataFrame, schema: str | StructType, start: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch]]) -> DataFrame:
     """``mapInArrow`` whose per-task state comes from ``start``; the returned function maps each non-empty batch."""
 
     def run(batches):
@@ -42,6 +43,11 @@ def map_batches(df: DataFrame, schema: str, start: Callable[[], Callable[[pa.Rec
     return df.mapInArrow(run, schema)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Every column in one struct ``row``, so that no name of theirs meets an operator's own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def partitions_for(spark: SparkSession) -> int:
     """Partitions for an explicit shuffle: what the session would use for its own."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
