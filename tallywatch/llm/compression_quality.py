@@ -27,11 +27,10 @@ DICTIONARY = 64 * 1024
 
 @dataclass(frozen=True)
 class Sample:
-    """Bounds of what is learned from: labelled rows of each class for the dictionaries and for the curve, and
-    chunks taken of each row for the dictionaries (evenly spaced)."""
+    """Bounds of what is learned from: labelled rows of each class, and chunks taken of each row for the
+    dictionaries (evenly spaced)."""
 
-    dictionary_rows: int = 1500
-    curve_rows: int = 1500
+    rows: int = 3000
     chunks: int = 6
 
 
@@ -131,28 +130,30 @@ def learn(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> Mode
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("good"))
-    rows = sample.dictionary_rows + sample.curve_rows
     order = F.xxhash64(F.lit(6), "doc_id")
-    taken = [known.filter(F.col("good") == g).orderBy(order, "doc_id").limit(rows).withColumn("turn", F.pmod(order, F.lit(rows))) for g in (0, 1)]
-    picked = F.broadcast(taken[0].unionByName(taken[1]))  # two classes of at most ``rows`` ids
+    taken = [known.filter(F.col("good") == g).orderBy(order, "doc_id").limit(sample.rows) for g in (0, 1)]
+    picked = F.broadcast(taken[0].unionByName(taken[1]).withColumn("half", F.pmod(order, F.lit(2)).cast("int")))  # two classes of at most ``rows`` ids
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).join(picked, "doc_id")
 
     def spaced(batch):
-        goods, rows_ = [], []
-        for good, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        keys, rows_ = [batch.column(k).to_pylist() for k in range(2)], []
+        for text in batch.column(2).to_pylist():
             parts = chunks(text or b"")
             some = sorted({round(k * (len(parts) - 1) / max(1, sample.chunks - 1)) for k in range(sample.chunks)}) if parts else []
-            goods.append(good)
             rows_.append([parts[k] for k in some])
-        return pa.RecordBatch.from_arrays([pa.array(goods, pa.int32()), pa.array(rows_, pa.list_(pa.binary()))], names=["good", "parts"])
+        return pa.RecordBatch.from_arrays([*(pa.array(k, pa.int32()) for k in keys), pa.array(rows_, pa.list_(pa.binary()))], names=["good", "half", "parts"])
 
-    first = texts.filter(F.col("turn") * (sample.dictionary_rows + sample.curve_rows) < F.lit(sample.dictionary_rows) * rows)
-    cut = map_batches(first.select("good", F.col("text").cast("binary").alias("text")), "good int, parts array<binary>", lambda: spaced).collect()
-    parts = without_shared_lines([(r["good"], [bytes(p) for p in r["parts"]]) for r in cut])
-    model = Model(good=dictionary(parts[1]), bad=dictionary(parts[0]))
+    cut = map_batches(texts.select("good", "half", F.col("text").cast("binary").alias("text")), "good int, half int, parts array<binary>", lambda: spaced).collect()
 
-    rest = texts.filter(F.col("turn") * rows >= F.lit(sample.dictionary_rows) * rows)
-    seen = with_sizes(rest.select(F.struct("good").alias("row"), "text"), model).select(F.col("row.good").cast("double").alias("y"), *[c.alias(f"x{k}") for k, c in enumerate(_inputs())]).collect()
+    def primed(halves: tuple[int, ...]) -> Model:
+        bad, good = without_shared_lines([(r["good"], [bytes(p) for p in r["parts"]]) for r in cut if r["half"] in halves])
+        return Model(good=dictionary(good), bad=dictionary(bad))
+
+    # The curve is fitted on sizes that dictionaries of the other half gave; the final ones use both halves.
+    model, seen = primed((0, 1)), []
+    for half in (0, 1):
+        rest = texts.filter(F.col("half") == half).select(F.struct("good").alias("row"), "text")
+        seen += with_sizes(rest, primed((1 - half,))).select(F.col("row.good").cast("double").alias("y"), *[c.alias(f"x{k}") for k, c in enumerate(_inputs())]).collect()
     y = np.array([r["y"] for r in sorted(seen)])
     if not y.size or y.min() == y.max():
         share = y.mean() if y.size else 0.5

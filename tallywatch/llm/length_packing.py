@@ -93,7 +93,7 @@ def pack(lengths: DataFrame, packing: Packing = Packing()) -> DataFrame:
     for row in histogram:
         counts[row["n_tokens"]] = row["n"]
     ends = boundaries(counts, packing.buckets)
-    lows = [0, *ends[:-1]]
+    lows = [0, *ends][: len(ends)]
     held = [int(counts[a + 1 : b + 1].sum()) for a, b in zip(lows, ends, strict=True)]
 
     def by_bucket(values: list[int]) -> F.Column:
