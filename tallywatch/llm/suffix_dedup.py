@@ -40,7 +40,7 @@ class Repeats:
     length: int = 200
     gram: int = 32
     crowd: int = 32_768  # different regions of a gram that one task sorts
-    block: int = 2 << 20  # bytes of regions that are sorted together
+    block: int = 1 << 20  # bytes of regions that are sorted together
 
     def __post_init__(self):
         if self.gram & (self.gram - 1) or not PERIOD < self.length < 256 or self.gram >= self.length - STEP:

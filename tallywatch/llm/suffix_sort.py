@@ -27,6 +27,7 @@ def shifts(period: int = PERIOD, cover: tuple[int, ...] = COVER) -> np.ndarray:
 
 
 SHIFTS = shifts()
+TOGETHER = 1 << 17  # suffixes of small buckets that are sorted together
 
 
 def _heads(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
@@ -54,7 +55,7 @@ class Block:
         at = np.flatnonzero(np.resize(residues, self.size + PERIOD))
         heads = _heads(self.text, at, PERIOD)
         rank = _dense(heads, np.argsort(heads, kind="stable"))
-        place = np.full(self.size + 2 * PERIOD, -1, np.int64)  # of each covered position in ``at``
+        place = np.full(self.size + 2 * PERIOD, -1, np.int32)  # of each covered position in ``at``
         place[at] = np.arange(at.size)
         length = PERIOD
         while at.size and int(rank.max()) + 1 < at.size:
@@ -66,7 +67,7 @@ class Block:
             pair = rank * (2 * (self.size + PERIOD) + at.size + 1) + follow
             rank = _dense(pair, np.argsort(pair, kind="stable"))
             length *= 2
-        self.rank = np.zeros(self.size + 2 * PERIOD, np.int64)
+        self.rank = np.zeros(self.size + 2 * PERIOD, np.int32)
         self.rank[at] = rank
 
     def before(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -122,13 +123,28 @@ class Block:
     def agree(self, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
         """Whether the ``length`` bytes from ``a`` and from ``b`` are equal."""
         out, words = np.empty(a.size, bool), np.lib.stride_tricks.sliding_window_view(self.text, length)
-        for k in range(0, a.size, 1 << 15):
-            part = slice(k, k + (1 << 15))
+        for k in range(0, a.size, 1 << 13):
+            part = slice(k, k + (1 << 13))
             out[part] = (words[a[part]] == words[b[part]]).all(axis=1)
         return out
 
     def repeated(self, at: np.ndarray, bucket: np.ndarray, length: int) -> np.ndarray:
-        """Whether another suffix of the same bucket shares the first ``length`` bytes with each of ``at``."""
+        """Whether another suffix of the same bucket shares the first ``length`` bytes with each of ``at``.
+
+        Buckets are sorted one after the other, small ones some at a time, so memory follows the largest bucket.
+        """
+        out = np.zeros(at.size, bool)
+        by_bucket = np.argsort(bucket, kind="stable")
+        begin = np.flatnonzero(np.concatenate([[True], np.diff(bucket[by_bucket]) != 0])) if at.size else np.zeros(0, np.int64)
+        stops, low = [*begin[1:].tolist(), at.size] if at.size else [], 0
+        for k, stop in enumerate(stops):
+            if k + 1 == len(stops) or stops[k + 1] - low > TOGETHER:
+                mine = by_bucket[low:stop]
+                out[mine] = self._repeated(at[mine], bucket[mine], length)
+                low = stop
+        return out
+
+    def _repeated(self, at: np.ndarray, bucket: np.ndarray, length: int) -> np.ndarray:
         order = self.sort(at, bucket)
         here, group = at[order], bucket[order]
         near = np.flatnonzero((group[1:] == group[:-1]) & (here[1:] != here[:-1]))
