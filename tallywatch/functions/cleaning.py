@@ -10,12 +10,13 @@ MISSING_TEXTS = ("", "null", "none", "nan")
 TRUE_TEXTS = ("true", "1", "yes", "y")
 
 SPARK_TYPES = {"string": "string", "int": "int", "long": "bigint", "double": "double", "boolean": "boolean"}
+NUMBER = r"^(?i)[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)(e[+-]?[0-9]+)?|inf(inity)?)$"
 ZERO_VALUES = {"string": "", "int": 0, "long": 0, "double": 0.0, "boolean": False}
 
 
 def strip_text(text: Column) -> Column:
     """Remove leading and trailing white space of every kind, not just blanks."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
 
 
 def normalize_null(text: Column) -> Column:
@@ -23,15 +24,20 @@ def normalize_null(text: Column) -> Column:
     return F.when(F.lower(cleaned).isin(*MISSING_TEXTS), None).otherwise(cleaned)
 
 
+def number_of(text: Column) -> Column:
+    """A double from plain or scientific digits or a word for infinity; suffixes and hexadecimal digits give NULL."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
 def cast_text(text: Column, kind: str) -> Column:
     """Text to a contract type; whole numbers truncate through double; failure gives NULL."""
     value = normalize_null(text)
     if kind == "string":
         return value
     if kind in ("int", "long"):
-        return value.try_cast("double").try_cast(SPARK_TYPES[kind])
+        return number_of(value).try_cast(SPARK_TYPES[kind])
     if kind == "double":
-        return value.try_cast("double")
+        return number_of(value)
     if kind == "boolean":
         return F.when(value.isNotNull(), F.lower(value).isin(*TRUE_TEXTS))
     return value

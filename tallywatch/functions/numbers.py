@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts are summed as whole ten-thousandths: long sums are exact, associative
-# and cheap in hash aggregates, while double sums change with the partitioning.
+# Amounts are summed as whole ten-thousandths: such sums are exact and associative, while double sums change
+# with the partitioning. The counts are decimals, because a long holds no more than 9.2e14.
 UNITS_PER_ONE = 10_000
+UNITS_TYPE = "decimal(38,0)"
+# Records with a larger amount are rejected, so that no sum of fewer than 10^12 rows can run out of digits.
+LARGEST_AMOUNT = 1e18
 
 
 def to_units(amount: Column) -> Column:
-    """Amount as a long count of 1/10000; NULL for NULL and non-finite amounts."""
-    return F.round(amount * F.lit(float(UNITS_PER_ONE))).try_cast("bigint")
+    """Amount as a whole count of 1/10000; NULL for NULL, non-finite and unrepresentable amounts."""
+    return F.round(amount * F.lit(float(UNITS_PER_ONE))).try_cast(UNITS_TYPE)
 
 
 def from_units(units: Column) -> Column:
@@ -21,13 +24,18 @@ def from_units(units: Column) -> Column:
 
 def cents_from_units(units: Column) -> Column:
     """Units rounded half up to two places, as a double; integer arithmetic up to the last step."""
-    return F.floor((units + F.lit(50)) / F.lit(100.0)).cast("double") / F.lit(100.0)
+    return _whole((units + F.lit(50)) / F.lit(100.0)) / F.lit(100.0)
+
+
+def _whole(value: Column) -> Column:
+    """The floor of a double; from 2^53 on a double is whole, and a long would not hold the largest."""
+    return F.when(F.abs(value) < F.lit(2.0**53), F.floor(value).cast("double")).otherwise(value.cast("double"))
 
 
 def half_up(value: Column, places: int) -> Column:
     """Round a non-negative double half up with the same IEEE steps in every engine."""
     factor = float(10**places)
-    return F.floor(value * F.lit(factor) + F.lit(0.5)).cast("double") / F.lit(factor)
+    return _whole(value * F.lit(factor) + F.lit(0.5)) / F.lit(factor)
 
 
 def clamp(value: Column, low: float, high: float) -> Column:

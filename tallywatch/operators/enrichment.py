@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from tallywatch.functions.features import normalize_email
 
-# A dimension is broadcast only if it has at most this many rows.
-BROADCAST_ROWS = 200_000
-
-
 def attach_identity(transactions: DataFrame, identity: DataFrame, key: str = "TransactionID", spread_by: str = "offset") -> DataFrame:
     """Left equi-join that keeps rows without a key from piling up in one partition.
 
@@ -23,21 +19,20 @@ def attach_identity(transactions: DataFrame, identity: DataFrame, key: str = "Tr
     return left.join(right, [key, "_scatter"], "left").drop("_scatter")
 
 
-def small_enough(dim: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    return dim.limit(rows + 1).count() <= rows
+def one_per_key(dim: DataFrame, key: str) -> DataFrame:
+    """One row per key: of rows that repeat it, the smallest by all their columns. Rows without a key match nothing.
 
-
-def sized_dimension(dim: DataFrame, key: str) -> DataFrame:
-    """One row per key, with a broadcast hint only after its size was checked."""
-    unique = dim.dropDuplicates([key])
-    return F.broadcast(unique) if small_enough(unique) else unique
+    Whether the result is broadcast is Spark's decision, from its size in bytes as planned or as measured.
+    """
+    rest = [c for c in dim.columns if c != key]
+    least = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
+    return least.select(key, "_row.*").select(*dim.columns)
 
 
 def attach_dimensions(df: DataFrame, product: DataFrame, email: DataFrame, hour: DataFrame) -> DataFrame:
     """Risk columns of product, purchaser email domain and hour; a miss leaves NULLs.
 
-    The three inputs come ready-sized (see ``sized_dimension``), so that a streaming plan
-    can be built once and re-read them in every micro-batch.
+    Each dimension has one row per key (see ``one_per_key``).
     """
     product_side = product.select(F.col("product_cd").alias("_product"), F.col("risk_tier").alias("product_risk_tier"))
     email_side = email.select(

@@ -14,7 +14,8 @@ SEVERITY_BANDS = ((0.5, "CRITICAL"), (0.3, "ALERT"), (0.1, "WATCH"))
 ALERT_LEVELS = ("ALERT", "CRITICAL")
 
 CHUNK_ROWS = 50_000
-PRICE_DIGITS = 8
+PRICE_DIGITS = 8  # places that enter the sums; a price's own digits are kept beside them
+LARGEST_PRICE = 1e8  # the squares of a chunk's price units stay within 38 digits
 
 
 def severity(deviation: Column) -> Column:
@@ -25,6 +26,30 @@ def severity(deviation: Column) -> Column:
     return expr.otherwise("NORMAL")
 
 
+def reject_reason(symbol: Column, price: Column) -> Column:
+    """Why a tick cannot enter a window; NULL for a good one."""
+    return (
+        F.when(symbol.isNull(), "null_symbol")
+        .when(price.isNull(), "null_price")
+        .when(F.isnan(price), "nan_price")
+        .when(F.abs(price) == float("inf"), "infinite_price")
+        .when(F.abs(price) >= LARGEST_PRICE, "price_out_of_range")
+    )
+
+
+def price_rejects(ticks: DataFrame) -> DataFrame:
+    """The ticks that ``price_signals`` leaves out, with the reason."""
+    return ticks.withColumn("reason", reject_reason(F.col("symbol"), F.col("price"))).filter(F.col("reason").isNotNull())
+
+
+def usable(ticks: DataFrame) -> DataFrame:
+    return ticks.filter(reject_reason(F.col("symbol"), F.col("price")).isNull())
+
+
+def price_units(price: Column, digits: int) -> Column:
+    return F.round(price * F.lit(float(10**digits))).try_cast("bigint")
+
+
 def window_statistics(price: Column, total: Column, squares: Column, rows: Column, digits: int) -> dict[str, Column]:
     """Mean, percent deviation of the price, population deviation, from sums of whole price units."""
     unit = F.lit(float(10**digits))
@@ -43,16 +68,14 @@ def price_signals(
     A symbol is cut into chunks of ``chunk_rows`` rows; each chunk gets a copy of the 49 rows before
     it. Sums are differences of running totals, so the cost per row does not grow with the window.
     """
-    known = ticks.filter(F.col("symbol").isNotNull())
-    numbered = number_rows(known, "symbol", "seq", slice_rows)
+    numbered = number_rows(usable(ticks), "symbol", "seq", slice_rows)
     place = F.col("row_no") - 1
     chunk = F.floor(place / F.lit(chunk_rows)).cast("bigint")
     last_rows = place % chunk_rows >= chunk_rows - (WINDOW_ROWS - 1)
     homes = F.when(last_rows, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
     spread = numbered.withColumn("_home", chunk).withColumn("_chunk", F.explode(homes))
 
-    units = F.round(F.col("price") * F.lit(float(10**digits))).cast("bigint")
-    valued = spread.withColumn("_units", units).withColumn(
+    valued = spread.withColumn("_units", price_units(F.col("price"), digits)).withColumn(
         "_square", F.col("_units").cast("decimal(19,0)") * F.col("_units").cast("decimal(19,0)")
     )
     order = Window.partitionBy("symbol", "_chunk").orderBy("row_no")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.functions import cleaning, features, wire
-from tallywatch.functions.numbers import plain_float_text
+from tallywatch.functions.numbers import LARGEST_AMOUNT, plain_float_text
 from tallywatch.operators import contracts
 from tallywatch.operators.contracts import Contract
 
@@ -18,6 +18,7 @@ DECODE_FAILED = "decode_failed"
 NULL_TRANSACTION_ID = "null_transaction_id"
 INFINITE_UID = "build_error:cannot convert float infinity to integer"
 DATE_RANGE = "build_error:date value out of range"
+AMOUNT_RANGE = "amount_out_of_range"  # own reason: a finite amount beyond what exact sums hold
 
 
 def decode_log(df: DataFrame, contract: Contract, keep: tuple[str, ...] = ("offset",)) -> DataFrame:
@@ -44,6 +45,7 @@ def _checks(decoded: Column | None) -> list[tuple[Column, Column]]:
         ),
         (features.offset_out_of_range(F.col("TransactionDT")), F.lit(DATE_RANGE)),
         (features.has_infinite_part(F.col("card1"), F.col("addr1")), F.lit(INFINITE_UID)),
+        ((amount >= LARGEST_AMOUNT) & (amount < float("inf")), F.lit(AMOUNT_RANGE)),
     ]
     return checks if decoded is None else [(~decoded, F.lit(DECODE_FAILED)), *checks]
 

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywatch.functions.numbers import cents_from_units, to_units
+from tallywatch.functions.numbers import UNITS_TYPE, cents_from_units, to_units
 from tallywatch.session import materialize
 
 SECOND_US = 1_000_000
@@ -24,10 +24,7 @@ SPEND_WIDTHS = {
 }
 COUNT_WIDTHS = {"txn_count_1hr": SPEND_WIDTHS["spend_1hr"], "txn_count_24hr": SPEND_WIDTHS["spend_24hr"]}
 
-# A key with more rows than this is worked in row ranges shared by many tasks instead of one sort.
-DENSE_KEY_ROWS = 2_000_000
-DENSE_KEYS_BROADCAST = 1_000_000
-RANGE_ROWS = 5_000_000
+DAY_US = SPEND_WIDTHS["spend_24hr"]
 
 
 def velocity_flag() -> Column:
@@ -44,38 +41,23 @@ def add_velocity(
     amount: str = "TransactionAmt",
     tie: str = "TransactionID",
     row_id: str = "offset",
-    dense_key_rows: int = DENSE_KEY_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Append the velocity columns; ``row_id`` is unique per row (the log offset)."""
-    prepared = df.withColumn("_units", F.coalesce(to_units(F.col(amount)), F.lit(0).cast("bigint")))
-    keys, dense_rows_total = dense_keys(prepared, key, dense_key_rows)
-    if keys is None:
-        summed = _by_prefix_sums(prepared, key, time_us, tie, row_id)
-    else:
-        moments = dense_rows_total * (len(SPEND_WIDTHS) + 1)
-        ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), moments // RANGE_ROWS + 1)
-        sparse_rows = prepared.join(keys, key, "left_anti")
-        dense_rows = prepared.join(keys, key, "left_semi").select(*prepared.columns)
-        summed = _by_prefix_sums(sparse_rows, key, time_us, tie, row_id).unionByName(
-            _by_running_totals(dense_rows, key, time_us, tie, row_id, ranges)
-        )
-    return finish(summed, F.col(key).isNotNull())
-
+    """Append the velocity columns; ``row_id`` is unique per row (the log offset).
 
-def dense_keys(df: DataFrame, key: str, more_than: int) -> tuple[DataFrame | None, int]:
-    """Keys with more rows than ``more_than`` and how many rows they have; (None, 0) if there are none.
-
-    The keys carry a broadcast hint only if there are few of them.
+    By default a key's rows are worked day by day, in one exchange. Where single days of a key are too many rows
+    for one task, the caller names a number of ``ranges``: all rows are then cut into that many pieces of their
+    whole order, whatever their keys.
     """
-    known = df.filter(F.col(key).isNotNull()).select(key)
-    if known.limit(more_than + 1).count() <= more_than:
-        return None, 0
-    counted = materialize(known.groupBy(key).count().filter(F.col("count") > more_than), "dense-keys")
-    size = counted.agg(F.count("*").alias("keys"), F.sum("count").alias("rows")).collect()[0]
-    if size["keys"] == 0:
-        return None, 0
-    found = counted.select(key)
-    return (F.broadcast(found) if size["keys"] <= DENSE_KEYS_BROADCAST else found), size["rows"]
+    prepared = df.withColumn("_units", F.coalesce(to_units(F.col(amount)), F.lit(0).cast(UNITS_TYPE)))
+    if ranges is None:
+        summed = _by_days(prepared, key, time_us, tie, row_id)
+    else:
+        known = F.col(key).isNotNull() & F.col(time_us).isNotNull()
+        names = [f"_{n}" for n in (*SPEND_WIDTHS, *COUNT_WIDTHS)]
+        others = prepared.filter(~known).select("*", *[F.lit(0).cast("bigint").alias(n) for n in names])
+        summed = _by_running_totals(prepared.filter(known), key, time_us, tie, row_id, ranges).unionByName(others)
+    return finish(summed, F.col(key).isNotNull())
 
 
 def finish(df: DataFrame, known: Column) -> DataFrame:
@@ -87,33 +69,36 @@ def finish(df: DataFrame, known: Column) -> DataFrame:
     return named.withColumn("velocity_flag", velocity_flag()).drop(*helpers, "_units")
 
 
-def _by_prefix_sums(df: DataFrame, key: str, time_us: str, tie: str, row_id: str) -> DataFrame:
+def _by_days(df: DataFrame, key: str, time_us: str, tie: str, row_id: str) -> DataFrame:
     """One exchange and one sort: all rows before this one, minus those before the window opened.
 
-    Every frame starts at the first row of the key, so it is extended row by row and never re-read,
-    however many events a window holds.
+    No window is longer than a day, so a day's rows need only those of the day before: each row also goes into
+    the next day, as history without its other columns. Every frame starts at the first row of its group, so it
+    is extended row by row and never re-read, however many events a window holds. Rows without a key or a time
+    have no windows and are scattered.
     """
-    scattered = df.withColumn(
-        "_scatter", F.when(F.col(key).isNull(), F.xxhash64(row_id)).otherwise(F.lit(0).cast("bigint"))
-    )
-    group = Window.partitionBy(key, "_scatter")
+    payload = [c for c in df.columns if c not in (key, time_us, tie, row_id, "_units")]
+    known = F.col(key).isNotNull() & F.col(time_us).isNotNull()
+    day = F.floor(F.col(time_us) / F.lit(DAY_US)).cast("bigint")
+    days = F.when(known, F.array(day, day + 1)).otherwise(F.array(F.xxhash64(row_id)))
+    dealt = df.withColumn("_day", F.explode(days)).withColumn("_own", ~known | (F.col("_day") == day))
+    whole = F.when(F.col("_own"), F.struct(*payload)).alias("_payload")
+    dealt = dealt.select(key, time_us, tie, row_id, "_units", "_day", "_own", whole)
+    group = Window.partitionBy(key, "_day")
     before_row = group.orderBy(time_us, tie, row_id).rowsBetween(Window.unboundedPreceding, -1)
-    running = scattered.withColumns(
-        {
-            "_units_before": F.coalesce(F.sum("_units").over(before_row), F.lit(0)),
-            "_rows_before": F.count("_units").over(before_row),
-        }
-    )
+    zero = F.lit(0).cast("bigint")
 
     def opened(width: int):
         return group.orderBy(time_us).rangeBetween(Window.unboundedPreceding, -width - 1)
 
-    spends = {
-        f"_{n}": F.col("_units_before") - F.coalesce(F.sum("_units").over(opened(w)), F.lit(0))
-        for n, w in SPEND_WIDTHS.items()
-    }
-    counts = {f"_{n}": F.col("_rows_before") - F.count("_units").over(opened(w)) for n, w in COUNT_WIDTHS.items()}
-    return running.withColumns({**spends, **counts}).drop("_scatter", "_units_before", "_rows_before")
+    sums = {"_units_before": F.coalesce(F.sum("_units").over(before_row), zero), "_rows_before": F.count("_units").over(before_row)}
+    sums |= {f"_past_{n}": F.coalesce(F.sum("_units").over(opened(w)), zero) for n, w in SPEND_WIDTHS.items()}
+    sums |= {f"_past_{n}": F.count("_units").over(opened(w)) for n, w in COUNT_WIDTHS.items()}
+    own = dealt.withColumns(sums).filter("_own")
+    known_row = F.col(key).isNotNull() & F.col(time_us).isNotNull()
+    spends = {f"_{n}": F.when(known_row, F.col("_units_before") - F.col(f"_past_{n}")).otherwise(zero) for n in SPEND_WIDTHS}
+    counts = {f"_{n}": F.when(known_row, F.col("_rows_before") - F.col(f"_past_{n}")).otherwise(zero) for n in COUNT_WIDTHS}
+    return own.select(key, time_us, tie, row_id, "_units", "_payload.*", *[c.alias(n) for n, c in (spends | counts).items()])
 
 
 def _by_running_totals(df: DataFrame, key: str, time_us: str, tie: str, row_id: str, ranges: int) -> DataFrame:
@@ -135,7 +120,7 @@ def _by_running_totals(df: DataFrame, key: str, time_us: str, tie: str, row_id:
     arrival = F.col("_m.step") == 0
 
     def change(name: str, size: Column) -> Column:
-        return F.when(arrival, size).when(F.col("_m.expires") == name, -size).otherwise(F.lit(0).cast("bigint"))
+        return F.when(arrival, size).when(F.col("_m.expires") == name, -size).otherwise(F.lit(0))
 
     one = F.lit(1).cast("bigint")
     spend_of_count = {c: next(n for n, w in widths if w == width) for c, width in COUNT_WIDTHS.items()}

@@ -1,4 +1,4 @@
-"""The batch path from raw records to decisions and silver tables, as one lazy plan."""
+"""The batch path from raw records to decisions and silver tables; building it starts no job."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallywatch.functions.rules import RULES
 from tallywatch.operators import contracts, scoring
 from tallywatch.operators.enrichment import attach_dimensions
-from tallywatch.operators.velocity import DENSE_KEY_ROWS, SECOND_US, add_velocity
+from tallywatch.operators.velocity import SECOND_US, add_velocity
 
 Dimensions = tuple[DataFrame, DataFrame, DataFrame]
 
@@ -22,23 +22,15 @@ def with_event_us(validated: DataFrame) -> DataFrame:
 
 
 def enrich(
-    validated: DataFrame, dims: Dimensions, keep: tuple[str, ...] = ("offset",), dense_key_rows: int = DENSE_KEY_ROWS
+    validated: DataFrame, dims: Dimensions, keep: tuple[str, ...] = ("offset",), ranges: int | None = None
 ) -> DataFrame:
     """Validated records plus velocity and risk columns, cut to the enriched contract."""
     wanted = [c for c in validated.columns if c in contracts.ENRICHED.names or c in (*keep, "TransactionDT")]
     narrow = with_event_us(validated.select(*wanted))
-    fast = add_velocity(narrow, dense_key_rows=dense_key_rows)
+    fast = add_velocity(narrow, ranges=ranges)
     return contracts.ENRICHED.conform(attach_dimensions(fast, *dims), keep=keep)
 
 
-def score(enriched: DataFrame, at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    return scoring.score(enriched, at, keep=keep)
-
-
-def decide(validated: DataFrame, dims: Dimensions, at: Column) -> DataFrame:
-    return scoring.decide(scoring.score(enrich(validated, dims), at), at)
-
-
 def silver_decisions(decisions: DataFrame) -> DataFrame:
     """Decision records under the table's lower-case names; rows without an id are dropped.
 

@@ -148,6 +148,19 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def faulty_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks of which some hold no price, no number, no finite number, a number too large, or no symbol."""
+    n = F.col("seq")
+    price = (
+        F.when(n % 113 == 0, F.lit(None))
+        .when(n % 127 == 0, F.lit(float("nan")))
+        .when(n % 131 == 0, F.lit(float("inf")))
+        .when(n % 137 == 0, F.lit(1e15))
+        .otherwise(F.col("price"))
+    )
+    return ticks(spark, sf_dir).withColumn("price", price).withColumn("symbol", F.when(n % 139 != 0, F.col("symbol")))
+
+
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.concat(F.lit("m_"), F.col("event_type")).alias("metric"),

@@ -293,6 +293,24 @@ banded AS (SELECT *, CASE WHEN abs(deviation_pct) > 0.5 THEN 'CRITICAL' WHEN abs
   WHEN abs(deviation_pct) > 0.1 THEN 'WATCH' ELSE 'NORMAL' END AS severity FROM signals)
 """
 
+_FAULTY = f"""
+SELECT CASE WHEN seq % 139 <> 0 THEN symbol END AS symbol, ingested_at, seq,
+  CASE WHEN seq % 113 = 0 THEN NULL WHEN seq % 127 = 0 THEN CAST('nan' AS DOUBLE) WHEN seq % 131 = 0 THEN CAST('inf' AS DOUBLE)
+       WHEN seq % 137 = 0 THEN CAST(1e15 AS DOUBLE) ELSE price END AS price FROM ({_TICKS})"""
+_SIGNALS_FAULTY = f"""
+WITH ticks AS (SELECT * FROM ({_FAULTY}) WHERE symbol IS NOT NULL AND price IS NOT NULL AND NOT isnan(price) AND abs(price) < 1e8),
+windows AS (
+  SELECT *, count(*) OVER w AS n, sum(CAST(round(price * 100000000.0) AS HUGEINT)) OVER w AS s,
+    sum(CAST(round(price * 100000000.0) AS HUGEINT) * CAST(round(price * 100000000.0) AS HUGEINT)) OVER w AS q
+  FROM ticks WINDOW w AS (PARTITION BY symbol ORDER BY seq ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)),
+stats AS (SELECT *, CAST(s AS DOUBLE) / CAST(100000000 AS DOUBLE) / n AS ma,
+    sqrt(CAST(q * n - s * s AS DOUBLE)) / n / CAST(100000000 AS DOUBLE) AS volatility
+  FROM windows WHERE n >= 10),
+signals AS (SELECT *, ((price - ma) / ma) * CAST(100 AS DOUBLE) AS deviation_pct FROM stats),
+banded AS (SELECT *, CASE WHEN abs(deviation_pct) > 0.5 THEN 'CRITICAL' WHEN abs(deviation_pct) > 0.3 THEN 'ALERT'
+  WHEN abs(deviation_pct) > 0.1 THEN 'WATCH' ELSE 'NORMAL' END AS severity FROM signals)
+"""
+
 _STATES = """
 SELECT user_id AS entity, user_id % 10 AS grp, ts, event_id AS seq,
   CASE event_type WHEN 'purchase' THEN 'Pending' WHEN 'error' THEN 'Failed' ELSE 'Running' END AS phase,
@@ -363,7 +381,7 @@ UNION ALL SELECT 'dead-letter', log_offset, 'decode_failed' FROM decided WHERE l
     "table_append": _with("valid_tx", _SILVER + " FROM valid_tx UNION ALL " + _SILVER + " FROM valid_tx"),
     "partition_prune": """
 SELECT strftime(l_shipdate, '%Y-%m') AS ship_month, count(*) AS line_items, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
-FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1996-07-01' GROUP BY 1""",
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-11' AND l_shipdate < TIMESTAMP '1996-06-21' GROUP BY 1""",
     "gold_refresh": _with(
         "performance",
         """SELECT 'daily_fraud_summary' AS table_name, count(*) AS row_count FROM daily
@@ -476,6 +494,12 @@ FROM (SELECT count(*) AS n FROM valid_tx), (VALUES ('silver_decisions'), ('silve
     "price_signals": _SIGNALS + "SELECT symbol, price, ingested_at, seq, ma, deviation_pct, volatility, severity FROM banded",
     "price_alerts": _SIGNALS
     + "SELECT symbol, severity, deviation_pct, price, ingested_at FROM banded WHERE severity IN ('ALERT', 'CRITICAL')",
+    "price_signals_faulty": _SIGNALS_FAULTY
+    + "SELECT symbol, price, ingested_at, seq, ma, deviation_pct, volatility, severity FROM banded",
+    "price_rejects": f"""
+SELECT seq, symbol, CASE WHEN symbol IS NULL THEN 'null_symbol' WHEN price IS NULL THEN 'null_price'
+  WHEN isnan(price) THEN 'nan_price' WHEN isinf(price) THEN 'infinite_price' ELSE 'price_out_of_range' END AS reason
+FROM ({_FAULTY}) WHERE symbol IS NULL OR price IS NULL OR isnan(price) OR abs(price) >= 1e8""",
     "row_numbers": """
 SELECT event_type AS symbol, event_id AS seq, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS row_no FROM events""",
     **{name: _rule(i + 1) for i, name in enumerate(RULE_ORDER)},
@@ -550,7 +574,7 @@ ORDER BY fraud_count DESC, summary_date DESC LIMIT 5""",
     ),
     "table_counts": "\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
-        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+        for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
     ),
     "metrics_long": _with("metrics", "SELECT metric, labels, value FROM metrics"),
     "alert_threshold": _with(
@@ -660,6 +684,16 @@ SELECT log_offset, batch, coalesce(transaction_dt < mark, false) AS is_late FROM
     "stream_velocity": _with(
         "enriched", f"SELECT log_offset, uid, {_VELOCITY}, velocity_flag, false AS is_late FROM enriched"
     ),
-    "stream_price_signals": _SIGNALS
+    "stream_late": _with(
+        "checked",
+        """, v AS (SELECT *, CASE WHEN card1 IS NULL OR addr1 IS NULL THEN NULL
+    ELSE concat(CAST(CAST(card1 AS BIGINT) AS VARCHAR), '_', CAST(CAST(addr1 AS BIGINT) AS VARCHAR)) END AS uid,
+  transaction_dt >= 1296000 OR log_offset % 50 = 0 AS second FROM checked WHERE reject_reason IS NULL AND NOT broken),
+m AS (SELECT uid, max(transaction_dt) AS newest FROM v WHERE NOT second AND uid IS NOT NULL GROUP BY uid)
+SELECT CASE WHEN second AND transaction_dt < newest - 86400 THEN 'late' ELSE 'decision' END AS sink, transaction_id
+FROM v LEFT JOIN m ON v.uid = m.uid""",
+    ),
+    "stream_dedup": _with("valid_tx", "SELECT transaction_id, transaction_amt, uid FROM valid_tx"),
+    "stream_price_signals": _SIGNALS_FAULTY
     + "SELECT symbol, price, ingested_at, seq, ma, deviation_pct, volatility, severity FROM banded",
 }

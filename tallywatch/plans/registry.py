@@ -198,7 +198,7 @@ def table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An external partitioned table, created and then replaced."""
     database, root = _database(spark, "replace")
     rows = _transactions(spark, sf_dir)
-    placed = tables.for_partitioned_write(rows, ["transaction_date"], spread=8, spread_by="transactionid")
+    placed = tables.for_partitioned_write(rows, ["transaction_date"])
     for _ in range(2):
         tables.replace_table(placed, f"{database}.transactions", f"{root}/transactions", ["transaction_date"])
     return _table_rows(spark.table(f"{database}.transactions"))
@@ -212,7 +212,7 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{database}.silver_transactions"
     for _ in range(2):
         tables.create_table(spark, name, columns, partitions, f"{root}/silver_transactions")
-    placed = tables.for_partitioned_write(_transactions(spark, sf_dir), ["transaction_date"], 8, "transactionid")
+    placed = tables.for_partitioned_write(_transactions(spark, sf_dir), ["transaction_date"])
     for _ in range(2):
         tables.append_table(placed, name)
     return _table_rows(spark.table(name))
@@ -220,14 +220,14 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items laid out by ship month; a range of months reads only their folders."""
+    """Line items laid out by ship month; a range of days reads only the folders of its months."""
     path = scratch_dir(spark, "by-month")
     items = inputs.table(spark, sf_dir, "lineitem").withColumn("ship_month", tables.month_of(F.col("l_shipdate")))
-    placed = tables.for_partitioned_write(items, ["ship_month"], spread=4, spread_by="l_orderkey")
+    placed = tables.for_partitioned_write(items, ["ship_month"])
     placed.write.partitionBy("ship_month").parquet(path)
     stored = spark.read.schema(placed.schema).parquet(path)
     return (
-        stored.filter(F.col("ship_month").between("1996-01", "1996-06"))
+        tables.between_days(stored.withColumn("ship_day", F.to_date("l_shipdate")), "ship_day", "ship_month", "1996-01-11", "1996-06-20")
         .groupBy("ship_month")
         .agg(F.count("*").alias("line_items"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
     )
@@ -579,10 +579,10 @@ def velocity_windows_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def velocity_windows_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same windows where every key is so frequent that it is worked in ranges over many tasks."""
+    """The same windows with all rows cut into ranges of their whole order, for keys too frequent for one task."""
     valid = _valid_for_enrichment(spark, sf_dir)
     crowded = valid.withColumn("uid", F.when(F.col("uid").isNotNull(), F.substring_index("uid", "_", -1)))
-    enriched = decisioning.enrich(crowded, inputs.dimensions(spark), dense_key_rows=100)
+    enriched = decisioning.enrich(crowded, inputs.dimensions(spark), ranges=32)
     return enriched.select(F.col("offset").alias("log_offset"), "uid", *VELOCITY)
 
 
@@ -604,6 +604,18 @@ def price_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals.price_alerts(price_signals(spark, sf_dir))
 
 
+@query
+def price_signals_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same signals where some ticks hold no usable price or symbol, at the default number of places."""
+    return signals.price_signals(inputs.faulty_ticks(spark, sf_dir), chunk_rows=4096)
+
+
+@query
+def price_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ticks that the signals leave out."""
+    return signals.price_rejects(inputs.faulty_ticks(spark, sf_dir)).select("seq", "symbol", "reason")
+
+
 @query
 def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrival position of every tick within its symbol, the basis of the chunked windows."""
@@ -766,6 +778,7 @@ def top_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLE_NAMES += ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @query
@@ -979,7 +992,7 @@ def stream_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid = decisioning.with_event_us(_valid_for_enrichment(spark, sf_dir).select(*wanted))
 
     def catch_up() -> None:
-        stream = stateful.velocity_on_stream(filelog.read_stream(spark, log, valid.schema))
+        stream = stateful.velocity_on_stream(filelog.read_stream(spark, log, valid.schema, stages.FILES_PER_TRIGGER))
         sinks.drain_to_files(stream, f"{root}/checkpoint", f"{root}/out")
 
     _in_halves(valid, F.col("TransactionDT") >= FIFTEEN_DAYS, log, catch_up)
@@ -992,11 +1005,57 @@ def stream_price_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The moving-window signals from keyed state, restarted half-way."""
     root = scratch_dir(spark, "signals")
     log = f"{root}/log"
-    ticks = inputs.ticks(spark, sf_dir)
+    ticks = inputs.faulty_ticks(spark, sf_dir)
 
     def catch_up() -> None:
-        stream = stateful.price_signals_on_stream(filelog.read_stream(spark, log, ticks.schema), PRICE_DIGITS)
+        stream = stateful.price_signals_on_stream(filelog.read_stream(spark, log, ticks.schema, stages.FILES_PER_TRIGGER))
         sinks.drain_to_files(stream, f"{root}/checkpoint", f"{root}/out")
 
     _in_halves(ticks, F.col("ingested_at") >= F.lit("2024-01-16").cast("timestamp_ntz"), log, catch_up)
     return spark.read.parquet(f"{root}/out")
+
+
+@query
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fused query where some events of the first half arrive with the second: what went where."""
+    root = scratch_dir(spark, "late")
+    log = f"{root}/raw"
+    dims = inputs.dimensions(spark)
+    event = inputs.raw_transactions(spark, sf_dir).select("offset", "TransactionDT")
+    source = inputs.messages(spark, sf_dir).join(event, "offset")
+    second = (F.col("TransactionDT") >= FIFTEEN_DAYS) | (F.col("offset") % 50 == 0)
+    for part in (~second, second):
+        source.filter(part).select(*inputs.MESSAGE_SCHEMA.names).write.mode("append").parquet(log)
+        stages.run_fused(spark, root, log, dims, inputs.run_ts(), files_per_trigger=100_000)
+
+    def ids(path: str, contract: contracts.Contract, sink: str) -> DataFrame:
+        rows = validation.decode_log(spark.read.parquet(path), contract.only(["TransactionID"]))
+        return rows.select(F.lit(sink).alias("sink"), F.col("TransactionID").alias("transaction_id"))
+
+    on_time = ids(stages.stage_path(root, contracts.DECISIONS.subject), contracts.DECISIONS, "decision")
+    return on_time.unionByName(ids(stages.late_path(root), contracts.DECISIONS, "late"))
+
+
+@query
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies dropped on a stream, within one micro-batch and across restarts."""
+    root = scratch_dir(spark, "dedup")
+    log = f"{root}/log"
+    fields = ["TransactionID", "TransactionAmt", "uid", "event_timestamp"]
+    copies = inputs.with_copies(_valid_for_dedup(spark, sf_dir)).withColumn("event_at", F.col("event_timestamp").cast("timestamp"))
+    copies = copies.select(*fields[:-1], "event_at", "offset", "copy")
+
+    def catch_up() -> None:
+        stream = filelog.read_stream(spark, log, copies.schema, stages.FILES_PER_TRIGGER)
+        kept = arrival.first_on_stream(stream, "TransactionID", "event_at", "60 days")
+        sinks.drain_to_files(kept, f"{root}/checkpoint", f"{root}/out")
+
+    _in_halves(copies, (F.col("copy") > 0) & (F.col("offset") % 2 == 0), log, catch_up)
+    out = spark.read.parquet(f"{root}/out")
+    return out.select(F.col("TransactionID").alias("transaction_id"), F.col("TransactionAmt").alias("transaction_amt"), "uid")
+
+
+def _valid_for_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["TransactionID", "TransactionDT", "TransactionAmt", "uid", "event_timestamp"]
+    valid = inputs.valid_transactions(spark, sf_dir, contracts.VALIDATED.only(fields))
+    return valid.withColumn("event_timestamp", F.col("event_timestamp").try_cast("timestamp_ntz"))

@@ -39,10 +39,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_given_out: list[str] = []
+
+
 def _shared_root(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a local one only if it names none."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; a local one only where driver and executors are one process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master is {master})")
         root = tempfile.mkdtemp(prefix="tallywatch-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -50,7 +56,19 @@ def _shared_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the shared root, for logs, tables and stream checkpoints."""
-    return f"{_shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _given_out.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the folders ``scratch_dir`` gave out in this process, once no result still reads them; how many there were."""
+    removed = 0
+    while _given_out:
+        hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_given_out.pop())
+        fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        removed += bool(fs.delete(hadoop_path, True))
+    return removed
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -41,11 +41,10 @@ def read_bounded(
     return df.filter(keep) if start or end else df
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 16) -> DataFrame:
+    """A growing log, at most ``files_per_trigger`` files in each micro-batch."""
     reader: DataStreamReader = spark.readStream.schema(schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    return reader.option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
 def replay(df: DataFrame, key: str, order: list[str], partitions: int, tasks: int | None = None) -> DataFrame:

@@ -84,8 +84,12 @@ def create_view(spark: SparkSession, name: str, query: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
 
 
-def for_partitioned_write(df: DataFrame, partitions: list[str], spread: int = 0, spread_by: str | None = None) -> DataFrame:
-    """Bring the rows of a partition together before a write, a large partition in ``spread`` tasks."""
-    if spread and spread_by:
-        return df.repartition(*partitions, F.pmod(F.xxhash64(spread_by), F.lit(spread)))
-    return df.repartition(*partitions)
+def for_partitioned_write(df: DataFrame, partitions: list[str]) -> DataFrame:
+    """Bring the rows of a partition together before a write; Spark splits large ones by their measured size."""
+    return df.hint("rebalance", *partitions)
+
+
+def between_days(df: DataFrame, day: str, month: str, first: str, last: str) -> DataFrame:
+    """Rows of a table laid out by ``month`` whose ``day`` is in a range; only the months of the range are read."""
+    months = F.col(month).between(F.lit(first[:7]), F.lit(last[:7]))
+    return df.filter(months & F.col(day).between(F.to_date(F.lit(first)), F.to_date(F.lit(last))))

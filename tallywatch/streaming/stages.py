@@ -17,6 +17,7 @@ from tallywatch.streaming.stateful import velocity_on_stream
 
 REASON = "reject_reason"
 CARRIED = ("offset", REASON)
+FILES_PER_TRIGGER = 16  # files of the log that one micro-batch takes; a broker's limit counts records instead
 
 
 def stage_path(root: str, name: str) -> str:
@@ -27,7 +28,12 @@ def dead_letter_path(root: str, subject: str) -> str:
     return f"{root}/{subject}-dlq"
 
 
-def read_log(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+def late_path(root: str) -> str:
+    """Records more than a day behind their key's newest: enriched ones of the chain, decided ones of the fused query."""
+    return f"{root}/late"
+
+
+def read_log(spark: SparkSession, path: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     return filelog.read_stream(spark, path, MESSAGE_SCHEMA, files_per_trigger)
 
 
@@ -54,10 +60,16 @@ def enrich_stream(validated: DataFrame, dims: Dimensions) -> DataFrame:
     return contracts.ENRICHED.conform(attach_dimensions(fast, *dims), keep=(*CARRIED, "is_late"))
 
 
-def _good(contract: Contract):
-    return lambda df: validation.to_messages(
-        validation.accepted(df), contract, keep=(F.lit(None).cast("int").alias("partition"), "offset")
-    )
+def _good(contract: Contract, late: bool = False):
+    """Accepted rows as messages: those on time, or those that are late."""
+
+    def messages(df: DataFrame) -> DataFrame:
+        rows = validation.accepted(df)
+        if "is_late" in df.columns:
+            rows = rows.filter(F.col("is_late") if late else ~F.col("is_late"))
+        return validation.to_messages(rows, contract, keep=(F.lit(None).cast("int").alias("partition"), "offset"))
+
+    return messages
 
 
 def _bad(stage: str, key: str | None):
@@ -88,6 +100,7 @@ def run_enrichment(spark: SparkSession, root: str, dims: Dimensions) -> None:
         sinks.fan_out(
             {
                 stage_path(root, contracts.ENRICHED.subject): _good(contracts.ENRICHED),
+                late_path(root): _good(contracts.ENRICHED, late=True),
                 dead_letter_path(root, contracts.VALIDATED.subject): _bad("enrichment", "enrich_error"),
             }
         ),
@@ -109,11 +122,12 @@ def run_scoring(spark: SparkSession, root: str, at: Column) -> None:
 
 
 def decision_outputs(root: str, at: Column, stage: str, key: str | None) -> dict:
-    """The three outputs of a decided batch: decisions, audit events and dead letters."""
-    return {
+    """The outputs of a decided batch: decisions, audit events, dead letters, and late records of the fused query."""
+    late = {late_path(root): _good(contracts.DECISIONS, late=True)} if stage == "fused" else {}
+    return late | {
         stage_path(root, contracts.DECISIONS.subject): _good(contracts.DECISIONS),
         stage_path(root, contracts.AUDIT.subject): lambda df: _good(contracts.AUDIT)(
-            scoring.audit(df, at, keep=CARRIED)
+            scoring.audit(df, at, keep=[c for c in (*CARRIED, "is_late") if c in df.columns])
         ),
         dead_letter_path(root, contracts.DECISIONS.subject): _bad(stage, key),
     }
@@ -143,11 +157,12 @@ def run_chain(spark: SparkSession, root: str, source: str, dims: Dimensions, at:
 def fused(messages: DataFrame, dims: Dimensions, at: Column) -> DataFrame:
     """Raw messages to decisions in one plan; rejected rows carry their reason to the end."""
     enriched = enrich_stream(validate_messages(messages, FOR_ENRICHMENT), dims)
-    return scoring.decide(scoring.score(enriched, at, keep=CARRIED), at, keep=CARRIED)
+    carried = (*CARRIED, "is_late")
+    return scoring.decide(scoring.score(enriched, at, keep=carried), at, keep=carried)
 
 
 def run_fused(
-    spark: SparkSession, root: str, source: str, dims: Dimensions, at: Column, files_per_trigger: int | None = None
+    spark: SparkSession, root: str, source: str, dims: Dimensions, at: Column, files_per_trigger: int = FILES_PER_TRIGGER
 ) -> None:
     sinks.drain_batches(
         fused(read_log(spark, source, files_per_trigger), dims, at),

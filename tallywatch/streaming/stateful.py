@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywatch.functions.numbers import to_units
+from tallywatch.functions.numbers import UNITS_TYPE, to_units
 from tallywatch.operators import signals
 from tallywatch.operators.velocity import COUNT_WIDTHS, SPEND_WIDTHS, finish
 from tallywatch.session import ROCKSDB_PROVIDER
 
 DAY_US = SPEND_WIDTHS["spend_24hr"]
 PASS_THROUGH_KEYS = 256
+LIMB = 10**11  # amounts travel as two longs, so that sums of either hold 10^7 rows of the largest amount
 
 
 def use_state_store(spark: SparkSession) -> None:
@@ -32,33 +33,33 @@ def _velocity_processor(spend_widths: list[int], count_widths: list[int], window
     class VelocityProcessor(StatefulProcessor):
         def init(self, handle) -> None:
             self.handle = handle
-            self.history = handle.getListState("history", "us long, units long, n long")
+            self.history = handle.getListState("history", "us long, high long, low long, n long")
 
         def handleInputRows(self, key, rows, timerValues):
             batch = pd.concat(list(rows), ignore_index=True)
             if not key[0].startswith("u:"):
-                yield self._output(batch, [0] * (len(spend_widths) + len(count_widths)), False)
+                yield self._output(batch, [0] * (2 * len(spend_widths) + len(count_widths)), False)
                 return
             batch = batch.take(np.lexsort((batch["row_id"], batch["tie"], batch["event_us"])))
-            held = np.array(list(self.history.get()), dtype=np.int64).reshape(-1, 3)
+            held = np.array(list(self.history.get()), dtype=np.int64).reshape(-1, 4)
             now = batch["event_us"].to_numpy(np.int64)
-            units = np.concatenate([held[:, 1], batch["units"].to_numpy(np.int64)])
-            count = np.concatenate([held[:, 2], np.ones(len(now), dtype=np.int64)])
+            high = np.concatenate([held[:, 1], batch["high"].to_numpy(np.int64)])
+            low_part = np.concatenate([held[:, 2], batch["low"].to_numpy(np.int64)])
+            count = np.concatenate([held[:, 3], np.ones(len(now), dtype=np.int64)])
             at = np.concatenate([held[:, 0], now])
             order = np.argsort(at, kind="stable")
             place = np.empty(len(at), dtype=np.int64)
             place[order] = np.arange(len(at))
             mine = place[len(held) :]
             sorted_at = at[order]
-            total = np.concatenate([[0], np.cumsum(units[order])])
-            seen = np.concatenate([[0], np.cumsum(count[order])])
+            totals = [np.concatenate([[0], np.cumsum(part[order])]) for part in (high, low_part, count)]
             results = []
-            for widths, running in ((spend_widths, total), (count_widths, seen)):
+            for widths, running in ((spend_widths, totals[0]), (spend_widths, totals[1]), (count_widths, totals[2])):
                 for width in widths:
                     low = np.searchsorted(sorted_at, now - width, side="left")
                     results.append(running[mine] - running[low])
             late = now < held[:, 0].max() - lateness_us if len(held) else False
-            self._remember(held, now, batch["units"].to_numpy(np.int64), sorted_at[-1])
+            self._remember(held, now, batch["high"].to_numpy(np.int64), batch["low"].to_numpy(np.int64), sorted_at[-1])
             if idle_ms is not None:
                 for timer in list(self.handle.listTimers()):
                     self.handle.deleteTimer(timer)
@@ -69,12 +70,13 @@ def _velocity_processor(spend_widths: list[int], count_widths: list[int], window
             self.history.clear()
             yield from ()
 
-        def _remember(self, held, at, units, newest) -> None:
+        def _remember(self, held, at, high, low, newest) -> None:
             """Append the batch, one entry per event time; rewrite only once half of the entries are stale."""
             times, where = np.unique(at, return_inverse=True)
-            sums = np.zeros(len(times), dtype=np.int64)
-            np.add.at(sums, where, units)
-            added = np.column_stack([times, sums, np.bincount(where)])
+            sums = np.zeros((2, len(times)), dtype=np.int64)
+            np.add.at(sums[0], where, high)
+            np.add.at(sums[1], where, low)
+            added = np.column_stack([times, sums[0], sums[1], np.bincount(where)])
             stale = held[:, 0] < newest - window_us - lateness_us
             if stale.sum() * 2 > len(held):
                 self.history.put([tuple(map(int, r)) for r in np.vstack([held[~stale], added])])
@@ -116,15 +118,17 @@ def velocity_on_stream(
     bystander = F.concat(F.lit("n:"), F.pmod(F.xxhash64(row_id), F.lit(PASS_THROUGH_KEYS)))
     zero = F.lit(0).cast("bigint")
     schema = df.schema
+    units = F.coalesce(to_units(F.col(amount)), F.lit(0).cast(UNITS_TYPE))
     packed = df.select(
         F.when(tracked, F.concat(F.lit("u:"), F.col(key))).otherwise(bystander).alias("state_key"),
         F.to_json(F.struct(*df.columns)).alias("carry"),
         F.coalesce(F.col(time_us), zero).alias("event_us"),
         F.coalesce(F.col(tie).cast("bigint"), zero).alias("tie"),
         F.coalesce(F.col(row_id).cast("bigint"), zero).alias("row_id"),
-        F.coalesce(to_units(F.col(amount)), zero).alias("units"),
+        F.floor(units / F.lit(LIMB)).cast("bigint").alias("high"),
+        F.pmod(units, F.lit(LIMB)).cast("bigint").alias("low"),
     )
-    names = [*SPEND_WIDTHS, *COUNT_WIDTHS]
+    names = [*[f"{n}_high" for n in SPEND_WIDTHS], *SPEND_WIDTHS, *COUNT_WIDTHS]
     values = [T.StructField(f"v{i}", T.LongType()) for i in range(len(names))]
     output = T.StructType([T.StructField("carry", T.StringType()), *values, T.StructField("is_late", T.BooleanType())])
     processor = _velocity_processor(list(SPEND_WIDTHS.values()), list(COUNT_WIDTHS.values()), DAY_US, lateness_us, idle_ms)
@@ -137,7 +141,8 @@ def velocity_on_stream(
     unpacked = summed.select(
         F.from_json("carry", schema).alias("_row"), *[F.col(f"v{i}").alias(f"_{n}") for i, n in enumerate(names)], "is_late"
     )
-    flat = unpacked.select("_row.*", *[f"_{n}" for n in names], "is_late")
+    whole = [(F.col(f"_{n}_high").cast(UNITS_TYPE) * F.lit(LIMB) + F.col(f"_{n}")).cast(UNITS_TYPE).alias(f"_{n}") for n in SPEND_WIDTHS]
+    flat = unpacked.select("_row.*", *whole, *[f"_{n}" for n in COUNT_WIDTHS], "is_late")
     return finish(flat, tracked)
 
 
@@ -181,11 +186,10 @@ def _last_rows_processor(window_rows: int):
 def price_signals_on_stream(ticks: DataFrame, digits: int = signals.PRICE_DIGITS) -> DataFrame:
     """The moving-window signals on a stream of (symbol, price, ingested_at, seq)."""
     use_state_store(ticks.sparkSession)
-    units = F.round(F.col("price") * F.lit(float(10**digits))).cast("bigint")
     schema = "symbol string, price double, ingested_at timestamp_ntz, seq long, rows long, total long, squares string"
     windows = (
-        ticks.filter(F.col("symbol").isNotNull())
-        .withColumn("units", units)
+        signals.usable(ticks)
+        .withColumn("units", signals.price_units(F.col("price"), digits))
         .groupBy("symbol")
         .transformWithStateInPandas(
             statefulProcessor=_last_rows_processor(signals.WINDOW_ROWS),

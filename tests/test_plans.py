@@ -71,9 +71,18 @@ def test_good_records_filters_reach_the_scan(spark):
     assert "IsNotNull(TransactionID)" in pushed and "GreaterThan(TransactionAmt,0.0)" in pushed and "In(ProductCD" in pushed
 
 
+def test_building_the_decision_path_starts_no_job(spark, sf_dir):
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().nextJobId
+    before = jobs()
+    df = registry.QUERIES["fraud_decisions"](spark, sf_dir)
+    text = plan(df)
+    assert jobs() - before <= 1  # reading the schema of the one table
+    assert "SinglePartition" not in text and len(re.findall(r"Exchange hashpartitioning", text)) == 1
+
+
 def test_dense_keys_are_split_over_tasks(spark, sf_dir):
     valid = inputs.valid_transactions(spark, sf_dir, decisioning.FOR_ENRICHMENT).withColumn("uid", F.lit("one"))
-    enriched = decisioning.enrich(valid, inputs.dimensions(spark), dense_key_rows=100)
+    enriched = decisioning.enrich(valid, inputs.dimensions(spark), ranges=8)
     assert "_range" in plan(enriched)
     assert enriched.count() == valid.count()
 
@@ -81,7 +90,28 @@ def test_dense_keys_are_split_over_tasks(spark, sf_dir):
 def test_write_spreads_a_large_partition(spark):
     df = spark.range(1000).withColumn("p", F.lit("x"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    placed = tables.for_partitioned_write(df, ["p"], spread=8, spread_by="id")
-    used = placed.groupBy(F.spark_partition_id()).count().count()
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    path = scratch_dir(spark, "spread")
+    tables.for_partitioned_write(df, ["p"]).write.partitionBy("p").parquet(path)
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert used > 1
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(spark.read.parquet(path).inputFiles()) > 1
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    from tallywatch import session
+
+    class Unshared:
+        class conf:
+            get = staticmethod(lambda name, default: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Unshared, "x")
+    path = scratch_dir(spark, "released")
+    spark.range(3).write.parquet(path)
+    held, session._given_out[:] = session._given_out[:-1], [path]
+    assert session.release_scratch(spark) == 1 and not session.path_exists(spark, path)
+    session._given_out[:] = held

@@ -103,11 +103,10 @@ def test_identity_join_keeps_keyless_rows_apart(spark):
     assert joined.filter("id_01 is not null").count() == sum(1 for i in range(300) if i % 3 and i % 2 == 0)
 
 
-def test_dimension_is_broadcast_only_when_small(spark):
-    dim = spark.range(10).select(F.col("id").alias("k"))
-    hinted = enrichment.sized_dimension(dim.union(dim), "k")
-    assert hinted.count() == 10 and "broadcast" in hinted._jdf.queryExecution().analyzed().toString()
-    assert not enrichment.small_enough(spark.range(11), 10) and enrichment.small_enough(spark.range(10), 10)
+def test_dimension_keeps_the_smallest_row_of_a_key(spark):
+    rows = [("a", 2, None), ("a", 1, "y"), ("a", 1, "x"), ("b", None, "z"), (None, 1, "n")]
+    got = enrichment.one_per_key(spark.createDataFrame(rows, "k string, v int, w string"), "k").collect()
+    assert sorted(map(tuple, got)) == [("a", 1, "x"), ("b", None, "z")]
 
 
 def test_namespace_table_and_view(spark):
