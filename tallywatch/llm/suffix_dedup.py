@@ -126,7 +126,7 @@ def _file(rows: DataFrame, repeats: Repeats) -> DataFrame:
 
         return step
 
-    return map_batches(rows.select("doc", "mark", "text"), FILED, start)
+    return map_batches(rows.select("doc", "mark", "text"), FILED, start, rows=None)
 
 
 def _company(batches):
@@ -182,7 +182,7 @@ def _cut(rows: DataFrame, repeats: Repeats) -> DataFrame:
             names=["gram", "name_a", "name_b", "span", "offset", "n", "content", "found"],
         )
 
-    return map_batches(rows, REGION, lambda: step)
+    return map_batches(rows, REGION, lambda: step, rows=None)
 
 
 MARKED = "name_a long, name_b long, marks binary"
@@ -316,14 +316,14 @@ def _places(rows: DataFrame) -> DataFrame:
     def step(batch):
         return _emit(batch.column(0).to_pylist(), [_pairs(np.frombuffer(m.as_buffer(), np.uint8).astype(bool)) for m in batch.column(1)])
 
-    return map_batches(rows, PLACES, lambda: step)
+    return map_batches(rows, PLACES, lambda: step, rows=None)
 
 
 def _places_of_crowd(rows: DataFrame) -> DataFrame:
     def step(batch):
         return _emit(batch.column(0).to_pylist(), [np.repeat(np.array(a, np.int64)[:, None], 2, axis=1) for a in batch.column(1).to_pylist()])
 
-    return map_batches(rows, PLACES, lambda: step)
+    return map_batches(rows, PLACES, lambda: step, rows=None)
 
 
 def removed_runs(starts: list[bytes], length: int) -> np.ndarray:

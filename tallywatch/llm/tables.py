@@ -27,14 +27,14 @@ def stored(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, schema: str | StructType, start: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch]]) -> DataFrame:
-    """``mapInArrow`` whose per-task state comes from ``start``; the returned function maps each non-empty batch."""
+def map_batches(df: DataFrame, schema: str | StructType, start: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch]], rows: int | None = 1024) -> DataFrame:
+    """``mapInArrow`` whose per-task state comes from ``start``; the returned function maps at most ``rows`` rows at a time, never none."""
 
     def run(batches):
         step = start()
         for batch in batches:
-            if batch.num_rows:
-                out = step(batch)
+            for k in range(0, batch.num_rows, rows or batch.num_rows):
+                out = step(batch.slice(k, rows))
                 if isinstance(out, pa.RecordBatch):
                     yield out
                 else:
