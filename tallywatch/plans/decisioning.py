@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywatch.functions import features
 from tallywatch.functions.rules import RULES
 from tallywatch.operators import contracts, scoring
 from tallywatch.operators.enrichment import attach_dimensions
@@ -22,7 +23,7 @@ def with_event_us(validated: DataFrame) -> DataFrame:
 
 
 def enrich(
-    validated: DataFrame, dims: Dimensions, keep: tuple[str, ...] = ("offset",), ranges: int | None = None
+    validated: DataFrame, dims: Dimensions, keep: tuple[str, ...] = ("offset", "event_us"), ranges: int | None = None
 ) -> DataFrame:
     """Validated records plus velocity and risk columns, cut to the enriched contract."""
     wanted = [c for c in validated.columns if c in contracts.ENRICHED.names or c in (*keep, "TransactionDT")]
@@ -57,6 +58,8 @@ def silver_decisions(decisions: DataFrame) -> DataFrame:
     ]
     extra = [F.col("decided_at").try_cast("timestamp_ntz").alias("decided_at"), F.col("confidence")]
     extra += [F.col(f"score_{r.name}") for r in RULES]
+    if "event_us" in decisions.columns:  # decisions that come from a log hold the date and the hour only
+        extra.append(features.event_time(F.floor(F.col("event_us") / F.lit(SECOND_US)).cast("bigint")).alias("event_at"))
     return decisions.select(*base, *extra).filter(F.col("transactionid").isNotNull())
 
 

@@ -6,6 +6,8 @@ the shuffle, so a group that holds a third of the rows costs no more than any ot
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,7 +140,10 @@ def unpivot_rules(decisions: DataFrame, score_of: dict[str, str]) -> DataFrame:
 
 def uid_risk_profile(decisions: DataFrame) -> DataFrame:
     """Two steps: the first collapses rows per (uid, product, email), so the distinct counts see few rows."""
-    seen = F.timestamp_add("HOUR", F.col("transaction_hour").cast("bigint"), F.col("transaction_date").cast("timestamp_ntz"))
+    if "event_at" in decisions.columns:
+        seen = F.col("event_at")
+    else:
+        seen = F.timestamp_add("HOUR", F.col("transaction_hour").cast("bigint"), F.col("transaction_date").cast("timestamp_ntz"))
     narrow = (
         decisions.filter(F.col("uid").isNotNull())
         .groupBy("uid", "productcd", "p_emaildomain")
@@ -337,3 +342,27 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for one in counts[1:]:
         result = result.unionByName(one)
     return result
+
+
+# What identifies a row of each gold table, and its figures.
+GOLD_VALUES = {
+    "daily_fraud_summary": (
+        ["summary_date"],
+        "total_transactions total_amount fraud_count fraud_amount fraud_rate avg_fraud_amount max_fraud_amount blocked_count blocked_amount".split(),
+    ),
+    "product_fraud_stats": (["summary_date", "productcd"], "total_transactions total_amount fraud_count fraud_rate avg_transaction_amt avg_fraud_amt".split()),
+    "hourly_fraud_pattern": (["transaction_hour"], "total_transactions fraud_count fraud_rate avg_amount".split()),
+    "rule_performance": (["rule_name"], "triggers_count true_positive false_positive true_negative false_negative precision_score recall_score f1_score blocked_amount".split()),
+    "uid_risk_profile": (["uid"], "total_transactions total_amount fraud_count fraud_rate avg_amount max_amount distinct_merchants distinct_emails".split()),
+}
+
+
+def long_values(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every figure of the gold tables: table_name, row_key, metric, value."""
+    parts = []
+    for name, df in tables.items():
+        keys, metrics = GOLD_VALUES[name]
+        key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+        figures = F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]))
+        parts.append(df.select(F.lit(name).alias("table_name"), key.alias("row_key"), figures))
+    return reduce(DataFrame.unionByName, parts)

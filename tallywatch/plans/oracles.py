@@ -6,6 +6,8 @@ self-joins, logs and streams are left out, and rounding and units follow ``funct
 
 from __future__ import annotations
 
+from tallywatch.plans.gold import GOLD_VALUES
+
 # Common tables in dependency order; a query gets every one up to the last it needs.
 _CTES: dict[str, str] = {
     "raw_tx": """
@@ -151,7 +153,7 @@ SELECT uid, CAST(split_part(uid, '_', 1) AS DOUBLE) AS card1, CAST(split_part(ui
   CAST(count(*) FILTER (WHERE is_fraud = 1) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS fraud_rate,
   CAST(sum(units) AS DOUBLE) / 10000.0 / count(*) AS avg_amount, max(transaction_amt) AS max_amount,
   count(DISTINCT product_cd) AS distinct_merchants, count(DISTINCT p_emaildomain) AS distinct_emails,
-  max(CAST(transaction_date AS TIMESTAMP) + to_hours(transaction_hour)) AS last_seen,
+  max(event_ts) AS last_seen,
   CASE WHEN sum(CAST(round(fraud_score * 100) AS BIGINT)) / 100.0 / count(*) >= 65 THEN 'HIGH'
        WHEN sum(CAST(round(fraud_score * 100) AS BIGINT)) / 100.0 / count(*) >= 35 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier
 FROM decided WHERE uid IS NOT NULL GROUP BY uid""",
@@ -278,6 +280,23 @@ _SILVER = """
 SELECT transaction_id AS transactionid, is_fraud AS isfraud, transaction_amt AS transactionamt, product_cd AS productcd, uid,
   transaction_date, transaction_hour"""
 
+def _gold_values() -> str:
+    """Every figure of the gold tables, one row each."""
+    relations = {
+        "daily_fraud_summary": "daily",
+        "product_fraud_stats": "product_days",
+        "hourly_fraud_pattern": "hourly",
+        "rule_performance": "performance",
+        "uid_risk_profile": "profile",
+    }
+    parts = []
+    for name, relation in relations.items():
+        keys, metrics = GOLD_VALUES[name]
+        key = "concat_ws('|', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in keys) + ")"
+        parts += [f"SELECT '{name}' AS table_name, {key} AS row_key, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {relation}" for m in metrics]
+    return "\nUNION ALL ".join(parts)
+
+
 _TICKS = "SELECT event_type AS symbol, value AS price, ts AS ingested_at, event_id AS seq FROM events"
 _SIGNALS = f"""
 WITH ticks AS ({_TICKS}),
@@ -382,14 +401,7 @@ UNION ALL SELECT 'dead-letter', log_offset, 'decode_failed' FROM decided WHERE l
     "partition_prune": """
 SELECT strftime(l_shipdate, '%Y-%m') AS ship_month, count(*) AS line_items, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
 FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-11' AND l_shipdate < TIMESTAMP '1996-06-21' GROUP BY 1""",
-    "gold_refresh": _with(
-        "performance",
-        """SELECT 'daily_fraud_summary' AS table_name, count(*) AS row_count FROM daily
-UNION ALL SELECT 'product_fraud_stats', count(*) FROM product_days
-UNION ALL SELECT 'hourly_fraud_pattern', count(*) FROM hourly
-UNION ALL SELECT 'rule_performance', count(*) FROM performance
-UNION ALL SELECT 'uid_risk_profile', count(*) FROM profile""",
-    ),
+    "gold_refresh": _with("performance", _gold_values()),
     "archive_jsonl": _TICKS,
     "json_roundtrip": _TICKS,
     "replay_ordered": _with(

@@ -58,7 +58,7 @@ def _scored(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> Dat
 
 
 def _decided(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.decide(_scored(spark, sf_dir), inputs.run_ts())
+    return scoring.decide(_scored(spark, sf_dir, keep=("event_us",)), inputs.run_ts(), keep=("event_us",))
 
 
 def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,7 +262,7 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     decisions = spark.read.parquet(f"{root}/silver")
     for _ in range(2):
         paths = _refresh_gold(spark, decisions, root)
-    return gold.table_counts({name: spark.read.parquet(path) for name, path in paths.items()})
+    return gold.long_values({name: spark.read.parquet(path) for name, path in paths.items()})
 
 
 @query
