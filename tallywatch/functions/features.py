@@ -45,9 +45,10 @@ def transaction_dow(ts: Column) -> Column:
 
 def fractional_amount(amount: Column) -> Column:
     """The part behind the decimal point, to four places; NULL only for NULL, NaN and infinity."""
-    # from 2^53 on a double is a whole number
-    fraction = F.pmod(amount.try_cast("decimal(24,4)"), F.lit(1)).cast("double")
-    return F.when(F.abs(amount) < F.lit(2.0**53), fraction).when(F.abs(amount) < F.lit(float("inf")), F.lit(0.0))
+    short = F.pmod(amount.try_cast("decimal(18,4)"), F.lit(1)).cast("double")
+    # a larger double has few binary places, and its remainder is exact
+    long = F.pmod(amount, F.lit(1.0))
+    return F.when(F.abs(amount) < F.lit(1e13), short).when(F.abs(amount) < F.lit(float("inf")), long)
 
 
 def replay_key(card: Column, address: Column) -> Column:

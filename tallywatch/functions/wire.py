@@ -66,8 +66,17 @@ def decode_records(df: DataFrame, payload: Column, schema: T.StructType, keep: t
 
 
 def decode_map(payload: Column) -> Column:
-    """Body to ``map<string,string>``: scalars and lists as text, NULL where it cannot be read."""
-    return F.from_json(payload.cast("string"), "map<string,string>")
+    """Body to ``map<string,string>``: scalars and lists as text, NULL where it cannot be read.
+
+    A value that is an object, as a tagged union is encoded, counts as its ``value`` or else as its first member.
+    """
+    whole = F.from_json(payload.cast("string"), "map<string,string>")
+
+    def member(text: Column) -> Column:
+        first = F.get(F.map_values(F.from_json(text, "map<string,string>")), F.lit(0))
+        return F.when(text.startswith("{"), F.coalesce(F.get_json_object(text, "$.value"), first)).otherwise(text)
+
+    return F.transform_values(whole, lambda _, text: member(text))
 
 
 def avro_available(spark: SparkSession) -> bool:

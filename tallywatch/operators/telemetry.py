@@ -171,10 +171,11 @@ def evaluate_alerts(metrics: DataFrame, rules: tuple[AlertRule, ...] = ALERT_RUL
 
 
 def sustained(
-    samples: DataFrame, series: list[str], ts: str, active: Column, hold_seconds: int, max_gap_seconds: int
+    samples: DataFrame, series: list[str], ts: str, active: Column, hold_seconds: int | Column, max_gap_seconds: int, held_back: bool = False
 ) -> DataFrame:
     """Stretches in which ``active`` held without a break for at least ``hold_seconds``.
 
+    With ``held_back`` the shorter ones come too, with a NULL ``fired_at``.
     ``samples`` has one row per series and scrape time, so a series is as long as the time covered,
     not as the number of raw events. A gap above ``max_gap_seconds`` ends a stretch.
     """
@@ -190,7 +191,7 @@ def sustained(
     on = counted.filter("_on")
     stretch_start = F.min("_at").over(Window.partitionBy(*series, "_stretch"))
     due = F.when(F.col("_at") - F.col("_since") >= hold_seconds, F.col(ts))
-    return (
+    stretches = (
         on.withColumn("_since", stretch_start)
         .groupBy(*series, "_stretch")
         .agg(
@@ -199,9 +200,34 @@ def sustained(
             F.max(ts).alias("active_until"),
             F.count("*").alias("samples"),
         )
-        .filter(F.col("fired_at").isNotNull())
         .drop("_stretch")
     )
+    return stretches if held_back else stretches.filter(F.col("fired_at").isNotNull())
+
+
+def alert_stretches(samples: DataFrame, max_gap_seconds: int, rules: tuple[AlertRule, ...] = ALERT_RULES) -> DataFrame:
+    """Every stretch in which a rule's condition held, over (metric, labels, ts, value) samples; a rule fires after its own hold."""
+    judged = evaluate_alerts(samples, rules).withColumn("labels", label_text(F.col("labels")))
+    hold = F.col("hold_minutes") * F.lit(60)
+    return sustained(judged, ["alert", "severity", "labels"], "ts", F.col("active"), hold, max_gap_seconds, held_back=True)
+
+
+def daily_rate_samples(transactions: DataFrame) -> DataFrame:
+    """The fraud rate of the day so far, of all and of each product, one sample for each minute with transactions.
+
+    Minutes are counted first, so a window holds the minutes of one day.
+    """
+
+    def series(metric: str, keys: list[str], labels: Column) -> DataFrame:
+        minute = F.date_trunc("MINUTE", F.col("event_timestamp")).cast("timestamp_ntz")
+        counted = transactions.filter(F.col("event_timestamp").isNotNull()).groupBy("transaction_date", *keys, minute.alias("ts"))
+        counted = counted.agg(F.count("*").alias("_n"), F.count_if(F.col("isfraud") == 1).alias("_fraud"))
+        so_far = Window.partitionBy("transaction_date", *keys).orderBy("ts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rate = F.sum("_fraud").over(so_far).cast("double") / F.sum("_n").over(so_far).cast("double")
+        return counted.select(F.lit(metric).alias("metric"), labels.alias("labels"), "ts", rate.alias("value"))
+
+    everyone = series("fraud_daily_fraud_rate", [], F.expr("cast(map() as map<string,string>)"))
+    return everyone.unionByName(series("fraud_product_fraud_rate", ["productcd"], F.create_map(F.lit("product"), F.col("productcd"))))
 
 
 def scrape(samples: DataFrame, series: list[str], ts: str, value: str) -> DataFrame:

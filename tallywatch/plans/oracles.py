@@ -611,6 +611,28 @@ spans AS (SELECT *, min(ts) OVER (PARTITION BY metric, labels, stretch) AS since
 SELECT metric, labels, min(since) AS active_since, min(ts) FILTER (WHERE date_diff('second', since, ts) >= 21600) AS fired_at,
   max(ts) AS active_until, count(*) AS samples
 FROM spans GROUP BY metric, labels, stretch HAVING min(ts) FILTER (WHERE date_diff('second', since, ts) >= 21600) IS NOT NULL""",
+    "alert_firing": _with(
+        "valid_tx",
+        """, minutes AS (SELECT transaction_date, product_cd, date_trunc('minute', event_ts) AS ts, count(*) AS n,
+    count(*) FILTER (WHERE is_fraud = 1) AS f FROM valid_tx GROUP BY 1, 2, 3),
+samples AS (SELECT 'fraud_daily_fraud_rate' AS metric, '' AS labels, ts,
+    CAST(sum(sum(f)) OVER w AS DOUBLE) / CAST(sum(sum(n)) OVER w AS DOUBLE) AS value
+  FROM minutes GROUP BY transaction_date, ts WINDOW w AS (PARTITION BY transaction_date ORDER BY ts)
+  UNION ALL SELECT 'fraud_product_fraud_rate', concat('product=', product_cd), ts,
+    CAST(sum(f) OVER w AS DOUBLE) / CAST(sum(n) OVER w AS DOUBLE)
+  FROM minutes WINDOW w AS (PARTITION BY transaction_date, product_cd ORDER BY ts)),
+judged AS (SELECT alert, severity, labels, hold, ts, value > threshold AS is_on FROM samples s JOIN (VALUES
+    ('FraudRateSpikeDetected', 'critical', 'fraud_daily_fraud_rate', '', 0.08::DOUBLE, 300),
+    ('FraudRateElevated', 'warning', 'fraud_daily_fraud_rate', '', 0.05::DOUBLE, 600),
+    ('HighRiskProductCFraudRate', 'warning', 'fraud_product_fraud_rate', 'product=C', 0.15::DOUBLE, 300)) AS r(alert, severity, m, l, threshold, hold)
+  ON s.metric = r.m AND s.labels = r.l),
+marked AS (SELECT *, lag(is_on) OVER w AS was_on, lag(ts) OVER w AS prev FROM judged WINDOW w AS (PARTITION BY alert ORDER BY ts)),
+numbered AS (SELECT *, sum(CASE WHEN is_on AND (prev IS NULL OR NOT was_on OR date_diff('second', prev, ts) > 43200) THEN 1 ELSE 0 END)
+  OVER (PARTITION BY alert ORDER BY ts) AS stretch FROM marked),
+spans AS (SELECT *, min(ts) OVER (PARTITION BY alert, stretch) AS since FROM numbered WHERE is_on)
+SELECT alert, severity, labels, min(since) AS active_since, min(ts) FILTER (WHERE date_diff('second', since, ts) >= hold) AS fired_at,
+  max(ts) AS active_until, count(*) AS samples FROM spans GROUP BY alert, severity, labels, stretch""",
+    ),
     "group_health": f"""
 SELECT grp, running, bad, CASE WHEN running = 0 OR bad >= 3 THEN 'critical' WHEN bad > 0 THEN 'warning' ELSE 'healthy' END AS status
 FROM (SELECT grp, count(*) FILTER (WHERE phase = 'Running') AS running,

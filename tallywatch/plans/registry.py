@@ -831,6 +831,12 @@ def alert_sustained(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def alert_firing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert rules over the day's running fraud rate: what fired after its hold, and what was held back."""
+    return telemetry.alert_stretches(telemetry.daily_rate_samples(_transactions(spark, sf_dir)), GAP_SECONDS)
+
+
 @query
 def group_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.group_health(telemetry.latest_phase(inputs.entity_states(spark, sf_dir)))

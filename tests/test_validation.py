@@ -149,3 +149,28 @@ def test_later_stages_reject_missing_fields(spark):
     assert got == {1: "decision_error:ingestion_id", 2: "decode_failed"}
     letters = validation.dead_letters(checked(df, contracts.SCORES, "decision_error"), "decision", key="decision_error")
     assert {r.offset: bytes(r.key) for r in letters.collect()} == {1: b"decision_error", 2: b"decode_error"}
+
+
+def test_text_map_opens_unions(spark):
+    body = '{"a": {"string": "x"}, "b": {"tag": 1, "value": 2.5}, "c": "plain", "d": [1, 2], "e": null, "f": {}, "g": 7}'
+    got = spark.range(1).select(wire.decode_map(F.lit(body)).alias("m")).first()["m"]
+    assert got == {"a": "x", "b": "2.5", "c": "plain", "d": "[1,2]", "e": None, "f": None, "g": "7"}
+
+
+def test_only_plain_numbers_are_cast(spark):
+    texts = ["3.7", "3.7d", "2f", "0x1p3", "1e3", " -12 ", "+.5", "5.", "inf", "-Infinity", "1_0", "", "abc", "12L"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [(r.d, r.i) for r in df.select(cleaning.cast_text(F.col("t"), "double").alias("d"), cleaning.cast_text(F.col("t"), "int").alias("i")).collect()]
+    inf = float("inf")
+    want = [3.7, None, None, None, 1000.0, -12.0, 0.5, 5.0, inf, -inf, None, None, None, None]
+    assert [d for d, _ in got] == want
+    assert [i for _, i in got][:8] == [3, None, None, None, 1000, -12, 0, 5]
+
+
+def test_amounts_beyond_exact_sums_are_rejected(spark):
+    schema = "TransactionID long, TransactionAmt double, ProductCD string, card1 double, addr1 double, TransactionDT long"
+    rows = [(1, 1e15, "W", 1.0, 1.0, 1), (2, 1e18, "W", 1.0, 1.0, 1), (3, float("inf"), "W", 1.0, 1.0, 1)]
+    got = [r[0] for r in spark.createDataFrame(rows, schema).select(validation.reject_reason()).collect()]
+    assert got == [None, "amount_out_of_range", None]
+    parts = spark.createDataFrame([(1e15 + 0.25,), (1e300,), (float("inf"),), (-3.75,)], "x double")
+    assert [r[0] for r in parts.select(features.fractional_amount(F.col("x"))).collect()] == [0.25, 0.0, None, 0.25]
