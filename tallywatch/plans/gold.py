@@ -357,11 +357,11 @@ GOLD_VALUES = {
 }
 
 
-def long_values(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every figure of the gold tables: table_name, row_key, metric, value."""
+def long_values(tables: dict[str, DataFrame], values: dict[str, tuple[list[str], list[str]]] = GOLD_VALUES) -> DataFrame:
+    """Every figure of the gold tables (or of views): table_name, row_key, metric, value."""
     parts = []
     for name, df in tables.items():
-        keys, metrics = GOLD_VALUES[name]
+        keys, metrics = values[name]
         key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
         figures = F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]))
         parts.append(df.select(F.lit(name).alias("table_name"), key.alias("row_key"), figures))

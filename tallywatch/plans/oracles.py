@@ -7,6 +7,7 @@ self-joins, logs and streams are left out, and rounding and units follow ``funct
 from __future__ import annotations
 
 from tallywatch.plans.gold import GOLD_VALUES
+from tallywatch.plans.views import VIEW_VALUES
 
 # Common tables in dependency order; a query gets every one up to the last it needs.
 _CTES: dict[str, str] = {
@@ -731,3 +732,19 @@ FROM v LEFT JOIN m ON v.uid = m.uid""",
     "stream_price_signals": _SIGNALS_FAULTY
     + "SELECT symbol, price, ingested_at, seq, ma, deviation_pct, volatility, severity FROM banded",
 }
+
+
+def _view_values() -> str:
+    """Every figure of the five views; the ranking reads the gold table, whose rules share the composite score."""
+    parts = []
+    for name, (keys, metrics) in VIEW_VALUES.items():
+        text = ORACLES[name]
+        if name == "rule_effectiveness_ranking":
+            text = _with("performance", text[text.rindex("SELECT rule_name, rule_type, CAST(sum") :].replace("performance_own", "performance"))
+        key = "concat_ws('|', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in keys) + ")"
+        pairs = [f"SELECT '{name}' AS table_name, {key} AS row_key, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM v" for m in metrics]
+        parts.append(f"SELECT * FROM (WITH v AS ({text}) " + " UNION ALL ".join(pairs) + ")")
+    return "\nUNION ALL ".join(parts)
+
+
+ORACLES["views"] = _view_values()

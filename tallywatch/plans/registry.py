@@ -14,6 +14,7 @@ from tallywatch.functions import cleaning, features, rules, wire
 from tallywatch.functions.numbers import half_up
 from tallywatch.operators import arrival, contracts, enrichment, numbering, quality, scoring, signals, telemetry, validation
 from tallywatch.plans import decisioning, gold, inputs
+from tallywatch.plans import views as sql_views
 from tallywatch.session import prepare, scratch_dir
 from tallywatch.sources import filelog, files, tables
 from tallywatch.streaming import sinks, stages, stateful
@@ -265,6 +266,22 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.long_values({name: spark.read.parquet(path) for name, path in paths.items()})
 
 
+@query
+def views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five views, created over written tables and read through the catalog: every figure."""
+    database, root = _database(spark, "views")
+    _decisions(spark, sf_dir).write.parquet(f"{root}/silver")
+    decisions = spark.read.parquet(f"{root}/silver")
+    for name, rows in (
+        ("silver_transactions", _transactions(spark, sf_dir)),
+        ("daily_fraud_summary", gold.daily_fraud_summary(decisions)),
+        ("rule_performance", gold.rule_performance(decisions, _run_date())),
+    ):
+        tables.replace_table(rows, f"{database}.{name}", f"{root}/{name}", [])
+    sql_views.create_views(spark, database)
+    return gold.long_values({name: spark.table(f"{database}.{name}") for name in sql_views.VIEWS}, sql_views.VIEW_VALUES)
+
+
 @query
 def archive_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tick log streamed into JSON lines and read back."""

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywatch.functions.cleaning import SPARK_TYPES
+from tallywatch.operators import contracts
+
 COMPRESSION = "snappy"
 
 # Table layouts: columns and the partitioning each is written with.
@@ -37,10 +40,44 @@ SILVER_TRANSACTIONS = {
     "transaction_date": "date",
     "productcd": "string",
 }
+_COUNTS_AND_RATES = {"total_transactions": "bigint", "fraud_count": "bigint", "fraud_rate": "double"}
+GOLD = {
+    "daily_fraud_summary": {
+        "summary_date": "date",
+        **_COUNTS_AND_RATES,
+        **dict.fromkeys(["total_amount", "fraud_amount", "avg_fraud_amount", "max_fraud_amount"], "double"),
+        "blocked_count": "bigint",
+        "blocked_amount": "double",
+    },
+    "product_fraud_stats": {"summary_date": "date", "productcd": "string", **_COUNTS_AND_RATES, **dict.fromkeys(["total_amount", "avg_transaction_amt", "avg_fraud_amt"], "double")},
+    "hourly_fraud_pattern": {"summary_date": "date", "transaction_hour": "int", "transaction_dow": "int", **_COUNTS_AND_RATES, "avg_amount": "double", "risk_level": "string"},
+    "rule_performance": {
+        "summary_date": "date",
+        "rule_name": "string",
+        "rule_type": "string",
+        **dict.fromkeys(["triggers_count", "true_positive", "false_positive", "true_negative", "false_negative"], "bigint"),
+        **dict.fromkeys(["precision_score", "recall_score", "f1_score", "blocked_amount"], "double"),
+    },
+    "uid_risk_profile": {
+        "uid": "string",
+        "card1": "double",
+        "addr1": "double",
+        **_COUNTS_AND_RATES,
+        **dict.fromkeys(["total_amount", "avg_amount", "max_amount"], "double"),
+        "distinct_merchants": "bigint",
+        "distinct_emails": "bigint",
+        "last_seen": "timestamp_ntz",
+    },
+}
+# A table laid out by day has the day as its partition column; one laid out by month has the derived ``month``.
+BRONZE_EXTRA = {"event_timestamp": "timestamp_ntz", "ingested_at": "timestamp_ntz", "source_file": "string", "pipeline_phase": "string", "ingestion_date": "date"}
 LAYOUTS = {
+    "bronze_transactions": ({f.name: SPARK_TYPES[f.kind] for f in contracts.RAW.fields} | BRONZE_EXTRA, ["ingestion_date"]),
     "silver_decisions": (SILVER_DECISIONS, ["transaction_date", "decision"]),
     "silver_transactions": (SILVER_TRANSACTIONS, ["transaction_date", "productcd"]),
+    "uid_risk_profile": (GOLD["uid_risk_profile"] | {"updated_at": "timestamp_ntz", "risk_tier": "string"}, ["risk_tier"]),
 }
+LAYOUTS |= {name: (columns | {"updated_at": "timestamp_ntz", "month": "string"}, ["month"]) for name, columns in GOLD.items() if "summary_date" in columns}
 
 
 def month_of(day: Column) -> Column:

@@ -145,3 +145,38 @@ def test_scratch_follows_the_configured_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     assert root is None or scratch_dir(spark, "x").startswith(root.rstrip("/"))
     assert inputs.run_ts() is not None
+
+
+def test_all_table_layouts(spark, sf_dir):
+    from tallywatch.plans import gold, inputs
+
+    name, root = registry._database(spark, "layouts")
+    for table, (columns, partitions) in tables.LAYOUTS.items():
+        for _ in range(2):
+            tables.create_table(spark, f"{name}.{table}", columns, partitions, f"{root}/{table}")
+        assert dict(spark.table(f"{name}.{table}").dtypes) == columns
+    assert len(tables.LAYOUTS) == 8
+    decisions = registry._decisions(spark, sf_dir)
+    day = F.to_date(inputs.run_ts())
+    loads = {
+        "daily_fraud_summary": gold.daily_fraud_summary(decisions),
+        "hourly_fraud_pattern": gold.hourly_fraud_pattern(decisions, day),
+        "rule_performance": gold.rule_performance(decisions, day),
+        "uid_risk_profile": gold.uid_risk_profile(decisions),
+    }
+    for table, rows in loads.items():
+        stamped = rows.withColumn("updated_at", inputs.run_ts())
+        if table != "uid_risk_profile":
+            stamped = stamped.withColumn("month", tables.month_of(F.col("summary_date")))
+        tables.append_table(stamped, f"{name}.{table}")
+        assert spark.table(f"{name}.{table}").count() == rows.count()
+
+
+def test_days_prune_months(spark):
+    path = scratch_dir(spark, "months")
+    days = spark.range(400).select(F.date_add(F.to_date(F.lit("2024-01-01")), F.col("id").cast("int")).alias("day"), "id")
+    days.withColumn("month", tables.month_of(F.col("day"))).write.partitionBy("month").parquet(path)
+    some = tables.between_days(spark.read.parquet(path), "day", "month", "2024-03-10", "2024-04-02")
+    assert some.count() == 24
+    text = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in text
