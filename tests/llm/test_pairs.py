@@ -207,3 +207,12 @@ def test_imatch_uses_no_python(spark, sf_dir):
     report = imatch.edit_report(table(spark, sf_dir, "documents"))
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+@pytest.mark.parametrize("name", ["op1_embedding_neardup", "op5_minhash_forest"])
+def test_queries_equal_their_sql(spark, name):
+    from tallywatch.llm.queries import ORACLES, QUERIES
+    from tests.oracle_check import compare, duck
+
+    folder = "/root/testdata/sf0.01"
+    assert not compare(spark, duck(folder), name, QUERIES[name], ORACLES[name], folder)
