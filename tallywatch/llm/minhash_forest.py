@@ -155,18 +155,23 @@ def regions(rows: DataFrame, near: Near) -> DataFrame:
     """Adds ``region`` to the rows of ``_tree_rows``: a prefix just deep enough to hold ``near.region`` nodes at most.
 
     Prefixes are counted first; only those that are too full are counted at every further depth. Nodes that
-    agree on a whole run stay together however many they are; a task compares those with the first of them.
+    agree on a whole run are alike almost surely; where they are too many they are dealt into slices, and the
+    smallest of them goes to every slice, which ties the slices together.
     """
     first = rows.withColumn("p", _prefix(F.lit(near.least_depth)))
     counts = first.groupBy("p").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     marked = first.join(counts, "p")
     full = marked.filter(F.col("n") > near.region)
     deeper = full.withColumn("d", F.explode(F.sequence(F.lit(near.least_depth + 1), F.lit(near.depth))))
-    deep_counts = deeper.groupBy(_prefix(F.col("d")).alias("q"), "d").agg(F.count(F.lit(1)).alias("m"))
-    fits = deep_counts.filter((F.col("m") <= near.region) | (F.col("d") == near.depth)).select("q", "d", "m")
+    deep_counts = deeper.groupBy(_prefix(F.col("d")).alias("q"), "d").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("lead"))
+    fits = deep_counts.filter((F.col("m") <= near.region) | (F.col("d") == near.depth)).select("q", "d", "m", "lead")
     dealt = deeper.withColumn("q", _prefix(F.col("d"))).join(fits, ["q", "d"])
-    chosen = dealt.groupBy("node", "tree").agg(F.min(F.struct("d", "q", "m")).alias("best"))
-    hot = full.drop("n").join(chosen, ["node", "tree"]).select("node", "tree", "run", "short", F.col("best.q").alias("region"), F.col("best.m").alias("n"))
+    chosen = dealt.groupBy("node", "tree").agg(F.min(F.struct("d", "q", "m", "lead")).alias("best"))
+    slices = F.ceil(F.col("best.m") / near.region).cast("int")  # 1 but for whole runs
+    everywhere = F.when(F.col("node") == F.col("best.lead"), F.sequence(F.lit(0), slices - 1))
+    targets = F.coalesce(everywhere, F.array(F.pmod(F.xxhash64("node"), slices).cast("int")))
+    hot = full.drop("n").join(chosen, ["node", "tree"]).withColumn("slice", F.explode(targets))
+    hot = hot.select("node", "tree", "run", "short", F.xxhash64("best.q", "slice").alias("region"), F.col("best.m").alias("n"))
     calm = marked.filter(F.col("n") <= near.region).select("node", "tree", "run", "short", F.col("p").alias("region"), "n")
     return calm.unionByName(hot.filter("n > 1"))
 
@@ -182,8 +187,6 @@ def _chains(batches, near: Near):
         enough = near.estimate * VALUES
         forest = Forest(nodes.size)
         for k in range(nodes.size - 1):
-            if nodes.size > near.region and k:
-                break  # they agree on a whole run: each is compared with the first
             alike = np.flatnonzero((short[k] == short[k + 1 :]).sum(axis=1, dtype=np.int32) >= enough) + k + 1
             for j in alike[forest.parent[alike] != forest.find(k)]:
                 forest.join(k, int(j))

@@ -192,7 +192,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, shard
     One shuffle deals the texts into ranges of ids; each task encodes its range in order and closes a shard
     whenever it holds ``shard_ids`` ids, so a task holds one shard and one batch of texts at a time. A null
     text has no ids but the end id. Documents without an id come first; rows with the same id are ordered
-    by their text. A document is never split: a longer one makes a longer shard. Other columns are not read.
+    by a hash of their text, which also lets many of them spread over tasks. A document is never split: a longer one makes a longer shard. Other columns are not read.
     """
 
     def run(batches):
@@ -208,7 +208,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, shard
 
     parts = partitions_for(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), text_or_empty(text_col).alias("text"))
-    dealt = rows.repartitionByRange(parts, "doc").sortWithinPartitions(F.col("doc").asc_nulls_first(), "text")
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    dealt = rows.repartitionByRange(parts, "doc", "tie").sortWithinPartitions(F.col("doc").asc_nulls_first(), "tie", "text")
     dealt.select(F.spark_partition_id().alias("part"), "doc", "text").mapInArrow(run, SHARD_SCHEMA).write.option("compression", "none").parquet(path)
 
 
