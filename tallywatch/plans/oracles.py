@@ -475,7 +475,7 @@ WHERE reason IS NOT NULL""",
         "decided",
         f"""SELECT transaction_id AS transactionid, uid, transaction_amt AS transactionamt, product_cd AS productcd, card4, card6,
   p_emaildomain, transaction_hour, fraud_score, decision, decision_reason, 'rules-v1.0' AS model_version, rules_triggered,
-  is_fraud AS isfraud, ingestion_id, transaction_date, confidence, {_SCORE_COLUMNS} FROM decided""",
+  is_fraud AS isfraud, ingestion_id, transaction_date, confidence, event_ts AS event_at, {_SCORE_COLUMNS} FROM decided""",
     ),
     "silver_transactions": _with(
         "valid_tx", _SILVER + ", event_ts AS event_timestamp, ingestion_id FROM valid_tx"
