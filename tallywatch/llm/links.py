@@ -15,24 +15,29 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     """``node, component`` for every node of ``edges (a long, b long)``: the smallest node it can reach.
 
     Star contraction: every node hands its smallest neighbour to its larger ones, then every node sends its
-    smaller neighbours to the smallest of them, until nothing changes. A round is two aggregates and two joins
+    smaller neighbours to the smallest of them, until only stars are left. A round is two aggregates and two joins
     on the links, however long the chains or large the components; each round is written and read again.
     Nulls and self-links are ignored.
     """
     links = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     now = stored(links.filter(edges["a"].isNotNull() & edges["b"].isNotNull() & (F.col("u") > F.col("v"))).distinct(), label)
-    seen = None
-    while True:
+    while not _are_stars(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         now = stored(small.filter("u > v").distinct(), label)
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        seen = state
+    centres = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(centres)
+
+
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every larger end has one link, and no smaller end is a larger end elsewhere: each component is its smallest node's star."""
+    ends = links.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+    if ends.filter("n > 1").agg(F.count(F.lit(1))).first()[0]:
+        return False
+    return not links.select(F.col("v").alias("u")).distinct().join(links.select("u"), "u", "left_semi").agg(F.count(F.lit(1))).first()[0]
 
 
 def block_pairs(df: DataFrame, group: str, size: str, spread: str, most: int) -> DataFrame:
