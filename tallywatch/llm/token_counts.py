@@ -26,8 +26,8 @@ CONTEXT = 2  # characters after a pre-token that can decide where it ends
 class Counter:
     """Counts of single pre-tokens, of one worker."""
 
-    def __init__(self, path: str):
-        self.ids = ByteIds(path)
+    def __init__(self, path: str, limit: int = 250_000):
+        self.ids = ByteIds(path, limit)
         self.split = self.ids.find
         self.scan = self.ids.scan
 
@@ -159,8 +159,11 @@ class Tree:
 
 
 @lru_cache(maxsize=2)
-def _counter(path: str) -> Counter:
-    return Counter(path)
+def _counter(path: str, limit: int) -> Counter:
+    return Counter(path, limit)
+
+
+WHOLE_TEXTS, EDITED = 250_000, 50_000  # pre-tokens a worker remembers of whole texts, and of edited regions
 
 
 EDITS = "array<struct<at: long, deleted: long, inserted: string>>"
@@ -174,7 +177,7 @@ def count(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     """
 
     def start():
-        counter = _counter(tokenizer)
+        counter = _counter(tokenizer, WHOLE_TEXTS)
 
         def step(batch):
             trees = [Tree.of(t.as_py(), counter) for t in batch.column(1)]
@@ -199,7 +202,7 @@ def recount(counted: DataFrame, tokenizer: str) -> DataFrame:
     """
 
     def start():
-        counter = _counter(tokenizer)
+        counter = _counter(tokenizer, EDITED)
 
         def step(batch):
             texts, trees = [], []
