@@ -1,11 +1,11 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures, confirmed on full shingle sets.
 
 Documents with the same shingle set are one node. Each tree of the forest orders the nodes by its own run of
-signature values; nodes that share a prefix are neighbours. The prefix starts at ``least_depth`` values and
-grows, region by region, until a region holds at most ``region`` nodes, so crowded regions look deeper and
-sparse ones keep their reach. Inside a region whole signatures are compared, and nodes that may be similar
-are chained. The chains of all trees give candidate families; a family's full sets meet in one task (or in
-one task for each pair of blocks, if it is large), where every pair that may link is decided exactly.
+signature values; nodes that share a prefix of ``least_depth`` values are neighbours and form a region. Inside
+a region whole signatures are compared (in one task for each pair of blocks, if it holds more than ``region``
+nodes), and nodes that may be similar are chained. The chains of all trees give candidate families; a family's
+full sets meet in one task (or in one task for each pair of blocks, if it is large), where every pair that may
+link is decided exactly.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ class Near:
 
     A pair at the threshold shares a prefix of 3 values in one of 12 trees with probability 1 - 1e-5 (85 percent)
     or 1 - 2e-4 (80 percent). ``slack``: a pair is compared exactly if its estimated similarity is at most so many
-    standard deviations below the threshold. ``region`` and ``block`` bound what a task compares at once.
+    standard deviations below the threshold. ``region`` and ``block`` bound what a task compares at once; larger
+    groups are compared in pairs of blocks. A tree owns ``depth`` values, of which it reads ``least_depth``.
     """
 
     words: int = 5
@@ -127,13 +128,13 @@ def signatures(docs: DataFrame, near: Near, id_col: str = "doc_id", text_col: st
 
 
 def _tree_rows(nodes: DataFrame, near: Near) -> DataFrame:
-    """One row for each node and tree: the tree's run of signature values, and 8 bits of every value."""
+    """One row for each node and tree: the tree's run of signature values as far as it is read, and 8 bits of every value."""
 
     def step(batch):
         n = batch.num_rows
         whole = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(n, VALUES)
         short = (whole >> 24 ^ whole >> 16).astype(np.uint8)
-        runs_ = np.ascontiguousarray(whole[:, : near.trees * near.depth]).reshape(n * near.trees, near.depth)
+        runs_ = np.ascontiguousarray(whole[:, : near.trees * near.depth]).reshape(n * near.trees, near.depth)[:, : near.least_depth]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.repeat(batch.column(0).to_numpy(), near.trees)),
@@ -147,48 +148,39 @@ def _tree_rows(nodes: DataFrame, near: Near) -> DataFrame:
     return map_batches(nodes.select("node", "signature"), "node long, tree int, run binary, short binary", lambda: step)
 
 
-def _prefix(depth) -> F.Column:
-    return F.xxhash64("tree", F.substring(F.col("run"), F.lit(1), 4 * depth))
-
-
 def regions(rows: DataFrame, near: Near) -> DataFrame:
-    """Adds ``region`` to the rows of ``_tree_rows``: a prefix just deep enough to hold ``near.region`` nodes at most.
+    """``region, side`` and the rows of ``_tree_rows`` that share their first ``near.least_depth`` values with another.
 
-    Prefixes are counted first; only those that are too full are counted at every further depth. Nodes that
-    agree on a whole run are alike almost surely; where they are too many they are dealt into slices, and the
-    smallest of them goes to every slice, which ties the slices together.
+    A prefix of more than ``near.region`` nodes is dealt to one region for each pair of its blocks, so that every
+    pair of its nodes still meets in this tree.
     """
-    first = rows.withColumn("p", _prefix(F.lit(near.least_depth)))
+    first = rows.withColumn("p", F.xxhash64("tree", F.substring("run", 1, 4 * near.least_depth)))
     counts = first.groupBy("p").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    marked = first.join(counts, "p")
-    full = marked.filter(F.col("n") > near.region)
-    deeper = full.withColumn("d", F.explode(F.sequence(F.lit(near.least_depth + 1), F.lit(near.depth))))
-    deep_counts = deeper.groupBy(_prefix(F.col("d")).alias("q"), "d").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("lead"))
-    fits = deep_counts.filter((F.col("m") <= near.region) | (F.col("d") == near.depth)).select("q", "d", "m", "lead")
-    dealt = deeper.withColumn("q", _prefix(F.col("d"))).join(fits, ["q", "d"])
-    chosen = dealt.groupBy("node", "tree").agg(F.min(F.struct("d", "q", "m", "lead")).alias("best"))
-    slices = F.ceil(F.col("best.m") / near.region).cast("int")  # 1 but for whole runs
-    everywhere = F.when(F.col("node") == F.col("best.lead"), F.sequence(F.lit(0), slices - 1))
-    targets = F.coalesce(everywhere, F.array(F.pmod(F.xxhash64("node"), slices).cast("int")))
-    hot = full.drop("n").join(chosen, ["node", "tree"]).withColumn("slice", F.explode(targets))
-    hot = hot.select("node", "tree", "run", "short", F.xxhash64("best.q", "slice").alias("region"), F.col("best.m").alias("n"))
-    calm = marked.filter(F.col("n") <= near.region).select("node", "tree", "run", "short", F.col("p").alias("region"), "n")
-    return calm.unionByName(hot.filter("n > 1"))
+    dealt = block_pairs(first.join(counts, "p"), "p", "n", "node", near.region)
+    return dealt.select(F.xxhash64("key.g", "key.i", "key.j").alias("region"), "side", "node", "tree", "run", "short")
 
 
 def _chains(batches, near: Near):
-    """Links ``a, b`` that join the nodes of each region which may be similar, a star for each family of them."""
+    """Links ``a, b`` that join the nodes of each region which may be similar, a star for each family of them.
+
+    Pairs already known to be connected are not compared again; ``side`` is that of ``block_pairs``.
+    """
     for _, parts in runs(batches, lambda b: b.column(0).to_numpy()):
         table = pa.Table.from_batches(parts)
         nodes = table.column("node").to_numpy()
         if nodes.size < 2:
             continue
+        side = table.column("side").to_numpy()
         short = np.frombuffer(b"".join(table.column("short").to_pylist()), np.uint8).reshape(-1, VALUES)
         enough = near.estimate * VALUES
         forest = Forest(nodes.size)
         for k in range(nodes.size - 1):
-            alike = np.flatnonzero((short[k] == short[k + 1 :]).sum(axis=1, dtype=np.int32) >= enough) + k + 1
-            for j in alike[forest.parent[alike] != forest.find(k)]:
+            roots = forest.roots()
+            after = roots[k + 1 :] != roots[k]
+            if side[k] != 2:
+                after &= side[k + 1 :] != side[k]
+            after = np.flatnonzero(after) + k + 1
+            for j in after[(short[k] == short[after]).sum(axis=1, dtype=np.int32) >= enough]:
                 forest.join(k, int(j))
         roots = forest.roots()
         far = np.flatnonzero(roots != np.arange(nodes.size))
@@ -267,7 +259,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near(), id_col: str = "doc_id"
     nodes = stored(named.groupBy("set_a", "set_b", "n_shingles").agg(F.min(F.struct("doc_id", "signature")).alias("x")).select("set_a", "set_b", "n_shingles", F.col("x.doc_id").alias("node"), F.col("x.signature").alias("signature")), "nodes")
 
     parts = partitions_for(spark)
-    placed = regions(_tree_rows(nodes, near), near).select("region", "node", "short").repartition(parts, "region").sortWithinPartitions("region", "node")
+    placed = regions(_tree_rows(nodes, near), near).select("region", "node", "side", "short").repartition(parts, "region").sortWithinPartitions("region", "node")
     chains = placed.mapInArrow(lambda batches: _chains(batches, near), "a long, b long")
     families = stored(components(chains, "families"), "family")
     sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("n"))

@@ -75,6 +75,18 @@ def test_near_duplicates_equal_brute_force(spark, near):
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows.values())
 
 
+def test_pairs_in_a_loose_crowd_are_found(spark):
+    near = minhash_forest.Near(words=1, percent=60, region=2, least_depth=1)
+    shared, texts = [f"c{k}" for k in range(50)], []
+    for k in range(150):
+        own = [f"o{k}x{j}" for j in range(50)]
+        texts += [" ".join(shared + own), " ".join(shared + own[23:] + [f"p{k}x{j}" for j in range(23)])]
+    texts += [" ".join(shared + [f"s{k}x{j}" for j in range(50)]) for k in range(100)]
+    _, component = expected_components(texts, near)
+    assert sum(k != c for k, c in component.items()) == 150
+    assert {r.doc_id: r.component_id for r in minhash_forest.near_duplicates(frame(spark, texts), near).collect()} == component
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     assert minhash_forest.near_duplicates(frame(spark, [])).count() == 0
     rows = [(None, "a b c d e f", "en", "x", 1), (7, "a b c d e f", "en", "x", 1), (7, "a b c d e f", "en", "x", 1), (9, "A b c d e f", None, None, None)]
