@@ -14,6 +14,7 @@ left in company is counted string by string.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -88,19 +89,20 @@ class Grams:
 
 
 def _document(docs: DataFrame, id_col: str, text_col: str, *carried: str) -> DataFrame:
-    """``doc, mark, text``: an id without nulls, 16 bits that tell apart the texts of rows with the same id, bytes."""
+    """``doc, mark, text``: a 128-bit name of the id (or of none) and the text together, and the text's bytes."""
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    return docs.select(*carried, doc.alias("doc"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("mark"), text.alias("text"))
+    doc, mark = (F.xxhash64(F.lit(k), F.col(id_col).cast("long"), F.col(id_col).isNull(), text) for k in (1, 2))
+    return docs.select(*carried, doc.alias("doc"), mark.alias("mark"), text.alias("text"))
 
 
-FILED = "gram long, doc long, place long, known boolean, deal long"
+FILED = "gram long, doc long, mark long, place long, known boolean, deal long"
+COMPANY = "gram long, doc long, mark long, place long"
 
 
 def _file(rows: DataFrame, repeats: Repeats) -> DataFrame:
-    """A row for each region. ``place`` packs start, strings, gram offset and mark.
+    """A row for each region. ``place`` packs start, strings and gram offset.
 
-    A gram that a batch of texts holds more than once is known to repeat: one such row goes where the gram is
+    Of identical rows in a batch one is filed, all of it known to repeat. A gram that a batch of texts holds more than once is known to repeat: one such row goes where the gram is
     dealt, as a witness for other tasks, and the others anywhere. So no gram fills a task.
     """
 
@@ -108,21 +110,28 @@ def _file(rows: DataFrame, repeats: Repeats) -> DataFrame:
         grams = Grams(repeats)
 
         def step(batch):
-            gram, doc, place = [], [], []
-            for d, m, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            gram, doc, mark, place, many = [], [], [], [], []
+            copies = Counter(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            names = dict.fromkeys(copies)
+            for name, text in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), batch.column(2), strict=True):
+                if name not in names:
+                    continue
+                del names[name]
                 g, first, count, offset = grams.file(text.as_buffer())
                 gram.append(g)
-                doc.append(np.full(g.size, d, np.int64))
-                place.append(first << 32 | count << 24 | offset << 16 | m)
-            gram, doc, place = (np.concatenate(x) for x in (gram, doc, place))
+                doc.append(np.full(g.size, name[0], np.int64))
+                mark.append(np.full(g.size, name[1], np.int64))
+                place.append(first << 16 | count << 8 | offset)
+                many.append(np.full(g.size, copies[name] > 1))
+            gram, doc, mark, place, many = (np.concatenate(x) for x in (gram, doc, mark, place, many))
             order = np.argsort(gram, kind="stable")
             ordered = gram[order]
             same = ordered[1:] == ordered[:-1]
-            known, later = np.zeros(gram.size, bool), np.zeros(gram.size, bool)
+            known, later = many, np.zeros(gram.size, bool)
             known[order[1:][same]] = known[order[:-1][same]] = True
             later[order[1:][same]] = True
             deal = np.where(later, (doc.view(np.uint64) * SPREAD + place.view(np.uint64)).view(np.int64), gram)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (gram, doc, place, known, deal)], names=["gram", "doc", "place", "known", "deal"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (gram, doc, mark, place, known, deal)], names=["gram", "doc", "mark", "place", "known", "deal"])
 
         return step
 
@@ -131,41 +140,45 @@ def _file(rows: DataFrame, repeats: Repeats) -> DataFrame:
 
 def _company(batches):
     """Rows known to repeat, and those whose gram the row before or after shares."""
-    names = ["gram", "doc", "place"]
+    names = ["gram", "doc", "mark", "place"]
     last, last_kept, held = None, True, None
     for batch in batches:
         if not batch.num_rows:
             continue
-        gram, known = batch.column(0).to_numpy(), batch.column(3).to_numpy(zero_copy_only=False)
+        gram, known = batch.column(0).to_numpy(), batch.column(4).to_numpy(zero_copy_only=False)
         same = gram[1:] == gram[:-1]
         keep = known | np.append(same, False) | np.concatenate([[gram[0] == last], same])
         if held is not None and gram[0] == last and not last_kept:
             yield held
-        held, last, last_kept = pa.RecordBatch.from_arrays([batch.column(k).slice(batch.num_rows - 1) for k in range(3)], names=names), gram[-1], keep[-1]
+        held, last, last_kept = pa.RecordBatch.from_arrays([batch.column(k).slice(batch.num_rows - 1) for k in range(4)], names=names), gram[-1], keep[-1]
         kept = pa.array(keep)
-        yield pa.RecordBatch.from_arrays([batch.column(k).filter(kept) for k in range(3)], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column(k).filter(kept) for k in range(4)], names=names)
 
 
 REGION = "gram long, name_a long, name_b long, span int, offset int, n long, content binary, found binary"
 
 
 def _cut(rows: DataFrame, repeats: Repeats) -> DataFrame:
-    """Regions of a batch of texts with their content, equal ones merged; ``found``: where they were (doc, mark, start)."""
+    """Regions of a batch of texts with their content, equal ones merged; ``found``: where they were (doc, mark, start).
+
+    ``n`` counts every identical row, ``found`` names them once.
+    """
     more = repeats.length - 1
 
     def step(batch):
         regions: dict[bytes, list] = {}
-        for doc, mark, text, filed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist(), strict=True):
+        for doc, mark, text, filed, copies in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
             body = text.as_buffer()
             for x in filed:
                 place = x["place"]
-                start, span, offset = place >> 32, place >> 24 & 0xFF, place >> 16 & 0xFF
+                start, span, offset = place >> 16, place >> 8 & 0xFF, place & 0xFF
                 content = body[start : start + span + more].to_pybytes()
                 name = xxhash.xxh3_128_digest(content + bytes([offset]))
                 known = regions.get(name)
                 if known is None:
-                    known = regions[name] = [x["gram"], span, offset, content, []]
+                    known = regions[name] = [x["gram"], span, offset, content, [], 0]
                 known[4].append((doc, mark, start))
+                known[5] += copies
         names = np.frombuffer(b"".join(regions), "<i8").reshape(-1, 2)
         values = list(regions.values())
         return pa.RecordBatch.from_arrays(
@@ -175,7 +188,7 @@ def _cut(rows: DataFrame, repeats: Repeats) -> DataFrame:
                 pa.array(names[:, 1]),
                 pa.array([v[1] for v in values], pa.int32()),
                 pa.array([v[2] for v in values], pa.int32()),
-                pa.array([len(v[4]) for v in values], pa.int64()),
+                pa.array([v[5] for v in values], pa.int64()),
                 pa.array([v[3] for v in values], pa.binary()),
                 pa.array([np.array(v[4], "<i8").tobytes() for v in values], pa.binary()),
             ],
@@ -273,9 +286,10 @@ def spans(docs: DataFrame, repeats: Repeats = Repeats(), id_col: str = "doc_id",
     spark = docs.sparkSession
     parts = partitions_for(spark)
     rows = _document(docs, id_col, text_col)
-    filed = _file(rows, repeats).repartition(parts, "deal").sortWithinPartitions("gram").mapInArrow(_company, "gram long, doc long, place long")
-    per_doc = filed.withColumn("mark", F.col("place").bitwiseAND(F.lit(0xFFFF)).cast("int")).groupBy("doc", "mark").agg(F.collect_list(F.struct("gram", "place")).alias("filed"))
-    with_text = rows.join(per_doc, ["doc", "mark"]).select("doc", "mark", "text", "filed")
+    filed = _file(rows, repeats).repartition(parts, "deal").sortWithinPartitions("gram").mapInArrow(_company, COMPANY)
+    per_doc = filed.groupBy("doc", "mark").agg(F.collect_set(F.struct("gram", "place")).alias("filed"))
+    # A text stands for its identical rows: those come to one task by the join already, so no text moves twice.
+    with_text = rows.join(per_doc, ["doc", "mark"]).groupBy("doc", "mark").agg(F.first("text").alias("text"), F.first("filed").alias("filed"), F.count(F.lit(1)).alias("copies"))
     regions = stored(_cut(with_text, repeats), "regions")
 
     crowded = regions.groupBy("gram").agg(F.count(F.lit(1)).alias("crowd")).filter(F.col("crowd") > repeats.crowd).select("gram")
@@ -298,7 +312,7 @@ def _pairs(marks: np.ndarray) -> np.ndarray:
     return np.column_stack([edges[::2], edges[1::2] - 1])
 
 
-PLACES = "doc long, mark int, starts binary"
+PLACES = "doc long, mark long, starts binary"
 
 
 def _emit(found: list[bytes], pairs: list[np.ndarray]) -> pa.RecordBatch:
@@ -308,7 +322,7 @@ def _emit(found: list[bytes], pairs: list[np.ndarray]) -> pa.RecordBatch:
         for doc, mark, start in np.frombuffer(body, "<i8").reshape(-1, 3).tolist():
             by.setdefault((doc, mark), []).append(pair + start)
     return pa.RecordBatch.from_arrays(
-        [pa.array([d for d, _ in by], pa.int64()), pa.array([m for _, m in by], pa.int32()), pa.array([np.concatenate(v).astype("<i8").tobytes() for v in by.values()], pa.binary())], names=["doc", "mark", "starts"]
+        [pa.array([d for d, _ in by], pa.int64()), pa.array([m for _, m in by], pa.int64()), pa.array([np.concatenate(v).astype("<i8").tobytes() for v in by.values()], pa.binary())], names=["doc", "mark", "starts"]
     )
 
 

@@ -81,6 +81,23 @@ def test_rows_that_share_an_id_are_documents_apart(spark):
     assert suffix_dedup.without_repeats(docs.limit(0)).count() == 0
 
 
+def test_many_texts_of_one_id_and_of_none(spark):
+    rng = random.Random(8)
+    word = lambda n: " ".join(f"{rng.randrange(1 << 40):x}" for _ in range(n))
+    shared = [word(30) for _ in range(20)]
+    texts = [" ".join([word(rng.randrange(1, 9)), rng.choice(shared), word(rng.randrange(1, 9))]) for _ in range(900)]
+    texts += [texts[0]] * 60 + [word(40)] + ["short"] * 5
+    rows = [(i, t) for i in (7, None) for t in texts] + [(7, word(50))] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    bodies = [t.encode() for _, t in rows]
+    want = Counter((i, b, np.frombuffer(b, "u1")[~g].tobytes()) for (i, _), b, g in zip(rows, bodies, covered(bodies, 200), strict=True))
+    got = suffix_dedup.without_repeats(docs).collect()
+    assert Counter((r.row.doc_id, r.row.text.encode(), bytes(r.kept)) for r in got) == want
+    assert all(r.n_bytes - sum(x.end - x.start for x in r.removed) == len(r.kept) for r in got)
+    size = F.aggregate("starts", F.lit(0), lambda total, x: total + F.octet_length(x))
+    assert suffix_dedup.spans(docs).agg(F.max(size)).first()[0] <= 16 * max(map(len, bodies))
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 
