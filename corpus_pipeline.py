@@ -25,12 +25,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates (5): that with the group's smallest id.
 
-    Of rows that repeat that id, the one with the smallest hash of its text stays; rows without an id all stay.
+    A row is named by a 64-bit hash of its id and text, so rows that repeat an id, or have none, are compared by
+    their texts. Rows with equal id and text are one; texts without words link with nothing else.
     """
-    ids = minhash_forest.near_duplicates(docs).filter("doc_id is not null and kept").select(F.col("doc_id").alias("id")).distinct()
     rows = packed(docs).withColumn("id", F.col("row.doc_id").cast("long"))
-    one = rows.filter("id is not null").groupBy("id").agg(F.min_by("row", F.xxhash64("row.text")).alias("row"))
-    return one.join(ids, "id", "left_semi").select("row").unionByName(rows.filter("id is null").select("row")).select("row.*")
+    text = F.col("row.text")
+    rows = rows.withColumn("name", F.xxhash64(F.col("id").isNull(), "id", text.isNull(), text))
+    groups = minhash_forest.near_duplicates(rows.select("name", text.alias("text")), id_col="name").select(F.col("doc_id").alias("name"), "component_id").distinct()
+    first = groups.join(rows.select("name", "id").distinct(), "name").groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "name")).alias("first"))
+    one = rows.groupBy("name").agg(F.min_by("row", F.xxhash64("row.text")).alias("row"))
+    return one.join(first.select(F.col("first.name").alias("name")), "name", "left_semi").select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -148,6 +148,14 @@ def test_pipeline_of_awkward_rows(spark, sf_dir):
         assert stage(spark, none, sf_dir).count() == 0
 
 
+def test_near_stage_compares_texts_that_share_an_id_or_have_none(spark, sf_dir):
+    one, two, three = (" ".join(f"{w}{k}" for k in range(30)) for w in "abc")
+    rows = [(1, one), (1, two), (1, two), (4, two), (None, three), (None, three), (None, one), (6, three)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()
+    assert sorted(map(tuple, got)) == [(1, one), (1, two), (6, three)]
+
+
 def test_registered_queries(spark, sf_dir):
     from tallywatch.llm.queries import ORACLES, QUERIES
 
