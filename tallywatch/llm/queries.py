@@ -18,6 +18,7 @@ from tallywatch.llm import (
     length_packing,
     minhash_forest,
     piece_bpe,
+    prefix_trie,
     suffix_dedup,
     token_counts,
     wavelet_ids,
@@ -104,6 +105,13 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of the conversations, each rebuilt on the first turns of another one."""
+    placed = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    heads = F.crc32(F.col("conv").cast("string").cast("binary")) % 4
+    return prefix_trie.report(prefix_trie.rebuilt(placed, 3, heads, F.col("conv") - F.col("conv") % 20))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every anchor (ids divisible by 50) and each of its five positives."""
     rows = table(spark, sf_dir, "embeddings")
@@ -123,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_wavelet_ids": op8_wavelet_ids,
     "op9_length_packing": op9_length_packing,
     "op10_imatch": op10_imatch,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -157,6 +166,38 @@ least_of AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id,
   doc_id <= coalesce(y, doc_id) AS kept
 FROM sets LEFT JOIN least_of ON doc_id = least_of.x""",
+    "op11_prefix_trie": r"""
+WITH own AS (
+  SELECT conv_id AS c, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS name,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, name) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+bits AS (
+  SELECT DISTINCT c, flatten(list_transform(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda x: [x, -1, -1, -1, -1, -1, -1, -1, -1])) AS steps FROM own),
+heads AS (
+  SELECT c, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), steps), lambda r, e:
+    CASE WHEN e >= 0 THEN xor(r, e) WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END), 4294967295) % 4 AS h FROM bits),
+leads AS (SELECT c, h, (SELECT count(*) FROM own b WHERE b.c = heads.c - heads.c % 20 AND b.p <= h) AS lead FROM heads),
+rebuilt AS (
+  SELECT l.c, b.p AS d, b.name, b.words FROM leads l JOIN own b ON b.c = l.c - l.c % 20 AND b.p <= l.h
+  UNION ALL SELECT l.c, l.lead + o.p - l.h, o.name, o.words FROM leads l JOIN own o ON o.c = l.c AND o.p > l.h),
+paths AS (
+  SELECT c, d, words, string_agg(name, ',') OVER (PARTITION BY c ORDER BY d) AS path, d = max(d) OVER (PARTITION BY c) AS ends FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '', c NOT IN (SELECT c FROM rebuilt) FROM leads),
+nodes AS (
+  SELECT path, d, min(c) AS c, count(*) AS n, max(words) AS words, string_agg(CASE WHEN ends THEN CAST(c AS VARCHAR) END, ',' ORDER BY c) AS ending
+  FROM paths GROUP BY path, d),
+family AS (
+  SELECT v.*, u.c AS parent FROM nodes v LEFT JOIN nodes u ON v.d > 0 AND u.d = v.d - 1
+    AND u.path = CASE WHEN v.d = 1 THEN '' ELSE left(v.path, length(v.path) - 33) END),
+counted AS (SELECT parent AS c, d - 1 AS d, count(*) AS n_children FROM family WHERE d > 0 GROUP BY ALL),
+valued AS (SELECT v.c, v.d, (v.n - 1) * v.words AS saved, k.n_children IS NULL AS leaf FROM nodes v LEFT JOIN counted k ON k.c = v.c AND k.d = v.d),
+totals AS (
+  SELECT a.path, a.d, sum(v.saved) AS saved, sum(CAST(v.leaf AS BIGINT)) AS leaves FROM valued v JOIN paths a ON a.c = v.c AND a.d <= v.d GROUP BY a.path, a.d)
+SELECT f.c AS conv_id, f.d AS depth, f.parent AS parent_conv_id, f.n AS n_convs, coalesce(n_children, 0) AS n_children,
+  CAST(t.leaves AS BIGINT) AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, sha256(coalesce(ending, '')) AS ends_sha256
+FROM family f JOIN totals t ON t.path = f.path AND t.d = f.d LEFT JOIN counted k ON k.c = f.c AND k.d = f.d""",
     "op13_hard_negatives": """
 WITH v AS (
   SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
