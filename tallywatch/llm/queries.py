@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.llm import (
+    attention_lm,
     compression_quality,
     embedding_neardup,
     hard_negatives,
@@ -112,6 +113,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.report(prefix_trie.rebuilt(placed, 3, heads, F.col("conv") - F.col("conv") % 20))
 
 
+def op12_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every text by the attention model, learned from six of seven texts, and by smoothed word counts."""
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return attention_lm.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), held)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every anchor (ids divisible by 50) and each of its five positives."""
     rows = table(spark, sf_dir, "embeddings")
@@ -132,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_length_packing": op9_length_packing,
     "op10_imatch": op10_imatch,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_attention_lm": op12_attention_lm,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
