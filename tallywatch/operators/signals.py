@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallywatch.functions.moving import moving_statistics
 from tallywatch.operators.numbering import SLICE_ROWS, number_rows
+from tallywatch.session import travels_by_value
+
+travels_by_value(__name__)
 
 # Window length, rows before the first signal, severity bands in percent.
 WINDOW_ROWS = 50
@@ -14,8 +23,6 @@ SEVERITY_BANDS = ((0.5, "CRITICAL"), (0.3, "ALERT"), (0.1, "WATCH"))
 ALERT_LEVELS = ("ALERT", "CRITICAL")
 
 CHUNK_ROWS = 50_000
-PRICE_DIGITS = 8  # places that enter the sums; a price's own digits are kept beside them
-LARGEST_PRICE = 1e8  # the squares of a chunk's price units stay within 38 digits
 
 
 def severity(deviation: Column) -> Column:
@@ -33,7 +40,6 @@ def reject_reason(symbol: Column, price: Column) -> Column:
         .when(price.isNull(), "null_price")
         .when(F.isnan(price), "nan_price")
         .when(F.abs(price) == float("inf"), "infinite_price")
-        .when(F.abs(price) >= LARGEST_PRICE, "price_out_of_range")
     )
 
 
@@ -46,55 +52,63 @@ def usable(ticks: DataFrame) -> DataFrame:
     return ticks.filter(reject_reason(F.col("symbol"), F.col("price")).isNull())
 
 
-def price_units(price: Column, digits: int) -> Column:
-    return F.round(price * F.lit(float(10**digits))).try_cast("bigint")
-
-
-def window_statistics(price: Column, total: Column, squares: Column, rows: Column, digits: int) -> dict[str, Column]:
-    """Mean, percent deviation of the price, population deviation, from sums of whole price units."""
-    unit = F.lit(float(10**digits))
-    mean = total.cast("double") / unit / rows
-    exact_total = total.cast("decimal(19,0)")
-    spread = (squares * rows.cast("decimal(5,0)") - exact_total * exact_total).cast("double")
-    deviation = ((price - mean) / F.nullif(mean, F.lit(0.0))) * F.lit(100.0)
-    return {"ma": mean, "deviation_pct": deviation, "volatility": F.sqrt(spread) / rows / unit}
-
-
-def price_signals(
-    ticks: DataFrame, digits: int = PRICE_DIGITS, chunk_rows: int = CHUNK_ROWS, slice_rows: int = SLICE_ROWS
-) -> DataFrame:
+def with_statistics(df: DataFrame) -> DataFrame:
+    """A NaN deviation (from a mean of zero) to NULL, and the severity."""
+    deviation = F.when(~F.isnan("deviation_pct"), F.col("deviation_pct"))
+    return df.withColumn("deviation_pct", deviation).withColumn("severity", severity(F.col("deviation_pct")))
+
+
+def _same_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of one (symbol, chunk) after the other; they arrive sorted, a chunk possibly over several batches."""
+    held, parts = None, []
+    for batch in batches:
+        symbols, chunks = batch.column("symbol").dictionary_encode(), batch.column("_chunk").to_numpy()
+        codes = symbols.indices.to_numpy()
+        cuts = [0, *(np.flatnonzero((codes[1:] != codes[:-1]) | (chunks[1:] != chunks[:-1])) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            key = (batch.column("symbol")[a].as_py(), chunks[a])
+            if parts and key != held:
+                yield pa.Table.from_batches(parts)
+                parts = []
+            held = key
+            parts.append(batch.slice(a, b - a))
+    if parts:
+        yield pa.Table.from_batches(parts)
+
+
+def _chunk_signals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for table in _same_chunk(batches):
+        own = table.column("_own").to_numpy()
+        first = int(own.argmax())  # the copied rows before the chunk sort first
+        price = table.column("price").to_numpy()
+        rows, *figures = moving_statistics(price[first:], price[:first], WINDOW_ROWS)
+        ready = np.flatnonzero(rows >= MINIMUM_ROWS)
+        out = table.slice(first).drop_columns(["_chunk", "_own", "row_no"]).take(pa.array(ready)).combine_chunks()
+        for name, values in zip(("ma", "deviation_pct", "volatility"), figures):
+            out = out.append_column(name, pa.array(values[ready]))
+        yield from out.to_batches()
+
+
+def price_signals(ticks: DataFrame, chunk_rows: int = CHUNK_ROWS, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Signals of (symbol, price, ingested_at, seq) ticks, each over the last 50 rows of its symbol.
 
-    A symbol is cut into chunks of ``chunk_rows`` rows; each chunk gets a copy of the 49 rows before
-    it. Sums are differences of running totals, so the cost per row does not grow with the window.
+    A symbol is cut into chunks of ``chunk_rows`` rows; each chunk gets a copy of the 49 rows before it, so a hot symbol
+    spreads over tasks. Each window is summed anew in two-part floats, so prices of any finite size are taken as they are.
     """
-    numbered = number_rows(usable(ticks), "symbol", "seq", slice_rows)
+    numbered = number_rows(usable(ticks).select("symbol", F.col("price").cast("double").alias("price"), "ingested_at", "seq"), "symbol", "seq", slice_rows)
     place = F.col("row_no") - 1
     chunk = F.floor(place / F.lit(chunk_rows)).cast("bigint")
     last_rows = place % chunk_rows >= chunk_rows - (WINDOW_ROWS - 1)
     homes = F.when(last_rows, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
-    spread = numbered.withColumn("_home", chunk).withColumn("_chunk", F.explode(homes))
-
-    valued = spread.withColumn("_units", price_units(F.col("price"), digits)).withColumn(
-        "_square", F.col("_units").cast("decimal(19,0)") * F.col("_units").cast("decimal(19,0)")
-    )
-    order = Window.partitionBy("symbol", "_chunk").orderBy("row_no")
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = valued.withColumns({"_s": F.sum("_units").over(so_far), "_q": F.sum("_square").over(so_far)})
-    lagged = running.withColumns(
-        {
-            "_s0": F.coalesce(F.lag("_s", WINDOW_ROWS).over(order), F.lit(0)),
-            "_q0": F.coalesce(F.lag("_q", WINDOW_ROWS).over(order), F.lit(0)),
-        }
-    )
-    rows = F.least(F.col("row_no"), F.lit(WINDOW_ROWS))
-    own = lagged.filter((F.col("_home") == F.col("_chunk")) & (F.col("row_no") >= MINIMUM_ROWS))
-    stats = window_statistics(
-        F.col("price"), F.col("_s") - F.col("_s0"), F.col("_q") - F.col("_q0"), rows, digits
-    )
-    return own.select("symbol", "price", "ingested_at", "seq", *[c.alias(n) for n, c in stats.items()]).withColumn(
-        "severity", severity(F.col("deviation_pct"))
-    )
+    spread = numbered.withColumn("_chunk", F.explode(homes)).withColumn("_own", F.col("_chunk") == chunk)
+    ordered = spread.repartition("symbol", "_chunk").sortWithinPartitions("symbol", "_chunk", "row_no")
+    kept = [f for f in ordered.schema.fields if f.name in ("symbol", "price", "ingested_at", "seq")]
+    figures = [T.StructField(n, T.DoubleType()) for n in ("ma", "deviation_pct", "volatility")]
+    order = [f.name for f in kept]
+    found = ordered.select(*order, "_chunk", "_own", "row_no").mapInArrow(_chunk_signals, T.StructType([*kept, *figures]))
+    return with_statistics(found)
 
 
 def price_alerts(signals: DataFrame) -> DataFrame:

@@ -149,13 +149,18 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def faulty_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks of which some hold no price, no number, no finite number, a number too large, or no symbol."""
+    """Ticks of which some hold no price, no number, no finite number, a very large or very small one, or no symbol."""
     n = F.col("seq")
     price = (
         F.when(n % 113 == 0, F.lit(None))
         .when(n % 127 == 0, F.lit(float("nan")))
         .when(n % 131 == 0, F.lit(float("inf")))
         .when(n % 137 == 0, F.lit(1e15))
+        .when(n % 149 == 0, F.lit(4.2e-9))
+        .when(n % 151 == 0, F.lit(1e9))
+        .when(n % 1009 == 0, F.lit(1e300))
+        .when((n > 3000) & (n < 3400), F.col("price") * F.lit(1e-9))
+        .when((n > 3600) & (n < 3900), F.col("price") * F.lit(1e-200))
         .otherwise(F.col("price"))
     )
     return ticks(spark, sf_dir).withColumn("price", price).withColumn("symbol", F.when(n % 139 != 0, F.col("symbol")))

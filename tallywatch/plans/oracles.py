@@ -299,37 +299,44 @@ def _gold_values() -> str:
 
 
 _TICKS = "SELECT event_type AS symbol, value AS price, ts AS ingested_at, event_id AS seq FROM events"
-_SIGNALS = f"""
-WITH ticks AS ({_TICKS}),
-windows AS (
-  SELECT *, CAST(count(*) OVER w AS DOUBLE) AS n,
-    CAST(sum(CAST(round(price * 100) AS BIGINT)) OVER w AS DOUBLE) AS s,
-    CAST(sum(CAST(round(price * 100) AS BIGINT) * CAST(round(price * 100) AS BIGINT)) OVER w AS DOUBLE) AS q
-  FROM ticks WINDOW w AS (PARTITION BY symbol ORDER BY seq ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)),
-stats AS (SELECT *, s / CAST(100 AS DOUBLE) / n AS ma, sqrt(q * n - s * s) / n / CAST(100 AS DOUBLE) AS volatility
+def _signals_over(ticks: str) -> str:
+    """Signals by sums of two-part floats, oldest price first: (h, l) is a sum and what its additions rounded away."""
+
+    def total(terms: str) -> str:
+        step = "struct_pack(h := a.h + b.h, l := a.l + ((a.h - ((a.h + b.h) - ((a.h + b.h) - a.h))) + (b.h - ((a.h + b.h) - a.h))))"
+        return f"list_reduce(list_transform({terms}, lambda x: struct_pack(h := x, l := CAST(0 AS DOUBLE))), lambda a, b: {step})"
+
+    return f"""
+WITH windows AS (
+  SELECT *, list(price) OVER w AS prices, count(*) OVER w AS n FROM ({ticks})
+  WINDOW w AS (PARTITION BY symbol ORDER BY seq ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)),
+sized AS (
+  SELECT *, list_max(list_transform(prices, lambda x: abs(x))) AS largest,
+    CASE WHEN largest >= pow(2.0, 500) THEN pow(2.0, -600) WHEN largest < pow(2.0, -400) AND largest > 0 THEN pow(2.0, 600) ELSE 1.0 END AS scale
   FROM windows WHERE n >= 10),
-signals AS (SELECT *, ((price - ma) / ma) * CAST(100 AS DOUBLE) AS deviation_pct FROM stats),
+scaled AS (SELECT * REPLACE (list_transform(prices, lambda x: x * scale) AS prices) FROM sized),
+summed AS (SELECT *, {total("prices")} AS s FROM scaled),
+means AS (SELECT *, (s.h + s.l) / n AS mean FROM summed),
+spreads AS (
+  SELECT *, {total("list_transform(prices, lambda x: x - mean)")} AS d,
+    {total("list_transform(prices, lambda x: (x - mean) * (x - mean))")} AS q FROM means),
+signals AS (
+  SELECT symbol, price, ingested_at, seq, mean / scale AS ma, CASE WHEN mean <> 0 THEN (price * scale - mean) / mean * 100.0 END AS deviation_pct,
+    sqrt(greatest((q.h + q.l) - (d.h + d.l) * (d.h + d.l) / n, 0.0) / n) / scale AS volatility FROM spreads),
 banded AS (SELECT *, CASE WHEN abs(deviation_pct) > 0.5 THEN 'CRITICAL' WHEN abs(deviation_pct) > 0.3 THEN 'ALERT'
   WHEN abs(deviation_pct) > 0.1 THEN 'WATCH' ELSE 'NORMAL' END AS severity FROM signals)
 """
 
+
+_SIGNALS = _signals_over(_TICKS)
+
 _FAULTY = f"""
 SELECT CASE WHEN seq % 139 <> 0 THEN symbol END AS symbol, ingested_at, seq,
   CASE WHEN seq % 113 = 0 THEN NULL WHEN seq % 127 = 0 THEN CAST('nan' AS DOUBLE) WHEN seq % 131 = 0 THEN CAST('inf' AS DOUBLE)
-       WHEN seq % 137 = 0 THEN CAST(1e15 AS DOUBLE) ELSE price END AS price FROM ({_TICKS})"""
-_SIGNALS_FAULTY = f"""
-WITH ticks AS (SELECT * FROM ({_FAULTY}) WHERE symbol IS NOT NULL AND price IS NOT NULL AND NOT isnan(price) AND abs(price) < 1e8),
-windows AS (
-  SELECT *, count(*) OVER w AS n, sum(CAST(round(price * 100000000.0) AS HUGEINT)) OVER w AS s,
-    sum(CAST(round(price * 100000000.0) AS HUGEINT) * CAST(round(price * 100000000.0) AS HUGEINT)) OVER w AS q
-  FROM ticks WINDOW w AS (PARTITION BY symbol ORDER BY seq ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)),
-stats AS (SELECT *, CAST(s AS DOUBLE) / CAST(100000000 AS DOUBLE) / n AS ma,
-    sqrt(CAST(q * n - s * s AS DOUBLE)) / n / CAST(100000000 AS DOUBLE) AS volatility
-  FROM windows WHERE n >= 10),
-signals AS (SELECT *, ((price - ma) / ma) * CAST(100 AS DOUBLE) AS deviation_pct FROM stats),
-banded AS (SELECT *, CASE WHEN abs(deviation_pct) > 0.5 THEN 'CRITICAL' WHEN abs(deviation_pct) > 0.3 THEN 'ALERT'
-  WHEN abs(deviation_pct) > 0.1 THEN 'WATCH' ELSE 'NORMAL' END AS severity FROM signals)
-"""
+       WHEN seq % 137 = 0 THEN CAST(1e15 AS DOUBLE) WHEN seq % 149 = 0 THEN CAST(4.2e-9 AS DOUBLE) WHEN seq % 151 = 0 THEN CAST(1e9 AS DOUBLE)
+       WHEN seq % 1009 = 0 THEN CAST(1e300 AS DOUBLE) WHEN seq > 3000 AND seq < 3400 THEN price * CAST(1e-9 AS DOUBLE)
+       WHEN seq > 3600 AND seq < 3900 THEN price * CAST(1e-200 AS DOUBLE) ELSE price END AS price FROM ({_TICKS})"""
+_SIGNALS_FAULTY = _signals_over(f"SELECT * FROM ({_FAULTY}) WHERE symbol IS NOT NULL AND isfinite(price)")
 
 _STATES = """
 SELECT user_id AS entity, user_id % 10 AS grp, ts, event_id AS seq,
@@ -511,8 +518,8 @@ FROM (SELECT count(*) AS n FROM valid_tx), (VALUES ('silver_decisions'), ('silve
     + "SELECT symbol, price, ingested_at, seq, ma, deviation_pct, volatility, severity FROM banded",
     "price_rejects": f"""
 SELECT seq, symbol, CASE WHEN symbol IS NULL THEN 'null_symbol' WHEN price IS NULL THEN 'null_price'
-  WHEN isnan(price) THEN 'nan_price' WHEN isinf(price) THEN 'infinite_price' ELSE 'price_out_of_range' END AS reason
-FROM ({_FAULTY}) WHERE symbol IS NULL OR price IS NULL OR isnan(price) OR abs(price) >= 1e8""",
+  WHEN isnan(price) THEN 'nan_price' ELSE 'infinite_price' END AS reason
+FROM ({_FAULTY}) WHERE symbol IS NULL OR price IS NULL OR NOT isfinite(price)""",
     "row_numbers": """
 SELECT event_type AS symbol, event_id AS seq, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS row_no FROM events""",
     **{name: _rule(i + 1) for i, name in enumerate(RULE_ORDER)},

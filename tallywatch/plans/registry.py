@@ -608,12 +608,9 @@ def velocity_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _enriched(spark, sf_dir).select(F.col("offset").alias("log_offset"), "velocity_flag")
 
 
-PRICE_DIGITS = 2
-
-
 @query
 def price_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signals.price_signals(inputs.ticks(spark, sf_dir), PRICE_DIGITS, chunk_rows=4096)
+    return signals.price_signals(inputs.ticks(spark, sf_dir), chunk_rows=4096)
 
 
 @query
@@ -623,7 +620,7 @@ def price_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def price_signals_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same signals where some ticks hold no usable price or symbol, at the default number of places."""
+    """The same signals where prices go from billionths to 10^300 and some ticks hold no usable price or symbol."""
     return signals.price_signals(inputs.faulty_ticks(spark, sf_dir), chunk_rows=4096)
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -39,6 +41,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def travels_by_value(module: str) -> None:
+    """Functions of this module reach Python workers with their code, so that workers need not find the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 _given_out: list[str] = []
 
 

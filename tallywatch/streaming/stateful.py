@@ -151,29 +151,28 @@ def _last_rows_processor(window_rows: int):
     import pandas as pd
     from pyspark.sql.streaming import StatefulProcessor
 
+    from tallywatch.functions.moving import moving_statistics
+
     class LastRowsProcessor(StatefulProcessor):
         def init(self, handle) -> None:
-            self.recent = handle.getListState("recent", "units long")
+            self.recent = handle.getListState("recent", "price double")
 
         def handleInputRows(self, key, rows, timerValues):
             batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable", ignore_index=True)
-            held = [row[0] for row in self.recent.get()]
-            # whole Python numbers: squares of fine price units do not fit 64 bits
-            units = np.array([*held, *batch["units"].tolist()], dtype=object)
-            total = np.concatenate([[0], np.cumsum(units)])
-            squares = np.concatenate([[0], np.cumsum(units * units)])
-            last = np.arange(len(held) + 1, len(units) + 1)
-            first = np.maximum(last - window_rows, 0)
-            self.recent.put([(int(u),) for u in units[-(window_rows - 1) :]])
+            held = np.array([row[0] for row in self.recent.get()], dtype=np.float64)
+            price = batch["price"].to_numpy(np.float64)
+            count, ma, deviation, volatility = moving_statistics(price, held, window_rows)
+            self.recent.put([(float(p),) for p in np.concatenate([held, price])[-(window_rows - 1) :]])
             yield pd.DataFrame(
                 {
                     "symbol": key[0],
-                    "price": batch["price"],
+                    "price": price,
                     "ingested_at": batch["ingested_at"],
                     "seq": batch["seq"],
-                    "rows": (last - first).astype("int64"),
-                    "total": (total[last] - total[first]).astype("int64"),
-                    "squares": [str(s) for s in squares[last] - squares[first]],
+                    "rows": count,
+                    "ma": ma,
+                    "deviation_pct": deviation,
+                    "volatility": volatility,
                 }
             )
 
@@ -183,13 +182,12 @@ def _last_rows_processor(window_rows: int):
     return LastRowsProcessor()
 
 
-def price_signals_on_stream(ticks: DataFrame, digits: int = signals.PRICE_DIGITS) -> DataFrame:
+def price_signals_on_stream(ticks: DataFrame) -> DataFrame:
     """The moving-window signals on a stream of (symbol, price, ingested_at, seq)."""
     use_state_store(ticks.sparkSession)
-    schema = "symbol string, price double, ingested_at timestamp_ntz, seq long, rows long, total long, squares string"
+    schema = "symbol string, price double, ingested_at timestamp_ntz, seq long, rows long, ma double, deviation_pct double, volatility double"
     windows = (
         signals.usable(ticks)
-        .withColumn("units", signals.price_units(F.col("price"), digits))
         .groupBy("symbol")
         .transformWithStateInPandas(
             statefulProcessor=_last_rows_processor(signals.WINDOW_ROWS),
@@ -198,10 +196,4 @@ def price_signals_on_stream(ticks: DataFrame, digits: int = signals.PRICE_DIGITS
             timeMode="None",
         )
     )
-    ready = windows.filter(F.col("rows") >= signals.MINIMUM_ROWS)
-    stats = signals.window_statistics(
-        F.col("price"), F.col("total"), F.col("squares").cast("decimal(38,0)"), F.col("rows"), digits
-    )
-    return ready.select("symbol", "price", "ingested_at", "seq", *[c.alias(n) for n, c in stats.items()]).withColumn(
-        "severity", signals.severity(F.col("deviation_pct"))
-    )
+    return signals.with_statistics(windows.filter(F.col("rows") >= signals.MINIMUM_ROWS).drop("rows"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
 import statistics
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -184,7 +186,7 @@ def expected_signals(ticks):
 def test_price_signals_equal_ring_buffer(spark, chunk_rows, slice_rows):
     ticks = ticks_of()
     df = spark.createDataFrame(ticks, "symbol string, price double, seq long").withColumn("ingested_at", F.lit("t"))
-    got = {r.seq: (r.ma, r.deviation_pct, r.volatility) for r in signals.price_signals(df, 8, chunk_rows, slice_rows).collect()}
+    got = {r.seq: (r.ma, r.deviation_pct, r.volatility) for r in signals.price_signals(df, chunk_rows, slice_rows).collect()}
     want = expected_signals(ticks)
     assert got.keys() == want.keys()
     for seq in want:
@@ -193,13 +195,37 @@ def test_price_signals_equal_ring_buffer(spark, chunk_rows, slice_rows):
 
 def test_prices_that_cannot_be_used_are_rejected(spark):
     ticks = ticks_of(120)
-    bad = [("hot", None, 1), ("hot", float("nan"), 4), ("cold", float("inf"), 7), ("cold", -1e15, 10), (None, 5.0, 13)]
+    bad = [("hot", None, 1), ("hot", float("nan"), 4), ("cold", float("inf"), 7), ("cold", float("-inf"), 10), (None, 5.0, 13)]
     df = spark.createDataFrame(ticks + bad, "symbol string, price double, seq long").withColumn("ingested_at", F.lit("t"))
     got = {r.seq: (r.ma, r.deviation_pct, r.volatility) for r in signals.price_signals(df).collect()}
     want = expected_signals(ticks)
     assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s], abs=1e-6) for s in want)
     reasons = {r.seq: r.reason for r in signals.price_rejects(df).collect()}
-    assert reasons == {1: "null_price", 4: "nan_price", 7: "infinite_price", 10: "price_out_of_range", 13: "null_symbol"}
+    assert reasons == {1: "null_price", 4: "nan_price", 7: "infinite_price", 10: "infinite_price", 13: "null_symbol"}
+
+
+@pytest.mark.parametrize("size", [1.0, 4.2e-9, 1e9, 1e15, 1e-200, 1e300])
+def test_prices_of_any_size_are_taken_as_they_are(spark, size):
+    """Against exact fractions, also where one size follows another inside a window."""
+    rng = random.Random(1)
+    prices = [rng.uniform(90, 110) * (size if 40 <= k < 120 else 1.0) for k in range(200)]
+    df = spark.createDataFrame([("s", p, k) for k, p in enumerate(prices)], "symbol string, price double, seq long")
+    got = {r.seq: r for r in signals.price_signals(df.withColumn("ingested_at", F.lit("t")), 64).collect()}
+    assert sorted(got) == list(range(9, 200))
+    for k, row in got.items():
+        window = [Fraction(p) for p in prices[max(0, k - 49) : k + 1]]
+        mean = sum(window) / len(window)
+        variance = sum((p - mean) ** 2 for p in window) / len(window)
+        assert row.ma == pytest.approx(float(mean), rel=1e-15)
+        assert row.deviation_pct == pytest.approx(float((window[-1] - mean) / mean * 100), rel=1e-9)
+        exponent = 2 ** (math.frexp(max(map(float, window)))[1])
+        assert row.volatility == pytest.approx(math.sqrt(variance / Fraction(exponent) ** 2) * exponent, rel=1e-9)
+
+
+def test_mean_of_zero_has_no_deviation(spark):
+    df = spark.createDataFrame([("s", float((-1) ** k), k) for k in range(10)], "symbol string, price double, seq long")
+    row = signals.price_signals(df.withColumn("ingested_at", F.lit("t"))).collect()
+    assert [(r.ma, r.deviation_pct, r.volatility, r.severity) for r in row] == [(0.0, None, 1.0, "NORMAL")]
 
 
 def test_large_amounts_are_summed_whole(spark):
