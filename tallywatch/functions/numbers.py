@@ -18,6 +18,20 @@ def to_units(amount: Column) -> Column:
     return F.round(amount * F.lit(float(UNITS_PER_ONE))).try_cast(UNITS_TYPE)
 
 
+#: Units as two 64-bit numbers, high * LIMB + low: sums of either hold 9 * 10^7 rows of any amount.
+LIMB = 10**11
+
+
+def limbs(units: Column) -> tuple[Column, Column]:
+    """The high and the low part; the low one is never negative."""
+    low = F.pmod(units, F.lit(LIMB).cast(UNITS_TYPE))
+    return ((units - low) / F.lit(LIMB)).cast("bigint"), low.cast("bigint")
+
+
+def from_limbs(high: Column, low: Column) -> Column:
+    return (high.cast(UNITS_TYPE) * F.lit(LIMB) + low).cast(UNITS_TYPE)
+
+
 def from_units(units: Column) -> Column:
     return units.cast("double") / F.lit(float(UNITS_PER_ONE))
 

@@ -6,13 +6,10 @@ earlier if their id sorts first. Non-finite amounts add nothing to a spend.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywatch.functions.numbers import UNITS_TYPE, cents_from_units, to_units
-from tallywatch.session import materialize
+from tallywatch.functions.numbers import UNITS_TYPE, cents_from_units, from_limbs, limbs, to_units
 
 SECOND_US = 1_000_000
 # Window names and widths.
@@ -25,6 +22,7 @@ SPEND_WIDTHS = {
 COUNT_WIDTHS = {"txn_count_1hr": SPEND_WIDTHS["spend_1hr"], "txn_count_24hr": SPEND_WIDTHS["spend_24hr"]}
 
 DAY_US = SPEND_WIDTHS["spend_24hr"]
+SLICE_US = 60 * SECOND_US  # every width is a whole number of slices
 
 
 def velocity_flag() -> Column:
@@ -41,114 +39,103 @@ def add_velocity(
     amount: str = "TransactionAmt",
     tie: str = "TransactionID",
     row_id: str = "offset",
-    ranges: int | None = None,
 ) -> DataFrame:
     """Append the velocity columns; ``row_id`` is unique per row (the log offset).
 
-    By default a key's rows are worked day by day, in one exchange. Where single days of a key are too many rows
-    for one task, the caller names a number of ``ranges``: all rows are then cut into that many pieces of their
-    whole order, whatever their keys.
+    Two levels of prefix sums. Amounts are first summed per key and minute; running totals over a key's minutes give
+    what each window holds as a minute opens. Rows are then worked minute by minute: every row is an
+    arrival, and an expiry in the minute when it leaves each window. Every width is a whole number of minutes, so a
+    minute needs only its own arrivals and the expiries that fall into it: no task holds more than one minute of a
+    key, and expiries into minutes without arrivals fall out in the join. Rows without a key or a time have no
+    windows and are scattered.
     """
     prepared = df.withColumn("_units", F.coalesce(to_units(F.col(amount)), F.lit(0).cast(UNITS_TYPE)))
-    if ranges is None:
-        summed = _by_days(prepared, key, time_us, tie, row_id)
-    else:
-        known = F.col(key).isNotNull() & F.col(time_us).isNotNull()
-        names = [f"_{n}" for n in (*SPEND_WIDTHS, *COUNT_WIDTHS)]
-        others = prepared.filter(~known).select("*", *[F.lit(0).cast("bigint").alias(n) for n in names])
-        summed = _by_running_totals(prepared.filter(known), key, time_us, tie, row_id, ranges).unionByName(others)
-    return finish(summed, F.col(key).isNotNull())
+    opening = _opening_totals(prepared, key, time_us)
+    return finish(_by_minutes(prepared, opening, key, time_us, tie, row_id), F.col(key).isNotNull())
 
 
-def finish(df: DataFrame, known: Column) -> DataFrame:
-    """Window sums in ``_name`` columns to the published ones, NULL where the key is not ``known``."""
-    spends = {name: F.when(known, cents_from_units(F.col(f"_{name}"))) for name in SPEND_WIDTHS}
-    counts = {name: F.when(known, F.col(f"_{name}").cast("int")) for name in COUNT_WIDTHS}
-    named = df.withColumns({**spends, **counts})
-    helpers = [f"_{n}" for n in (*SPEND_WIDTHS, *COUNT_WIDTHS)]
-    return named.withColumn("velocity_flag", velocity_flag()).drop(*helpers, "_units")
+def _minute(at: Column) -> Column:
+    """Whole slices since the epoch. The rest is taken off first: a double does not hold every time."""
+    return F.round(F.try_subtract(at, F.pmod(at, F.lit(SLICE_US))) / F.lit(SLICE_US)).cast("bigint")
 
 
-def _by_days(df: DataFrame, key: str, time_us: str, tie: str, row_id: str) -> DataFrame:
-    """One exchange and one sort: all rows before this one, minus those before the window opened.
+def _opening_totals(df: DataFrame, key: str, time_us: str) -> DataFrame:
+    """What each window holds as a minute of a key opens: one row for each minute with arrivals.
 
-    No window is longer than a day, so a day's rows need only those of the day before: each row also goes into
-    the next day, as history without its other columns. Every frame starts at the first row of its group, so it
-    is extended row by row and never re-read, however many events a window holds. Rows without a key or a time
-    have no windows and are scattered.
+    The totals combine before their shuffle, and the frames only grow, so a key with many rows costs its minutes.
     """
-    payload = [c for c in df.columns if c not in (key, time_us, tie, row_id, "_units")]
-    known = F.col(key).isNotNull() & F.col(time_us).isNotNull()
-    day = F.floor(F.col(time_us) / F.lit(DAY_US)).cast("bigint")
-    days = F.when(known, F.array(day, day + 1)).otherwise(F.array(F.xxhash64(row_id)))
-    dealt = df.withColumn("_day", F.explode(days)).withColumn("_own", ~known | (F.col("_day") == day))
-    whole = F.when(F.col("_own"), F.struct(*payload)).alias("_payload")
-    dealt = dealt.select(key, time_us, tie, row_id, "_units", "_day", "_own", whole)
-    group = Window.partitionBy(key, "_day")
-    before_row = group.orderBy(time_us, tie, row_id).rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
+    known = df.filter(F.col(key).isNotNull() & F.col(time_us).isNotNull())
+    totals = known.groupBy(key, _minute(F.col(time_us)).alias("_slice")).agg(F.sum("_units").alias("_u"), F.count(F.lit(1)).alias("_n"))
+    by_minute = Window.partitionBy(key).orderBy("_slice")
 
-    def opened(width: int):
-        return group.orderBy(time_us).rangeBetween(Window.unboundedPreceding, -width - 1)
+    def before(total: str, minutes: int) -> Column:
+        frame = by_minute.rangeBetween(Window.unboundedPreceding, -1 - minutes)
+        return F.coalesce(F.sum(total).over(frame), F.lit(0)).cast(UNITS_TYPE if total == "_u" else "bigint")
 
-    sums = {"_units_before": F.coalesce(F.sum("_units").over(before_row), zero), "_rows_before": F.count("_units").over(before_row)}
-    sums |= {f"_past_{n}": F.coalesce(F.sum("_units").over(opened(w)), zero) for n, w in SPEND_WIDTHS.items()}
-    sums |= {f"_past_{n}": F.count("_units").over(opened(w)) for n, w in COUNT_WIDTHS.items()}
-    own = dealt.withColumns(sums).filter("_own")
-    known_row = F.col(key).isNotNull() & F.col(time_us).isNotNull()
-    spends = {f"_{n}": F.when(known_row, F.col("_units_before") - F.col(f"_past_{n}")).otherwise(zero) for n in SPEND_WIDTHS}
-    counts = {f"_{n}": F.when(known_row, F.col("_rows_before") - F.col(f"_past_{n}")).otherwise(zero) for n in COUNT_WIDTHS}
-    return own.select(key, time_us, tie, row_id, "_units", "_payload.*", *[c.alias(n) for n, c in (spends | counts).items()])
+    held = {f"_open_{n}": before("_u", 0) - before("_u", w // SLICE_US) for n, w in SPEND_WIDTHS.items()}
+    held |= {f"_open_{n}": before("_n", 0) - before("_n", w // SLICE_US) for n, w in COUNT_WIDTHS.items()}
+    return totals.select(key, "_slice", *[c.alias(n) for n, c in held.items()])
 
 
-def _by_running_totals(df: DataFrame, key: str, time_us: str, tie: str, row_id: str, ranges: int) -> DataFrame:
-    """Window sums as running totals of arrivals minus expiries, cut into ranges of the sort order.
+def _by_minutes(df: DataFrame, opening: DataFrame, key: str, time_us: str, tie: str, row_id: str) -> DataFrame:
+    """Window sums as the totals at the minute's opening, plus the arrivals before the row, minus the expiries before it.
 
-    Every event adds its amount when it arrives and takes it back just after each window has passed.
-    Rows are range-partitioned on the full sort order, so one key may span many tasks; a range's
-    total is carried into the later ranges of the same key.
+    Inside a minute the sums are pairs of 64-bit numbers; only the totals across minutes are wide.
     """
     payload = [c for c in df.columns if c not in (key, time_us, tie, row_id, "_units")]
-    widths = list(SPEND_WIDTHS.items())
+    known = F.col(key).isNotNull() & F.col(time_us).isNotNull()
     at = F.col(time_us)
 
-    def moment(when: Column, step: int, expires: str) -> Column:
-        return F.struct(when.alias("at"), F.lit(step).alias("step"), F.lit(expires).alias("expires"))
+    def moment(when: Column, width: int) -> Column:
+        return F.struct(when.alias("at"), F.lit(width).cast("bigint").alias("width"))
+
+    arrival = moment(at, 0)
+    expiries = [moment(F.try_add(at, F.lit(w)), w) for w in sorted({*SPEND_WIDTHS.values(), *COUNT_WIDTHS.values()})]
+    events = df.withColumn("_m", F.explode(F.when(known, F.array(arrival, *expiries)).otherwise(F.array(arrival))))
+    own = F.col("_m.width") == 0
+    scattered = F.when(known, _minute(F.col("_m.at"))).otherwise(F.xxhash64(row_id))
+    events = events.select(
+        key, time_us, tie, row_id,
+        scattered.alias("_slice"),
+        F.col("_m.at").alias("_at"),
+        F.col("_m.width").alias("_width"),
+        F.when(own, F.col("_units")).alias("_units"),
+        *[part.alias(n) for part, n in zip(limbs(F.col("_units")), ("_high", "_low"))],
+        F.when(own, F.struct(*payload)).alias("_payload"),
+    )
+    left, right = events.alias("e"), opening.alias("o")
+    same = (F.col(f"e.{key}") == F.col(f"o.{key}")) & (F.col("e._slice") == F.col("o._slice"))
+    opened = [c for c in opening.columns if c.startswith("_open_")]
+    met = left.join(right, same, "left").select("e.*", *[f"o.{c}" for c in opened])
+    met = met.filter((F.col("_width") == 0) | F.col(opened[0]).isNotNull())
+
+    order = Window.partitionBy(key, "_slice").orderBy("_at", "_width", tie, row_id).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
 
-    moments = [moment(at, 0, ""), *[moment(at + F.lit(w), 1, name) for name, w in widths]]
-    exploded = df.withColumn("_m", F.explode(F.array(*moments)))
-    arrival = F.col("_m.step") == 0
+    def so_far(value: Column, width: int) -> Column:
+        change = F.when(F.col("_width") == 0, value).when(F.col("_width") == width, -value)
+        return F.coalesce(F.sum(change).over(order), zero)
 
-    def change(name: str, size: Column) -> Column:
-        return F.when(arrival, size).when(F.col("_m.expires") == name, -size).otherwise(F.lit(0))
+    sums = {f"_high_{n}": so_far(F.col("_high"), w) for n, w in SPEND_WIDTHS.items()}
+    sums |= {f"_low_{n}": so_far(F.col("_low"), w) for n, w in SPEND_WIDTHS.items()}
+    sums |= {f"_rows_{n}": so_far(F.lit(1).cast("bigint"), w) for n, w in COUNT_WIDTHS.items()}
+    own_rows = met.withColumns(sums).filter("_width = 0")
 
-    one = F.lit(1).cast("bigint")
-    spend_of_count = {c: next(n for n, w in widths if w == width) for c, width in COUNT_WIDTHS.items()}
-    changes = {f"_{n}": change(n, F.col("_units")) for n, _ in widths}
-    changes |= {f"_{c}": change(n, one) for c, n in spend_of_count.items()}
+    def spend(n: str) -> Column:
+        inside = from_limbs(F.col(f"_high_{n}"), F.col(f"_low_{n}"))
+        return F.when(F.col(f"_open_{n}").isNotNull(), (F.col(f"_open_{n}") + inside).cast(UNITS_TYPE)).otherwise(F.lit(0).cast(UNITS_TYPE))
 
-    moved = exploded.select(
-        key,
-        time_us,
-        tie,
-        row_id,
-        "_units",
-        *[F.when(arrival, F.col(c)).alias(c) for c in payload],
-        F.col("_m.at").alias("_at"),
-        F.col("_m.step").alias("_step"),
-        *[c.alias(n) for n, c in changes.items()],
-    )
-    order = ["_at", "_step", tie, row_id]
-    ranged = moved.repartitionByRange(ranges, key, *order).withColumn("_range", F.spark_partition_id())
-    ranged = materialize(ranged, "velocity-ranges")
-
-    totals = ranged.groupBy(key, "_range").agg(*[F.sum(n).alias(f"_t{n}") for n in changes])
-    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        F.col(key), "_range", *[F.coalesce(F.sum(f"_t{n}").over(earlier), F.lit(0)).alias(f"_c{n}") for n in changes]
-    )
-    within = Window.partitionBy(key, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    running = ranged.withColumns({n: F.coalesce(F.sum(n).over(within), F.lit(0)) for n in changes})
-    whole = running.filter(F.col("_step") == 0).join(carried, [key, "_range"])
-    result = reduce(lambda d, n: d.withColumn(n, F.col(n) + F.col(f"_c{n}")), changes, whole)
-    return result.select(*df.columns, *changes)
+    def count(n: str) -> Column:
+        return F.when(F.col(f"_open_{n}").isNotNull(), F.col(f"_open_{n}") + F.col(f"_rows_{n}")).otherwise(zero)
+
+    results = {f"_{n}": spend(n) for n in SPEND_WIDTHS} | {f"_{n}": count(n) for n in COUNT_WIDTHS}
+    return own_rows.select(key, time_us, tie, row_id, "_units", "_payload.*", *[c.alias(n) for n, c in results.items()])
+
+
+def finish(df: DataFrame, known: Column) -> DataFrame:
+    """Window sums in ``_name`` columns to the published ones, NULL where the key is not ``known``."""
+    spends = {name: F.when(known, cents_from_units(F.col(f"_{name}"))) for name in SPEND_WIDTHS}
+    counts = {name: F.when(known, F.col(f"_{name}").cast("int")) for name in COUNT_WIDTHS}
+    named = df.withColumns({**spends, **counts})
+    helpers = [f"_{n}" for n in (*SPEND_WIDTHS, *COUNT_WIDTHS)]
+    return named.withColumn("velocity_flag", velocity_flag()).drop(*helpers, "_units")

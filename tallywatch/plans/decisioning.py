@@ -23,12 +23,12 @@ def with_event_us(validated: DataFrame) -> DataFrame:
 
 
 def enrich(
-    validated: DataFrame, dims: Dimensions, keep: tuple[str, ...] = ("offset", "event_us"), ranges: int | None = None
+    validated: DataFrame, dims: Dimensions, keep: tuple[str, ...] = ("offset", "event_us")
 ) -> DataFrame:
     """Validated records plus velocity and risk columns, cut to the enriched contract."""
     wanted = [c for c in validated.columns if c in contracts.ENRICHED.names or c in (*keep, "TransactionDT")]
     narrow = with_event_us(validated.select(*wanted))
-    fast = add_velocity(narrow, ranges=ranges)
+    fast = add_velocity(narrow)
     return contracts.ENRICHED.conform(attach_dimensions(fast, *dims), keep=keep)
 
 

@@ -184,6 +184,18 @@ def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def node_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Available and total memory of each node (a user), in whole units."""
+    return table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 10).alias("grp"),
+        F.col("user_id").alias("node"),
+        F.col("ts"),
+        F.col("event_id").alias("seq"),
+        (F.col("event_id") % 97).alias("available"),
+        (F.lit(100) + F.col("user_id") % 3).alias("total"),
+    )
+
+
 def entity_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     phase = (
         F.when(F.col("event_type") == "purchase", "Pending")

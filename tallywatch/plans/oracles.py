@@ -346,6 +346,28 @@ _LATEST = f"""
 SELECT grp, entity, phase FROM ({_STATES})
 QUALIFY row_number() OVER (PARTITION BY entity ORDER BY ts DESC, seq DESC) = 1"""
 
+def _counter_rates(step: int, widths: dict[str, int]) -> str:
+    """Growth between the first and the last sample of every look-back, from one running total; NULL below two samples."""
+    figures = ",\n    ".join(
+        f"""CASE WHEN count(*) FILTER (WHERE ts > evaluated_at - INTERVAL {w} SECOND) >= 2 THEN CAST(arg_max(r, (ts, seq))
+      - arg_min(r, (ts, seq)) FILTER (WHERE ts > evaluated_at - INTERVAL {w} SECOND) AS BIGINT) END AS {n}"""
+        for n, w in widths.items()
+    )
+    return f"""
+WITH samples AS (SELECT CAST(user_id % 10 AS VARCHAR) AS series, ts, event_id AS seq, event_id % 500 AS v FROM events),
+stepped AS (SELECT *, lag(v) OVER (PARTITION BY series ORDER BY ts, seq) AS p FROM samples),
+totals AS (
+  SELECT series, ts, seq, sum(CASE WHEN p IS NULL THEN 0 WHEN v < p THEN v ELSE v - p END) OVER (PARTITION BY series ORDER BY ts, seq) AS r
+  FROM stepped),
+shown AS (
+  SELECT *, unnest(range((epoch_us(ts) + {step * 1_000_000 - 1}) // {step * 1_000_000}, (epoch_us(ts) + {max(widths.values()) * 1_000_000 + step * 1_000_000 - 1}) // {step * 1_000_000})) AS k
+  FROM totals),
+timed AS (SELECT *, make_timestamp(k * {step * 1_000_000}) AS evaluated_at FROM shown),
+looked AS (SELECT series, evaluated_at,
+    {figures}
+  FROM timed GROUP BY series, evaluated_at)"""
+
+
 _STREAM_DECISIONS = """
 SELECT 'fraud-decisions' AS sink, transaction_id AS row_id, decision AS detail FROM decided
 UNION ALL SELECT 'audit-trail', transaction_id, decision FROM decided
@@ -687,6 +709,24 @@ SELECT series, make_timestamp(b * 1000000) AS bucket_start,
   CAST(sum(CASE WHEN p IS NULL THEN 0 WHEN v < p THEN v ELSE v - p END) AS BIGINT) AS increase,
   CAST(sum(CASE WHEN p IS NULL THEN 0 WHEN v < p THEN v ELSE v - p END) AS DOUBLE) / CAST(21600 AS DOUBLE) AS rate_per_sec,
   count(*) AS samples FROM d GROUP BY series, b""",
+    "counter_rates": _counter_rates(300, {"i5": 300, "increase_1h": 3600, "increase_6h": 21600})
+    + "SELECT series, evaluated_at, increase_1h, increase_6h, CAST(i5 AS DOUBLE) / CAST(300 AS DOUBLE) AS rate_5m FROM looked",
+    "health_timeline": _counter_rates(3600, {"i1": 3600})
+    + f""",
+cpu AS (SELECT CAST(series AS BIGINT) AS grp, evaluated_at, CAST(1 AS DOUBLE) - least(1.0, greatest(0.0, CAST(i1 AS DOUBLE) / CAST(3600 AS DOUBLE))) AS cpu
+  FROM looked WHERE i1 IS NOT NULL),
+hours AS (SELECT unnest(generate_series(date_trunc('hour', min(ts)), max(ts) + INTERVAL 2 DAY, INTERVAL 1 HOUR)) AS evaluated_at FROM events),
+pods AS (
+  SELECT evaluated_at, grp, entity, arg_max(phase, (ts, seq)) AS phase, max(ts) AS ts FROM hours JOIN ({_STATES}) s ON s.ts <= evaluated_at AND s.ts >= evaluated_at - INTERVAL 24 HOUR
+  GROUP BY ALL),
+nodes AS (
+  SELECT evaluated_at, user_id % 10 AS grp, user_id, arg_max(event_id % 97, (ts, event_id)) AS available, 100 + user_id % 3 AS total
+  FROM hours JOIN events ON ts <= evaluated_at AND ts >= evaluated_at - INTERVAL 12 HOUR GROUP BY ALL),
+bad AS (SELECT grp, evaluated_at, count(*) FILTER (WHERE phase <> 'Running') AS bad_pods FROM pods GROUP BY ALL),
+memory AS (SELECT grp, evaluated_at, CAST(1 AS DOUBLE) - CAST(sum(available) AS DOUBLE) / CAST(sum(total) AS DOUBLE) AS memory FROM nodes GROUP BY ALL)
+SELECT grp, evaluated_at, bad_pods, cpu, memory, floor(least(100, greatest(0, CAST(100 AS DOUBLE) - bad_pods * CAST(0.02 AS DOUBLE)
+  - cpu * CAST(10 AS DOUBLE) - memory * CAST(8 AS DOUBLE))) * 10 + 0.5) / 10 AS health_score
+FROM bad JOIN memory USING (grp, evaluated_at) JOIN cpu USING (grp, evaluated_at)""",
     "ratio_of_sums": """
 SELECT l_returnflag, CAST(1 AS DOUBLE) - CAST(p AS DOUBLE) / CAST(w AS DOUBLE) AS used_ratio,
   CAST(1 AS DOUBLE) - CAST(p AS DOUBLE) / CAST(w AS DOUBLE) > 0.05 AS breached

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.functions import cleaning, features, rules, wire
-from tallywatch.functions.numbers import half_up
-from tallywatch.operators import arrival, contracts, enrichment, numbering, quality, scoring, signals, telemetry, validation
+from tallywatch.functions.numbers import clamp, half_up
+from tallywatch.operators import arrival, contracts, enrichment, numbering, quality, scoring, signals, telemetry, timeline, validation
 from tallywatch.plans import decisioning, gold, inputs
 from tallywatch.plans import views as sql_views
 from tallywatch.session import prepare, scratch_dir
@@ -596,10 +596,10 @@ def velocity_windows_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def velocity_windows_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same windows with all rows cut into ranges of their whole order, for keys too frequent for one task."""
+    """The same windows where a few keys hold all rows: a key spreads over tasks by the minute."""
     valid = _valid_for_enrichment(spark, sf_dir)
     crowded = valid.withColumn("uid", F.when(F.col("uid").isNotNull(), F.substring_index("uid", "_", -1)))
-    enriched = decisioning.enrich(crowded, inputs.dimensions(spark), ranges=32)
+    enriched = decisioning.enrich(crowded, inputs.dimensions(spark))
     return enriched.select(F.col("offset").alias("log_offset"), "uid", *VELOCITY)
 
 
@@ -907,6 +907,31 @@ def counter_increase(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.counter_increase(inputs.counters(spark, sf_dir), 21_600)
 
 
+RATE_WIDTHS = {"increase_1h": 3_600, "increase_6h": 21_600}
+
+
+@query
+def counter_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate over 5 minutes, increase over 1 and 6 hours of each counter, every 5 minutes."""
+    return timeline.counter_rates(inputs.counters(spark, sf_dir), 300, RATE_WIDTHS, {"rate_5m": 300})
+
+
+@query
+def health_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly health score of each group: pods not running, busy share from counter rates, memory in use from a ratio of sums.
+
+    Each signal is what was last known at the hour: a phase for a day, a node's memory for twelve hours.
+    """
+    pods = timeline.last_at_steps(inputs.entity_states(spark, sf_dir), ["grp", "entity"], ["phase"], 3_600, 86_400)
+    bad = pods.groupBy("grp", "evaluated_at").agg(F.count_if(F.col("phase") != telemetry.RUNNING).alias("bad_pods"))
+    nodes = timeline.last_at_steps(inputs.node_memory(spark, sf_dir), ["grp", "node"], ["available", "total"], 3_600, 43_200)
+    memory = nodes.groupBy("grp", "evaluated_at").agg(timeline.missing_share("available", "total").alias("memory"))
+    idle = timeline.counter_rates(inputs.counters(spark, sf_dir), 3_600, {}, {"idle": 3_600}).filter("idle IS NOT NULL")
+    cpu = idle.select(F.col("series").cast("bigint").alias("grp"), "evaluated_at", (F.lit(1.0) - clamp(F.col("idle"), 0.0, 1.0)).alias("cpu"))
+    score = telemetry.health_score((F.col("bad_pods"), 0.02), (F.col("cpu"), 10.0), (F.col("memory"), 8.0))
+    return timeline.aligned([bad, memory, cpu], ["grp"]).withColumn("health_score", half_up(score, 1)).select("grp", "evaluated_at", "bad_pods", "cpu", "memory", "health_score")
+
+
 @query
 def ratio_of_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of the list price that discounts take, per return flag, in whole hundredths of a cent."""
