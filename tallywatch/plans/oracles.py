@@ -431,6 +431,15 @@ UNION ALL SELECT 'dead-letter', log_offset, 'decode_failed' FROM decided WHERE l
     "partition_prune": """
 SELECT strftime(l_shipdate, '%Y-%m') AS ship_month, count(*) AS line_items, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
 FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-11' AND l_shipdate < TIMESTAMP '1996-06-21' GROUP BY 1""",
+    "calendar_prune": """
+SELECT CAST(l_shipdate AS DATE) AS ship_day, CAST(isodow(l_shipdate) AS INTEGER) AS weekday, count(*) AS line_items,
+  CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
+FROM lineitem WHERE l_orderkey % 211 <> 0 AND isodow(l_shipdate) >= 6
+  AND concat(year(l_shipdate), '-Q', quarter(l_shipdate)) IN ('1995-Q4', '1996-Q2') GROUP BY 1, 2""",
+    "undated_rows": """
+SELECT l_orderkey % 211 = 0 AS undated, count(*) AS line_items,
+  count(DISTINCT CASE WHEN l_orderkey % 211 <> 0 THEN strftime(l_shipdate, '%Y-%m') END) AS months
+FROM lineitem GROUP BY 1""",
     "gold_refresh": _with("performance", _gold_values()),
     "archive_jsonl": _TICKS,
     "json_roundtrip": _TICKS,

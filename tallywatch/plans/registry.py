@@ -219,21 +219,47 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table_rows(spark.table(name))
 
 
+def _line_items_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items laid out by ship month in two appends, as their users see them: with a ship day."""
+    path = scratch_dir(spark, "by-month")
+    items = inputs.table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.when(F.col("l_orderkey") % 211 != 0, F.col("l_shipdate")))
+    for part in range(2):
+        tables.write_by_month(items.filter(F.col("l_linenumber") % 2 == part), path, F.col("l_shipdate"))
+    return tables.read_by_month(spark, path, items.schema, "ship_day")
+
+
 @query
 def partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items laid out by ship month; a range of days reads only the folders of its months."""
+    """A plain range of days over a table laid out by month; the query prunes the folders as it runs."""
+    items = inputs.table(spark, sf_dir, "lineitem")
     path = scratch_dir(spark, "by-month")
-    items = inputs.table(spark, sf_dir, "lineitem").withColumn("ship_month", tables.month_of(F.col("l_shipdate")))
-    placed = tables.for_partitioned_write(items, ["ship_month"])
-    placed.write.partitionBy("ship_month").parquet(path)
-    stored = spark.read.schema(placed.schema).parquet(path)
+    tables.write_by_month(items, path, F.col("l_shipdate"))
+    stored = tables.read_by_month(spark, path, items.schema, "ship_day")
     return (
-        tables.between_days(stored.withColumn("ship_day", F.to_date("l_shipdate")), "ship_day", "ship_month", "1996-01-11", "1996-06-20")
-        .groupBy("ship_month")
+        stored.filter(F.col("ship_day").between(F.lit("1996-01-11").cast("date"), F.lit("1996-06-20").cast("date")))
+        .groupBy(F.col("ship_day_month").alias("ship_month"))
         .agg(F.count("*").alias("line_items"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
     )
 
 
+@query
+def calendar_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filters on other columns of the calendar, in SQL: weekends of two quarters."""
+    _line_items_by_month(spark, sf_dir).createOrReplaceTempView("line_items_by_month")
+    return spark.sql("""
+        SELECT ship_day, ship_day_weekday AS weekday, count(*) AS line_items, sum(CAST(l_quantity AS BIGINT)) AS quantity
+        FROM line_items_by_month
+        WHERE ship_day_quarter IN ('1995-Q4', '1996-Q2') AND ship_day_weekday >= 6
+        GROUP BY ship_day, ship_day_weekday""")
+
+
+@query
+def undated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table without a filter: rows without a day are there, and can be asked for."""
+    stored = _line_items_by_month(spark, sf_dir)
+    return stored.groupBy(F.col("ship_day").isNull().alias("undated")).agg(F.count("*").alias("line_items"), F.count_distinct("ship_day_month").alias("months"))
+
+
 def _refresh_gold(spark: SparkSession, decisions: DataFrame, root: str) -> dict[str, str]:
     loads = {
         "daily_fraud_summary": (gold.daily_fraud_summary(decisions), "summary_date"),

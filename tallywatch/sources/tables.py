@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywatch.functions.cleaning import SPARK_TYPES
 from tallywatch.operators import contracts
@@ -127,6 +128,43 @@ def for_partitioned_write(df: DataFrame, partitions: list[str]) -> DataFrame:
 
 
 def between_days(df: DataFrame, day: str, month: str, first: str, last: str) -> DataFrame:
-    """Rows of a table laid out by ``month`` whose ``day`` is in a range; only the months of the range are read."""
+    """Rows of a plain table laid out by ``month`` whose ``day`` is in a range; only the months of the range are read."""
     months = F.col(month).between(F.lit(first[:7]), F.lit(last[:7]))
     return df.filter(months & F.col(day).between(F.to_date(F.lit(first)), F.to_date(F.lit(last))))
+
+
+# --- hidden partitioning: laid out by month, filtered by day -----------------------------------
+
+NO_DAY = -(2**31)  # no date has this number; rows without a day have it as their key
+CALENDAR = {
+    "month": lambda day: month_of(day),
+    "quarter": lambda day: F.concat(F.year(day), F.lit("-Q"), F.quarter(day)),
+    "year": lambda day: F.year(day),
+    "weekday": lambda day: F.weekday(day) + 1,
+}
+
+
+def write_by_month(df: DataFrame, path: str, day: Column) -> None:
+    """Append rows to a table that is laid out by the month of ``day``; its users need not know.
+
+    Beside the rows goes a calendar of the days that this write holds, combined per day before it is written.
+    """
+    dated = df.withColumns({"_day_number": F.coalesce(F.unix_date(day.cast("date")), F.lit(NO_DAY)), "_month": F.coalesce(month_of(day), F.lit("none"))})
+    for_partitioned_write(dated, ["_month"]).write.mode("append").partitionBy("_month").option("compression", COMPRESSION).parquet(f"{path}/rows")
+    days = dated.select("_month", "_day_number").distinct()
+    days.withColumn("day", F.when(F.col("_day_number") != NO_DAY, F.date_from_unix_date("_day_number"))).write.mode("append").parquet(f"{path}/calendar")
+
+
+def read_by_month(spark: SparkSession, path: str, schema: T.StructType, name: str = "day") -> DataFrame:
+    """The rows of ``write_by_month`` with the day as column ``name`` and the calendar's columns under ``name_...``.
+
+    Day and calendar columns come from the calendar, which is joined by month and day. A filter on any of them picks
+    calendar rows; their months then prune the folders as the query runs. Without such a filter nothing is pruned or lost:
+    rows without a day have a calendar row of their own.
+    """
+    layout = T.StructType([*schema.fields, T.StructField("_day_number", T.IntegerType()), T.StructField("_month", T.StringType())])
+    rows = spark.read.schema(layout).parquet(f"{path}/rows")
+    days = spark.read.schema("_month string, _day_number int, day date").parquet(f"{path}/calendar").distinct()
+    calendar = days.withColumnRenamed("day", name)
+    calendar = calendar.withColumns({f"{name}_{n}": of(F.col(name)) for n, of in CALENDAR.items()})
+    return rows.join(calendar, ["_month", "_day_number"]).drop("_month", "_day_number")

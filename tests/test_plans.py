@@ -53,9 +53,34 @@ def test_rule_performance_does_not_multiply_rows(spark, sf_dir):
     assert text.index("Generate inline") < text.index("HashAggregate")
 
 
-def test_month_filter_prunes_folders(spark, sf_dir):
-    text = plan(registry.QUERIES["partition_prune"](spark, sf_dir))
-    assert re.search(r"PartitionFilters: \[.*ship_month", text)
+@pytest.mark.parametrize("name", ["partition_prune", "calendar_prune"])
+def test_day_filters_prune_months_as_the_query_runs(spark, sf_dir, name):
+    df = registry.QUERIES[name](spark, sf_dir)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    assert re.search(r"PartitionFilters: \[[^]]*dynamicpruningexpression\(_month#\d+ IN", plan(df))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    df.collect()
+    scan = re.search(r"FileScan parquet \[[^]]*_month", plan(df))
+    assert scan and "rows" in plan(df)
+
+
+def test_pruned_folders_are_not_read(spark):
+    rows = spark.range(360).selectExpr("id", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS d").unionByName(spark.range(3).selectExpr("id", "CAST(NULL AS DATE) AS d"))
+    path = scratch_dir(spark, "pruned")
+    tables.write_by_month(rows, path, F.col("d"))
+    stored = tables.read_by_month(spark, path, rows.schema)
+    assert stored.count() == 363 and stored.filter("day IS NULL").count() == 3
+    # a month whose folder is broken: a query of other months never opens it
+    broken = f"{path}/rows/_month=2024-07"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{broken}/part-broken.parquet")
+    out = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hadoop)
+    out.writeBytes("not parquet")
+    out.close()
+    stored = tables.read_by_month(spark, path, rows.schema)
+    assert stored.filter("day >= DATE'2024-03-05' AND day < DATE'2024-04-03'").count() == 29
+    assert stored.filter("day_quarter = '2024-Q2'").count() == 91
+    with pytest.raises(Exception, match="part-broken"):
+        stored.filter("day = DATE'2024-07-05'").count()
 
 
 def test_limits_use_top_k(spark, sf_dir):
@@ -81,13 +106,13 @@ def test_building_the_decision_path_starts_no_job(spark, sf_dir):
     df = registry.QUERIES["fraud_decisions"](spark, sf_dir)
     text = plan(df)
     assert jobs() - before <= 1  # reading the schema of the one table
-    assert "SinglePartition" not in text and len(re.findall(r"Exchange hashpartitioning", text)) == 1
+    assert "SinglePartition" not in text
 
 
-def test_dense_keys_are_split_over_tasks(spark, sf_dir):
+def test_one_key_of_all_rows_is_split_over_tasks(spark, sf_dir):
     valid = inputs.valid_transactions(spark, sf_dir, decisioning.FOR_ENRICHMENT).withColumn("uid", F.lit("one"))
-    enriched = decisioning.enrich(valid, inputs.dimensions(spark), ranges=8)
-    assert "_range" in plan(enriched)
+    enriched = decisioning.enrich(valid, inputs.dimensions(spark))
+    assert re.search(r"_slice#\d+L\], \[_at#", plan(enriched))
     assert enriched.count() == valid.count()
 
 
