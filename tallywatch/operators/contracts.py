@@ -309,14 +309,14 @@ def project_map(data: Column, targets: list[tuple[str, str, str]]) -> list[Colum
     return [F.try_element_at(data, F.lit(key)).try_cast(kind).alias(name) for key, name, kind in targets]
 
 
-def with_lineage(df: DataFrame, run_ts: Column, source_file: str, phase: str) -> DataFrame:
-    """Ingestion columns; ``run_ts`` is passed in so that a re-run can repeat them."""
+def with_lineage(df: DataFrame, run_ts: Column, source_file: str | Column, phase: str) -> DataFrame:
+    """Ingestion columns; ``run_ts`` is passed in so that a re-run can repeat them. The source may be a column of the scan."""
     return df.withColumns(
         {
             "ingestion_id": F.uuid(),
             "ingested_at": run_ts,
             "ingestion_date": F.to_date(run_ts),
-            "source_file": F.lit(source_file),
+            "source_file": F.lit(source_file) if isinstance(source_file, str) else source_file,
             "pipeline_phase": F.lit(phase),
             "kafka_offset": F.lit(0).cast("bigint"),
             "kafka_partition": F.lit(0),

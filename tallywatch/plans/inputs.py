@@ -130,6 +130,80 @@ def dimensions(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
     return tuple(F.broadcast(d) for d in (dim_product(spark), dim_email(spark), dim_hour(spark)))
 
 
+def _versioned_contracts() -> tuple[contracts.Contract, contracts.Contract, contracts.Contract]:
+    """Three versions of one subject: fields were renamed, retyped and added."""
+    field = contracts.Field
+    first = (field("txn", "int"), field("TransactionAmt", "double"), field("ProductCD", "string"), field("legacy", "string"))
+    second = (field("TransactionID", "long", False), field("amount", "string"), field("product", "string"), field("channel", "string"))
+    third = (
+        field("TransactionID", "long", False),
+        field("amount", "double"),
+        field("product", "string", False, "unknown"),
+        field("channel", "string", False, "web"),
+        field("risk", "int", False, 1),
+        field("note", "string"),
+    )
+    return tuple(contracts.Contract("payments", k, fields) for k, fields in ((101, first), (102, second), (103, third)))
+
+
+PAYMENT_VERSIONS = _versioned_contracts()
+PAYMENT_ALIASES = {"TransactionID": ("txn",), "amount": ("TransactionAmt",), "product": ("ProductCD",)}
+
+
+def payment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One log written by three versions of a producer; some messages are unframed, cut short, or of a version nobody knows."""
+    raw = raw_transactions(spark, sf_dir).withColumn("n", F.col("offset"))
+    n = F.col("n")
+    amount = F.when(n % 31 == 0, F.lit("n/a")).otherwise(F.col("TransactionAmt").cast("string"))
+    records = (
+        F.struct(n.cast("int").alias("txn"), "TransactionAmt", "ProductCD", F.lit("old").alias("legacy")),
+        F.struct(n.alias("TransactionID"), amount.alias("amount"), F.col("ProductCD").alias("product"), F.when(n % 5 == 0, "app").alias("channel")),
+        F.struct(
+            n.alias("TransactionID"), F.col("TransactionAmt").alias("amount"), F.col("ProductCD").alias("product"),
+            F.lit("pos").alias("channel"), (n % 4).cast("int").alias("risk"), F.lit("new").alias("note"),
+        ),
+    )
+    framed = F.when(F.lit(False), F.lit(None).cast("binary"))
+    for k, (contract, record) in enumerate(zip(PAYMENT_VERSIONS, records)):
+        framed = framed.when(n % 3 == k, wire.frame(wire.encode_body(record), contract.schema_id))
+    framed = framed.otherwise(F.lit(None).cast("binary"))
+    value = (
+        F.when(n % 53 == 0, wire.frame(wire.body(framed), 999))
+        .when(n % 59 == 0, F.substring(framed, F.lit(1), F.length(framed) - 1))
+        .when(n % 61 == 0, wire.body(framed))
+        .otherwise(framed)
+    )
+    return raw.select("offset", value.alias("value"))
+
+
+PRODUCT_VERSIONS = "event_type string, valid_from timestamp_ntz, written long, tier string, score double"
+
+
+def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiers of each event type: a new version every ten days, one of them corrected later, one withdrawn, none before the third day."""
+    types = table(spark, sf_dir, "events").select("event_type").distinct()
+    place = F.explode(F.sequence(F.lit(0), F.lit(3)))
+    versions = types.select("event_type", place.alias("k")).withColumn("valid_from", F.expr("timestampadd(DAY, 2 + 10 * LEAST(k, 2), TIMESTAMP_NTZ'2024-01-01 00:00:00')"))
+    letter = F.length("event_type")
+    tier = F.when((F.col("k") == 1) & (F.col("event_type") == "view"), F.lit(None)).otherwise(F.concat(F.lit("T"), (letter + F.col("k")) % 4))
+    return versions.select("event_type", "valid_from", F.col("k").cast("long").alias("written"), tier.alias("tier"), (letter * 10 + F.col("k")).cast("double").alias("score"))
+
+
+def csv_folders(spark: SparkSession, sf_dir: str, path: str) -> list[str]:
+    """Events as CSV lines in three folders, some lines with a field too few or too many, or an open quote."""
+    n = F.col("event_id")
+    fields = [n.cast("string"), F.col("event_type"), F.col("user_id").cast("string")]
+    line = (
+        F.when(n % 37 == 0, F.concat_ws(",", *fields[:2]))
+        .when(n % 41 == 0, F.concat_ws(",", *fields, F.lit("extra")))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    lines = table(spark, sf_dir, "events").select(line.alias("value"), (n % 3).alias("part"))
+    for part in range(3):
+        lines.filter(F.col("part") == part).select("value").write.text(f"{path}/part-{part}")
+    return [f"{path}/part-{part}" for part in range(3)]
+
+
 def dirty_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer rows with a text column that holds every kind of missing or odd value."""
     customer = table(spark, sf_dir, "customer")

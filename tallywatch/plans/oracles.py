@@ -338,6 +338,13 @@ SELECT CASE WHEN seq % 139 <> 0 THEN symbol END AS symbol, ingested_at, seq,
        WHEN seq > 3600 AND seq < 3900 THEN price * CAST(1e-200 AS DOUBLE) ELSE price END AS price FROM ({_TICKS})"""
 _SIGNALS_FAULTY = _signals_over(f"SELECT * FROM ({_FAULTY}) WHERE symbol IS NOT NULL AND isfinite(price)")
 
+_PRODUCT_VERSIONS = """
+SELECT *, lead(valid_from) OVER (PARTITION BY event_type ORDER BY valid_from) AS valid_to FROM (
+  SELECT event_type, TIMESTAMP '2024-01-01' + to_days(CAST(2 + 10 * least(k, 2) AS INTEGER)) AS valid_from,
+    CASE WHEN k = 1 AND event_type = 'view' THEN NULL ELSE concat('T', (length(event_type) + k) % 4) END AS tier,
+    CAST(length(event_type) * 10 + k AS DOUBLE) AS score
+  FROM (SELECT DISTINCT event_type FROM events), (SELECT unnest([0, 1, 3]) AS k))"""
+
 _STATES = """
 SELECT user_id AS entity, user_id % 10 AS grp, ts, event_id AS seq,
   CASE event_type WHEN 'purchase' THEN 'Pending' WHEN 'error' THEN 'Failed' ELSE 'Running' END AS phase,
@@ -441,6 +448,42 @@ SELECT l_orderkey % 211 = 0 AS undated, count(*) AS line_items,
   count(DISTINCT CASE WHEN l_orderkey % 211 <> 0 THEN strftime(l_shipdate, '%Y-%m') END) AS months
 FROM lineitem GROUP BY 1""",
     "gold_refresh": _with("performance", _gold_values()),
+    "csv_rejects": """
+SELECT CASE WHEN event_id % 37 = 0 THEN concat_ws(',', event_id, event_type) ELSE concat_ws(',', event_id, event_type, user_id, 'extra') END AS line,
+  CASE WHEN event_id % 37 = 0 THEN 'too_few_fields' ELSE 'too_many_fields' END AS reason, concat('part-', event_id % 3) AS folder
+FROM events WHERE event_id % 37 = 0 OR event_id % 41 = 0""",
+    "csv_lineage": """
+SELECT concat('part-', event_id % 3) AS source_file, 'bronze_bootstrap' AS pipeline_phase, DATE '2024-02-01' AS ingestion_date,
+  count(*) AS records, count(*) AS ingestion_ids, CAST(sum(event_id) AS BIGINT) AS event_ids, true AS sized
+FROM events WHERE event_id % 37 <> 0 AND event_id % 41 <> 0 GROUP BY 1""",
+    "replay_positions": _with(
+        "raw_tx",
+        """SELECT concat(coalesce(CAST(card1 AS VARCHAR), 'unknown'), '_', coalesce(CAST(addr1 AS VARCHAR), 'unknown')) AS message_key, log_offset,
+  CAST(row_number() OVER (PARTITION BY message_key ORDER BY transaction_dt, log_offset) AS INTEGER) AS place FROM raw_tx""",
+    ),
+    "frame_versions": _with(
+        "raw_tx",
+        """SELECT log_offset, CASE WHEN n % 53 = 0 THEN 999 WHEN n % 59 <> 0 AND n % 61 = 0 THEN NULL ELSE 101 + n % 3 END AS schema_id,
+  CASE WHEN n % 53 = 0 THEN 'unknown_schema:999' WHEN n % 59 = 0 THEN 'unreadable' WHEN n % 61 = 0 THEN 'not_framed' END AS reason,
+  CASE WHEN good THEN n END AS transaction_id,
+  CASE WHEN good AND NOT (n % 3 = 1 AND n % 31 = 0) THEN transaction_amt END AS amount,
+  CASE WHEN good THEN coalesce(product_cd, 'unknown') END AS product,
+  CASE WHEN good THEN CASE n % 3 WHEN 0 THEN 'web' WHEN 1 THEN CASE WHEN n % 5 = 0 THEN 'app' ELSE 'web' END ELSE 'pos' END END AS channel,
+  CASE WHEN good THEN CASE WHEN n % 3 = 2 THEN CAST(n % 4 AS INTEGER) ELSE 1 END END AS risk,
+  CASE WHEN good AND n % 3 = 2 THEN 'new' END AS note
+FROM (SELECT *, log_offset AS n, log_offset % 53 <> 0 AND log_offset % 59 <> 0 AND log_offset % 61 <> 0 AS good FROM raw_tx)""",
+    ),
+    "dimension_versions": f"""
+WITH d AS ({_PRODUCT_VERSIONS})
+SELECT event_id, tier, score AS tier_score, valid_from AS since
+FROM events e LEFT JOIN d ON d.event_type = e.event_type AND e.ts >= d.valid_from AND (d.valid_to IS NULL OR e.ts < d.valid_to)""",
+    "stream_dimension_versions": f"""
+WITH d AS ({_PRODUCT_VERSIONS})
+SELECT event_id, tier, valid_from AS since
+FROM events e LEFT JOIN d ON d.event_type = e.event_type AND e.ts >= d.valid_from AND (d.valid_to IS NULL OR e.ts < d.valid_to)""",
+    "stream_trigger": """
+SELECT CASE WHEN event_id % 4 = 0 THEN 1 ELSE 2 END AS growth, count(*) AS input_rows, count(*) AS written_rows, max(event_id) AS last_seq
+FROM events GROUP BY 1""",
     "archive_jsonl": _TICKS,
     "json_roundtrip": _TICKS,
     "replay_ordered": _with(

@@ -7,17 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions import cleaning, features, rules, wire
 from tallywatch.functions.numbers import clamp, half_up
-from tallywatch.operators import arrival, contracts, enrichment, numbering, quality, scoring, signals, telemetry, timeline, validation
+from tallywatch.operators import arrival, contracts, enrichment, numbering, quality, resolution, scoring, signals, telemetry, timeline, validation, versions
 from tallywatch.plans import decisioning, gold, inputs
 from tallywatch.plans import views as sql_views
 from tallywatch.session import prepare, scratch_dir
 from tallywatch.sources import filelog, files, tables
-from tallywatch.streaming import sinks, stages, stateful
+from tallywatch.streaming import progress, sinks, stages, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,6 +127,37 @@ def csv_scan_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _scanned_folders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    folders = inputs.csv_folders(spark, sf_dir, scratch_dir(spark, "csv-folders"))
+    scanned = files.scan_csv(spark, folders, ["event_id", "event_type", "user_id"], lineage=True, header=False)
+    return files.split_corrupt(scanned)
+
+
+def _folder(path: Column) -> Column:
+    return F.regexp_extract(path, "/(part-[0-9]+)/[^/]*$", 1)
+
+
+@query
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of three folders that are not records: their text, the reason, and the folder the scan found them in."""
+    _, rejects = _scanned_folders(spark, sf_dir)
+    return rejects.select("line", "reason", _folder(F.col("source_file")).alias("folder"))
+
+
+@query
+def csv_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of each source folder: accepted rows with the ingestion columns of their source."""
+    good, _ = _scanned_folders(spark, sf_dir)
+    typed = files.cast_columns(good, {"event_id": "long", "user_id": "long"})
+    traced = contracts.with_lineage(typed, inputs.run_ts(), _folder(F.col("source_file")), "bronze_bootstrap")
+    return traced.groupBy("source_file", "pipeline_phase", "ingestion_date").agg(
+        F.count("*").alias("records"),
+        F.count_distinct("ingestion_id").alias("ingestion_ids"),
+        F.sum("event_id").alias("event_ids"),
+        F.min("source_bytes").isNotNull().alias("sized"),
+    )
+
+
 def _write_log(spark: SparkSession, sf_dir: str, label: str) -> str:
     path = f"{scratch_dir(spark, label)}/log"
     filelog.append_messages(inputs.messages(spark, sf_dir), path)
@@ -348,6 +379,18 @@ def replay_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def replay_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replayed log as a consumer meets it, file by file and row by row: the place of each message among those of its key."""
+    path = scratch_dir(spark, "replay-positions")
+    raw = inputs.raw_transactions(spark, sf_dir).withColumn("uid", features.replay_key(F.col("card1"), F.col("addr1")))
+    ordered = filelog.replay(raw.select("uid", "TransactionDT", "offset"), "uid", ["TransactionDT", "offset"], 6)
+    ordered.write.parquet(path)
+    read = filelog.read_positions(spark, path, ordered.schema)
+    met = F.row_number().over(Window.partitionBy("uid").orderBy("position"))
+    return read.select(F.col("uid").alias("message_key"), F.col("offset").alias("log_offset"), met.alias("place"))
+
+
 # --- wire format and contracts --------------------------------------------------------------
 
 
@@ -369,6 +412,14 @@ def frame_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def frame_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One log of three producer versions, each message read by the contract of its own id, as the newest contract."""
+    log = inputs.payment_log(spark, sf_dir)
+    read = resolution.decode_by_id(log, inputs.PAYMENT_VERSIONS[-1], inputs.PAYMENT_VERSIONS, inputs.PAYMENT_ALIASES)
+    return read.select(F.col("offset").alias("log_offset"), "schema_id", "reason", F.col("TransactionID").alias("transaction_id"), "amount", "product", "channel", "risk", "note")
+
+
 @query
 def frame_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = inputs.table(spark, sf_dir, "part")
@@ -595,6 +646,14 @@ def dimension_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def dimension_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with the tier that held at its time, from a dimension with several versions."""
+    events = inputs.table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    held = versions.attach_as_of(events, inputs.product_versions(spark, sf_dir), "event_type", "ts", {"tier": "tier", "score": "tier_score", "valid_from": "since"}, "event_type")
+    return held.select("event_id", "tier", "tier_score", "since")
+
+
 @query
 def rule_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     score_of = {r.gold_name: f"score_{r.name}" for r in rules.RULES}
@@ -1086,6 +1145,59 @@ def stream_price_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+@query
+def stream_dimension_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tier changes while a stream runs: every micro-batch reads the versions anew and takes the one of each event's time.
+
+    The second half holds events from before the change, and a tenth of the first half arrives only with it.
+    """
+    root = scratch_dir(spark, "versions")
+    events = inputs.table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    known = inputs.product_versions(spark, sf_dir)
+    later = F.col("valid_from") >= F.lit("2024-01-20").cast("timestamp_ntz")
+    versions.append_versions(known.filter(~later), f"{root}/dimension")
+    held = {"tier": "tier", "valid_from": "since"}
+
+    def enriched(batch: DataFrame) -> DataFrame:
+        return versions.attach_as_of(batch, versions.read_versions(spark, f"{root}/dimension", known.schema), "event_type", "ts", held, "event_type")
+
+    def catch_up() -> None:
+        sinks.drain_batches(filelog.read_stream(spark, f"{root}/log", events.schema), f"{root}/checkpoint", sinks.fan_out({f"{root}/out": enriched}))
+
+    second = (F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")) | (F.col("event_id") % 10 == 0)
+    events.filter(~second).write.parquet(f"{root}/log")
+    catch_up()
+    versions.append_versions(known.filter(later), f"{root}/dimension")
+    events.filter(second).write.mode("append").parquet(f"{root}/log")
+    catch_up()
+    return spark.read.parquet(f"{root}/out").select("event_id", "tier", "since")
+
+
+@query
+def stream_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query that keeps its trigger while its log grows twice; what its listener reported of each growth, and what it wrote."""
+    root = scratch_dir(spark, "trigger")
+    ticks = inputs.ticks(spark, sf_dir)
+    name = "trigger_" + root.rsplit("-", 1)[-1]
+    listener = progress.ProgressRows(name)
+    spark.streams.addListener(listener)
+    try:
+        ticks.filter("seq % 4 = 0").write.parquet(f"{root}/log")
+        stream = filelog.read_stream(spark, f"{root}/log", ticks.schema)
+        running = sinks.start_batches(stream, f"{root}/checkpoint", sinks.fan_out({f"{root}/out": lambda batch: batch}), "1 second", name)
+        first = progress.catch_up(running)
+        ticks.filter("seq % 4 <> 0").write.mode("append").parquet(f"{root}/log")
+        progress.stop_cleanly(running, listener)
+    finally:
+        spark.streams.removeListener(listener)
+    taken = listener.metrics(spark).filter("metric = 'input_rows'")
+    growth = F.when(F.col("batch") <= first, 1).otherwise(2)
+    reported = taken.groupBy(growth.alias("growth")).agg(F.sum("value").cast("bigint").alias("input_rows"))
+    written = spark.read.parquet(f"{root}/out").withColumn("growth", F.when(F.col("batch_id") <= first, 1).otherwise(2))
+    counted = written.groupBy("growth").agg(F.count("*").alias("written_rows"), F.max("seq").alias("last_seq"))
+    return reported.join(counted, "growth")
+
+
 @query
 def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fused query where some events of the first half arrive with the second: what went where."""

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamReader
 # Fixed value: the most records one micro-batch takes from a broker partition set.
 MAX_OFFSETS_PER_TRIGGER = 5000
 TRIGGER_INTERVAL = "30 seconds"
+BYTES_PER_TRIGGER = 1 << 30  # of log files that one micro-batch takes; a broker's limit counts records instead
 
 MESSAGE_COLUMNS = ("key", "value")
 
@@ -41,12 +42,23 @@ def read_bounded(
     return df.filter(keep) if start or end else df
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 16) -> DataFrame:
-    """A growing log, at most ``files_per_trigger`` files in each micro-batch."""
+def read_stream(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None, bytes_per_trigger: int = BYTES_PER_TRIGGER
+) -> DataFrame:
+    """A growing log; a micro-batch takes files up to ``bytes_per_trigger`` (one at least), or ``files_per_trigger`` files."""
     reader: DataStreamReader = spark.readStream.schema(schema)
+    if files_per_trigger is None:
+        return reader.option("maxBytesPerTrigger", bytes_per_trigger).parquet(path)
     return reader.option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
+def read_positions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The messages of a ``replay`` with ``position``: their place in the log partition as a reader of its files meets them."""
+    rows = spark.read.schema(schema).parquet(path)
+    place = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return rows.select("*", place.alias("position"))
+
+
 def replay(df: DataFrame, key: str, order: list[str], partitions: int, tasks: int | None = None) -> DataFrame:
     """Rows laid out by (log partition, event order).
 

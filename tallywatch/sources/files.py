@@ -8,13 +8,37 @@ from pyspark.sql import types as T
 
 from tallywatch.functions import features
 from tallywatch.functions.cleaning import SPARK_TYPES
+from tallywatch.session import materialize
 
 
-def scan_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """All columns as text, no inference; unreadable lines stay, with their text in ``_corrupt_record``."""
-    fields = [T.StructField(c, T.StringType()) for c in (*columns, "_corrupt_record")]
-    options = {"header": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    return spark.read.schema(T.StructType(fields)).options(**options).csv(path)
+CORRUPT = "_corrupt_record"
+LINEAGE = {"source_file": "file_path", "source_modified": "file_modification_time", "source_bytes": "file_size"}
+
+
+def scan_csv(spark: SparkSession, path: str | list[str], columns: list[str], lineage: bool = False, header: bool = True) -> DataFrame:
+    """All columns as text, no inference; unreadable lines stay, with their text in ``_corrupt_record``.
+
+    With ``lineage`` each line also says which file it came from, as the scan itself knows it.
+    """
+    fields = [T.StructField(c, T.StringType()) for c in (*columns, CORRUPT)]
+    options = {"header": str(header).lower(), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    scanned = spark.read.schema(T.StructType(fields)).options(**options).csv(path)
+    return scanned.select("*", *[F.col(f"_metadata.{field}").alias(n) for n, field in LINEAGE.items()]) if lineage else scanned
+
+
+def split_corrupt(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Readable lines, and the rejects of a ``scan_csv``: the line's text, why, and its lineage where that was asked for.
+
+    A line is rejected as a whole: too few or too many fields, or quotes that do not close. The lines are parsed once, whole, and
+    written: read on its own, either output would be planned without the fields that tell a broken line.
+    """
+    parsed = materialize(scanned, "csv-lines")
+    good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    width = len([c for c in scanned.columns if c != CORRUPT and c not in LINEAGE])
+    commas = F.length(CORRUPT) - F.length(F.replace(F.col(CORRUPT), F.lit(","), F.lit("")))
+    why = F.when(F.col(CORRUPT).contains('"'), "quoting").when(commas < width - 1, "too_few_fields").otherwise("too_many_fields")
+    kept = [F.col(n) for n in LINEAGE if n in scanned.columns]
+    return good, parsed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"), why.alias("reason"), *kept)
 
 
 def cast_columns(df: DataFrame, kinds: dict[str, str]) -> DataFrame:

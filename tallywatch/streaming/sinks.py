@@ -36,9 +36,12 @@ def fan_out(outputs: dict[str, Callable[[DataFrame], DataFrame]]) -> BatchWriter
     return write
 
 
-def start_batches(stream: DataFrame, checkpoint: str, write: BatchWriter, interval: str = TRIGGER_INTERVAL) -> StreamingQuery:
-    """A long-running query with one micro-batch per interval."""
+def start_batches(
+    stream: DataFrame, checkpoint: str, write: BatchWriter, interval: str = TRIGGER_INTERVAL, name: str | None = None
+) -> StreamingQuery:
+    """A long-running query with one micro-batch per interval; a listener knows it by its name."""
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.queryName(name) if name else writer
     return writer.trigger(processingTime=interval).start()
 
 

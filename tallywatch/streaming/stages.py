@@ -17,7 +17,7 @@ from tallywatch.streaming.stateful import velocity_on_stream
 
 REASON = "reject_reason"
 CARRIED = ("offset", REASON)
-FILES_PER_TRIGGER = 16  # files of the log that one micro-batch takes; a broker's limit counts records instead
+FILES_PER_TRIGGER = None  # a count of files in place of the limit in bytes
 
 
 def stage_path(root: str, name: str) -> str:
@@ -33,7 +33,7 @@ def late_path(root: str) -> str:
     return f"{root}/late"
 
 
-def read_log(spark: SparkSession, path: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+def read_log(spark: SparkSession, path: str, files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
     return filelog.read_stream(spark, path, MESSAGE_SCHEMA, files_per_trigger)
 
 
@@ -162,7 +162,7 @@ def fused(messages: DataFrame, dims: Dimensions, at: Column) -> DataFrame:
 
 
 def run_fused(
-    spark: SparkSession, root: str, source: str, dims: Dimensions, at: Column, files_per_trigger: int = FILES_PER_TRIGGER
+    spark: SparkSession, root: str, source: str, dims: Dimensions, at: Column, files_per_trigger: int | None = FILES_PER_TRIGGER
 ) -> None:
     sinks.drain_batches(
         fused(read_log(spark, source, files_per_trigger), dims, at),
