@@ -1,7 +1,7 @@
 """Keyed state on a stream: trailing velocity per uid and the last rows per symbol.
 
 The state of a key is bounded (two days of distinct event times, or 49 prices), lives in the RocksDB
-store and is checkpointed. What one call sees of a key is bounded by the source's per-trigger limit.
+store and is checkpointed. What one call sees of a key is bounded by the source's limit in bytes for each trigger.
 """
 
 from __future__ import annotations
@@ -10,21 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywatch.functions.numbers import UNITS_TYPE, to_units
+from tallywatch.functions.numbers import UNITS_TYPE, from_limbs, limbs, to_units
 from tallywatch.operators import signals
 from tallywatch.operators.velocity import COUNT_WIDTHS, SPEND_WIDTHS, finish
 from tallywatch.session import ROCKSDB_PROVIDER
 
 DAY_US = SPEND_WIDTHS["spend_24hr"]
-PASS_THROUGH_KEYS = 256
-LIMB = 10**11  # amounts travel as two longs, so that sums of either hold 10^7 rows of the largest amount
+GROUPS_PER_PARTITION = 4  # groups of rows that only pass through, for each shuffle partition
 
 
 def use_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
 
-def _velocity_processor(spend_widths: list[int], count_widths: list[int], window_us: int, lateness_us: int, idle_ms: int | None):
+def _velocity_processor(spend_widths: list[int], count_widths: list[int], window_us: int, lateness_us: int, idle_ms: int | None, carry: list[str]):
     # Built inside a function so that it travels to the workers by value.
     import numpy as np
     import pandas as pd
@@ -36,15 +35,21 @@ def _velocity_processor(spend_widths: list[int], count_widths: list[int], window
             self.history = handle.getListState("history", "us long, high long, low long, n long")
 
         def handleInputRows(self, key, rows, timerValues):
-            batch = pd.concat(list(rows), ignore_index=True)
             if not key[0].startswith("u:"):
-                yield self._output(batch, [0] * (2 * len(spend_widths) + len(count_widths)), False)
+                for part in rows:  # as they come: such a group is as large as it likes
+                    yield self._output(part, [0] * (2 * len(spend_widths) + len(count_widths)), False)
                 return
-            batch = batch.take(np.lexsort((batch["row_id"], batch["tie"], batch["event_us"])))
+            parts = list(rows)
+            now, tie, row_id, high_now, low_now = (
+                np.concatenate([p[c].to_numpy(np.int64) for p in parts]) for c in ("event_us", "tie", "row_id", "high", "low")
+            )
+            sequence = np.lexsort((row_id, tie, now))
+            arrived = np.empty(len(now), dtype=np.int64)
+            arrived[sequence] = np.arange(len(now))
+            now, high_now, low_now = now[sequence], high_now[sequence], low_now[sequence]
             held = np.array(list(self.history.get()), dtype=np.int64).reshape(-1, 4)
-            now = batch["event_us"].to_numpy(np.int64)
-            high = np.concatenate([held[:, 1], batch["high"].to_numpy(np.int64)])
-            low_part = np.concatenate([held[:, 2], batch["low"].to_numpy(np.int64)])
+            high = np.concatenate([held[:, 1], high_now])
+            low_part = np.concatenate([held[:, 2], low_now])
             count = np.concatenate([held[:, 3], np.ones(len(now), dtype=np.int64)])
             at = np.concatenate([held[:, 0], now])
             order = np.argsort(at, kind="stable")
@@ -57,14 +62,18 @@ def _velocity_processor(spend_widths: list[int], count_widths: list[int], window
             for widths, running in ((spend_widths, totals[0]), (spend_widths, totals[1]), (count_widths, totals[2])):
                 for width in widths:
                     low = np.searchsorted(sorted_at, now - width, side="left")
-                    results.append(running[mine] - running[low])
-            late = now < held[:, 0].max() - lateness_us if len(held) else False
-            self._remember(held, now, batch["high"].to_numpy(np.int64), batch["low"].to_numpy(np.int64), sorted_at[-1])
+                    results.append((running[mine] - running[low])[arrived])
+            late = (now < held[:, 0].max() - lateness_us)[arrived] if len(held) else np.zeros(len(now), dtype=bool)
+            self._remember(held, now, high_now, low_now, sorted_at[-1])
             if idle_ms is not None:
                 for timer in list(self.handle.listTimers()):
                     self.handle.deleteTimer(timer)
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + idle_ms)
-            yield self._output(batch, results, late)
+            start = 0
+            for part in parts:  # the wide columns stay in the pieces they came in
+                stop = start + len(part)
+                yield self._output(part, [r[start:stop] for r in results], late[start:stop])
+                start = stop
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             self.history.clear()
@@ -83,9 +92,9 @@ def _velocity_processor(spend_widths: list[int], count_widths: list[int], window
             else:
                 self.history.appendList([tuple(map(int, r)) for r in added])
 
-        def _output(self, batch, results, late):
-            columns = {f"v{i}": value for i, value in enumerate(results)}
-            return pd.DataFrame({"carry": batch["carry"].to_numpy(), **columns, "is_late": late})
+        def _output(self, part, results, late):
+            carried = {c: part[c].array for c in carry}
+            return pd.DataFrame({**carried, **{f"v{i}": value for i, value in enumerate(results)}, "is_late": late})
 
         def close(self) -> None:
             pass
@@ -106,43 +115,48 @@ def velocity_on_stream(
 ) -> DataFrame:
     """The velocity columns on a stream, plus ``is_late`` for events too far behind their key's newest.
 
-    Rows without a key, and rows with a reason in ``rejected``, pass through spread over many keys.
-    The other columns travel as one JSON text, so the state operator has the same shape for any input.
-    With ``idle_ms`` the state of a key is dropped after that long without events; its timers need a
-    query that keeps running, not one that drains what is available.
+    Rows without a key, and rows with a reason in ``rejected``, pass through, spread over as many groups as the
+    shuffle has partitions to fill. The other columns travel typed, whole numbers of 64 bits as text, because pandas would
+    turn them to doubles where some are NULL. With ``idle_ms`` the state of a key is dropped after that long without events;
+    its timers need a query that keeps running, not one that drains what is available.
     """
-    use_state_store(df.sparkSession)
+    spark = df.sparkSession
+    use_state_store(spark)
     tracked = F.col(key).isNotNull()
     if rejected is not None:
         tracked = tracked & F.col(rejected).isNull()
-    bystander = F.concat(F.lit("n:"), F.pmod(F.xxhash64(row_id), F.lit(PASS_THROUGH_KEYS)))
+    groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bystander = F.concat(F.lit("n:"), F.pmod(F.xxhash64(row_id), F.lit(groups)))
     zero = F.lit(0).cast("bigint")
-    schema = df.schema
     units = F.coalesce(to_units(F.col(amount)), F.lit(0).cast(UNITS_TYPE))
+    high, low = limbs(units)
+    fields = {f"c{i}": f for i, f in enumerate(df.schema.fields)}
+    as_text = [n for n, f in fields.items() if f.dataType == T.LongType()]
+    carried = [(F.col(f"`{f.name}`").cast("string") if n in as_text else F.col(f"`{f.name}`")).alias(n) for n, f in fields.items()]
     packed = df.select(
         F.when(tracked, F.concat(F.lit("u:"), F.col(key))).otherwise(bystander).alias("state_key"),
-        F.to_json(F.struct(*df.columns)).alias("carry"),
+        *carried,
         F.coalesce(F.col(time_us), zero).alias("event_us"),
         F.coalesce(F.col(tie).cast("bigint"), zero).alias("tie"),
         F.coalesce(F.col(row_id).cast("bigint"), zero).alias("row_id"),
-        F.floor(units / F.lit(LIMB)).cast("bigint").alias("high"),
-        F.pmod(units, F.lit(LIMB)).cast("bigint").alias("low"),
+        high.alias("high"),
+        low.alias("low"),
     )
-    names = [*[f"{n}_high" for n in SPEND_WIDTHS], *SPEND_WIDTHS, *COUNT_WIDTHS]
+    names = [*[f"{n}_high" for n in SPEND_WIDTHS], *[f"{n}_low" for n in SPEND_WIDTHS], *COUNT_WIDTHS]
+    payload = [T.StructField(n, T.StringType() if n in as_text else f.dataType) for n, f in fields.items()]
     values = [T.StructField(f"v{i}", T.LongType()) for i in range(len(names))]
-    output = T.StructType([T.StructField("carry", T.StringType()), *values, T.StructField("is_late", T.BooleanType())])
-    processor = _velocity_processor(list(SPEND_WIDTHS.values()), list(COUNT_WIDTHS.values()), DAY_US, lateness_us, idle_ms)
+    output = T.StructType([*payload, *values, T.StructField("is_late", T.BooleanType())])
+    processor = _velocity_processor(list(SPEND_WIDTHS.values()), list(COUNT_WIDTHS.values()), DAY_US, lateness_us, idle_ms, list(fields))
     summed = packed.groupBy("state_key").transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=output,
         outputMode="Append",
         timeMode="None" if idle_ms is None else "ProcessingTime",
     )
-    unpacked = summed.select(
-        F.from_json("carry", schema).alias("_row"), *[F.col(f"v{i}").alias(f"_{n}") for i, n in enumerate(names)], "is_late"
-    )
-    whole = [(F.col(f"_{n}_high").cast(UNITS_TYPE) * F.lit(LIMB) + F.col(f"_{n}")).cast(UNITS_TYPE).alias(f"_{n}") for n in SPEND_WIDTHS]
-    flat = unpacked.select("_row.*", *whole, *[f"_{n}" for n in COUNT_WIDTHS], "is_late")
+    value = {n: F.col(f"v{i}") for i, n in enumerate(names)}
+    back = [F.col(n).cast(f.dataType).alias(f.name) for n, f in fields.items()]
+    whole = [from_limbs(value[f"{n}_high"], value[f"{n}_low"]).alias(f"_{n}") for n in SPEND_WIDTHS]
+    flat = summed.select(*back, *whole, *[value[n].alias(f"_{n}") for n in COUNT_WIDTHS], "is_late")
     return finish(flat, tracked)
 
 

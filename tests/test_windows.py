@@ -179,7 +179,7 @@ def test_idle_state_is_dropped_and_timers_follow_the_last_event():
             return self.now
 
     day = 86_400_000_000
-    processor = stateful._velocity_processor(list(SPEND_WIDTHS.values()), list(COUNT_WIDTHS.values()), day, day, 50)
+    processor = stateful._velocity_processor(list(SPEND_WIDTHS.values()), list(COUNT_WIDTHS.values()), day, day, 50, ["carry"])
     handle, clock = Handle(), Clock()
     processor.init(handle)
 
