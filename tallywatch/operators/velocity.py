@@ -6,10 +6,10 @@ earlier if their id sorts first. Non-finite amounts add nothing to a spend.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.functions.numbers import UNITS_TYPE, cents_from_units, from_limbs, limbs, to_units
+from tallywatch.functions.numbers import LIMB, UNITS_TYPE, cents_from_units, limbs, to_units
 
 SECOND_US = 1_000_000
 # Window names and widths.
@@ -49,87 +49,79 @@ def add_velocity(
     key, and expiries into minutes without arrivals fall out in the join. Rows without a key or a time have no
     windows and are scattered.
     """
-    prepared = df.withColumn("_units", F.coalesce(to_units(F.col(amount)), F.lit(0).cast(UNITS_TYPE)))
-    opening = _opening_totals(prepared, key, time_us)
-    return finish(_by_minutes(prepared, opening, key, time_us, tie, row_id), F.col(key).isNotNull())
+    high, low = limbs(F.coalesce(to_units(F.col(amount)), F.lit(0).cast(UNITS_TYPE)))
+    prepared = df.withColumns({"_high": high, "_low": low})
+    names = {"key": f"`{key}`", "at": f"`{time_us}`", "tie": f"`{tie}`", "row_id": f"`{row_id}`"}
+    return finish(_by_minutes(prepared, _opening_totals(prepared, names), names), F.col(key).isNotNull())
 
 
-def _minute(at: Column) -> Column:
-    """Whole slices since the epoch. The rest is taken off first: a double does not hold every time."""
-    return F.round(F.try_subtract(at, F.pmod(at, F.lit(SLICE_US))) / F.lit(SLICE_US)).cast("bigint")
+# Plans of these two are written as SQL text: some fifty expressions, each one call to the JVM instead of a dozen.
 
 
-def _opening_totals(df: DataFrame, key: str, time_us: str) -> DataFrame:
+def _minute(at: str) -> str:
+    """Whole slices since the epoch; ``div`` cuts towards zero, so the rest is taken off first."""
+    return f"try_subtract({at}, pmod({at}, {SLICE_US}L)) div {SLICE_US}L"
+
+
+def _opening_totals(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """What each window holds as a minute of a key opens: one row for each minute with arrivals.
 
-    The totals combine before their shuffle, and the frames only grow, so a key with many rows costs its minutes.
+    The totals combine before their shuffle, and the frames only grow, so a key with many rows costs its minutes. A
+    minute's total is brought back to a low part below ``LIMB``, so running totals over minutes fit 64 bits as well.
     """
-    known = df.filter(F.col(key).isNotNull() & F.col(time_us).isNotNull())
-    totals = known.groupBy(key, _minute(F.col(time_us)).alias("_slice")).agg(F.sum("_units").alias("_u"), F.count(F.lit(1)).alias("_n"))
-    by_minute = Window.partitionBy(key).orderBy("_slice")
+    known = df.where("{key} IS NOT NULL AND {at} IS NOT NULL".format(**names)).selectExpr("{key} AS _key".format(**names), f"{_minute(names['at'])} AS _slice", "_high", "_low")
+    totals = known.groupBy("_key", "_slice").agg(F.expr("sum(_high) AS _h"), F.expr("sum(_low) AS _l"), F.expr("count(1) AS _rows"))
+    totals = totals.selectExpr("_key", "_slice", f"_h + _l div {LIMB}L AS _high", f"_l % {LIMB}L AS _low", "_rows")
 
-    def before(total: str, minutes: int) -> Column:
-        frame = by_minute.rangeBetween(Window.unboundedPreceding, -1 - minutes)
-        return F.coalesce(F.sum(total).over(frame), F.lit(0)).cast(UNITS_TYPE if total == "_u" else "bigint")
+    def held(total: str, width: int) -> str:
+        def before(minutes: int) -> str:
+            return f"coalesce(sum({total}) OVER (PARTITION BY _key ORDER BY _slice RANGE BETWEEN UNBOUNDED PRECEDING AND {1 + minutes} PRECEDING), 0L)"
 
-    held = {f"_open_{n}": before("_u", 0) - before("_u", w // SLICE_US) for n, w in SPEND_WIDTHS.items()}
-    held |= {f"_open_{n}": before("_n", 0) - before("_n", w // SLICE_US) for n, w in COUNT_WIDTHS.items()}
-    return totals.select(key, "_slice", *[c.alias(n) for n, c in held.items()])
+        return f"{before(0)} - {before(width // SLICE_US)}"
 
+    return totals.selectExpr("_key", "_slice", *[f"{held(f'_{part}', w)} AS _open_{part}_{n}" for part, n, w in _sums()])
 
-def _by_minutes(df: DataFrame, opening: DataFrame, key: str, time_us: str, tie: str, row_id: str) -> DataFrame:
-    """Window sums as the totals at the minute's opening, plus the arrivals before the row, minus the expiries before it.
 
-    Inside a minute the sums are pairs of 64-bit numbers; only the totals across minutes are wide.
-    """
-    payload = [c for c in df.columns if c not in (key, time_us, tie, row_id, "_units")]
-    known = F.col(key).isNotNull() & F.col(time_us).isNotNull()
-    at = F.col(time_us)
-
-    def moment(when: Column, width: int) -> Column:
-        return F.struct(when.alias("at"), F.lit(width).cast("bigint").alias("width"))
-
-    arrival = moment(at, 0)
-    expiries = [moment(F.try_add(at, F.lit(w)), w) for w in sorted({*SPEND_WIDTHS.values(), *COUNT_WIDTHS.values()})]
-    events = df.withColumn("_m", F.explode(F.when(known, F.array(arrival, *expiries)).otherwise(F.array(arrival))))
-    own = F.col("_m.width") == 0
-    scattered = F.when(known, _minute(F.col("_m.at"))).otherwise(F.xxhash64(row_id))
-    events = events.select(
-        key, time_us, tie, row_id,
-        scattered.alias("_slice"),
-        F.col("_m.at").alias("_at"),
-        F.col("_m.width").alias("_width"),
-        F.when(own, F.col("_units")).alias("_units"),
-        *[part.alias(n) for part, n in zip(limbs(F.col("_units")), ("_high", "_low"))],
-        F.when(own, F.struct(*payload)).alias("_payload"),
-    )
-    left, right = events.alias("e"), opening.alias("o")
-    same = (F.col(f"e.{key}") == F.col(f"o.{key}")) & (F.col("e._slice") == F.col("o._slice"))
-    opened = [c for c in opening.columns if c.startswith("_open_")]
-    met = left.join(right, same, "left").select("e.*", *[f"o.{c}" for c in opened])
-    met = met.filter((F.col("_width") == 0) | F.col(opened[0]).isNotNull())
+def _sums() -> list[tuple[str, str, int]]:
+    """What is summed for the windows: part, window, width."""
+    return [(part, n, w) for part in ("high", "low") for n, w in SPEND_WIDTHS.items()] + [("rows", n, w) for n, w in COUNT_WIDTHS.items()]
 
-    order = Window.partitionBy(key, "_slice").orderBy("_at", "_width", tie, row_id).rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
 
-    def so_far(value: Column, width: int) -> Column:
-        change = F.when(F.col("_width") == 0, value).when(F.col("_width") == width, -value)
-        return F.coalesce(F.sum(change).over(order), zero)
-
-    sums = {f"_high_{n}": so_far(F.col("_high"), w) for n, w in SPEND_WIDTHS.items()}
-    sums |= {f"_low_{n}": so_far(F.col("_low"), w) for n, w in SPEND_WIDTHS.items()}
-    sums |= {f"_rows_{n}": so_far(F.lit(1).cast("bigint"), w) for n, w in COUNT_WIDTHS.items()}
-    own_rows = met.withColumns(sums).filter("_width = 0")
+def _by_minutes(df: DataFrame, opening: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Window sums as the totals at the minute's opening, plus the arrivals before the row, minus the expiries before it.
 
-    def spend(n: str) -> Column:
-        inside = from_limbs(F.col(f"_high_{n}"), F.col(f"_low_{n}"))
-        return F.when(F.col(f"_open_{n}").isNotNull(), (F.col(f"_open_{n}") + inside).cast(UNITS_TYPE)).otherwise(F.lit(0).cast(UNITS_TYPE))
+    Inside a minute the sums are pairs of 64-bit numbers; only the result is wide.
+    """
+    key, at, tie, row_id = names.values()
+    columns = [f"`{c}`" for c in df.columns if c not in ("_high", "_low")]
+    payload = [c for c in columns if c not in names.values()]
+    widths = sorted({*SPEND_WIDTHS.values(), *COUNT_WIDTHS.values()})
+    arrival = f"struct({at} AS at, 0L AS width)"
+    moments = ", ".join([arrival, *[f"struct(try_add({at}, {w}L) AS at, {w}L AS width)" for w in widths]])
+    known = f"{key} IS NOT NULL AND {at} IS NOT NULL"
+    # the other columns go with the arrival only, each for itself, so that unused ones are never carried
+    events = df.selectExpr("*", f"explode(IF({known}, array({moments}), array({arrival}))) AS _m").selectExpr(
+        *names.values(),
+        f"IF({known}, {_minute('_m.at')}, xxhash64({row_id})) AS _slice",
+        "_m.at AS _at",
+        "_m.width AS _width",
+        "_high",
+        "_low",
+        "1L AS _rows",
+        *[f"IF(_m.width = 0, {c}, NULL) AS {c}" for c in payload],
+    )
+    left, right = events.alias("e"), opening.alias("o")
+    met = left.join(right, F.expr(f"e.{key} = o._key AND e._slice = o._slice"), "left")
+    met = met.where("e._width = 0 OR o._key IS NOT NULL")
+    order = f"PARTITION BY e.{key}, e._slice ORDER BY e._at, e._width, e.{tie}, e.{row_id} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
-    def count(n: str) -> Column:
-        return F.when(F.col(f"_open_{n}").isNotNull(), F.col(f"_open_{n}") + F.col(f"_rows_{n}")).otherwise(zero)
+    def so_far(part: str, width: int) -> str:
+        return f"coalesce(sum(CASE e._width WHEN 0 THEN e._{part} WHEN {width} THEN -e._{part} END) OVER ({order}), 0L)"
 
-    results = {f"_{n}": spend(n) for n in SPEND_WIDTHS} | {f"_{n}": count(n) for n in COUNT_WIDTHS}
-    return own_rows.select(key, time_us, tie, row_id, "_units", "_payload.*", *[c.alias(n) for n, c in results.items()])
+    totals = [f"coalesce(o._open_{part}_{n} + {so_far(part, w)}, 0L) AS _{part}_{n}" for part, n, w in _sums()]
+    own = met.selectExpr(*[f"e.{c}" for c in columns], "e._width", *totals).where("_width = 0")
+    spends = [f"CAST(CAST(_high_{n} AS {UNITS_TYPE}) * {LIMB}L + _low_{n} AS {UNITS_TYPE}) AS _{n}" for n in SPEND_WIDTHS]
+    return own.selectExpr(*columns, *spends, *[f"_rows_{n} AS _{n}" for n in COUNT_WIDTHS])
 
 
 def finish(df: DataFrame, known: Column) -> DataFrame:
@@ -138,4 +130,4 @@ def finish(df: DataFrame, known: Column) -> DataFrame:
     counts = {name: F.when(known, F.col(f"_{name}").cast("int")) for name in COUNT_WIDTHS}
     named = df.withColumns({**spends, **counts})
     helpers = [f"_{n}" for n in (*SPEND_WIDTHS, *COUNT_WIDTHS)]
-    return named.withColumn("velocity_flag", velocity_flag()).drop(*helpers, "_units")
+    return named.withColumn("velocity_flag", velocity_flag()).drop(*helpers)
