@@ -26,6 +26,7 @@ from tallywatch.llm.tables import partitions_for, stored
 BLOCK = 2048  # rows of a block
 PACK = 1024  # anchors of a pack
 AT_ONCE = 128  # anchors whose partial scores are held at a time
+SALTS = 64  # keys under which a group's sizes are given
 STEP = 8  # dimensions between two looks at the bounds
 FEW = 0.05  # share of pairs still open from which they are computed one by one
 LEVELS = (0.9, 0.7, 0.5, 0.35)  # first thresholds, as shares of the highest that can matter
@@ -267,12 +268,14 @@ def _paired(rows: DataFrame, anchors: DataFrame, groups: list[str], extra: list[
 
     n_rows = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_rows"))
     n_anchors = anchors.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_anchors"))
-    sizes = n_rows.join(n_anchors, groups)
+    # each group's sizes meet its rows under several keys, as one group may hold most rows
+    sizes = n_rows.join(n_anchors, groups).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64(F.lit(9), "id", "mark"), F.lit(SALTS)).cast("int")
     columns = ["id", "mark", "label", "vector"]
     left = rows.select(*columns, *[g for g in groups if g not in columns], *[F.lit(None).cast(anchors.schema[c].dataType).alias(c) for c in extra])
-    left = left.join(sizes, groups).withColumn("_other", each("n_anchors", PACK)).withColumn("side", F.lit(0))
+    left = left.withColumn("_salt", salt).join(sizes, [*groups, "_salt"]).withColumn("_other", each("n_anchors", PACK)).withColumn("side", F.lit(0))
     left = left.withColumn("key", key(part("n_rows", BLOCK, 3), F.col("_other")))
-    right = anchors.join(sizes, groups).withColumn("_other", each("n_rows", BLOCK)).withColumn("side", F.lit(1))
+    right = anchors.withColumn("_salt", salt).join(sizes, [*groups, "_salt"]).withColumn("_other", each("n_rows", BLOCK)).withColumn("side", F.lit(1))
     right = right.withColumn("key", key(F.col("_other"), part("n_anchors", PACK, 5)))
     shape = ["key", "side", *columns, *extra]
     both = left.select(*shape).unionByName(right.select(*shape))
