@@ -8,6 +8,7 @@ whole texts wherever runs of white space make such a cut unsafe.
 from __future__ import annotations
 
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import regex
@@ -105,3 +106,9 @@ class ByteIds:
         self.pretoken.trim()
         self.after_space.trim()
         return out
+
+
+@lru_cache(maxsize=2)
+def worker_encoder(path: str) -> ByteIds:
+    """The encoder of this worker, with what it remembers of earlier tasks."""
+    return ByteIds(path)
