@@ -3,8 +3,8 @@
 Texts are lower-cased (A-Z) and cut into words; a word's subword ids come from the sentencepiece library, once for each word of
 a block of texts. What is learned from all training texts: how often every word occurs (for the base), how often
 every id and every pair of neighbouring slots does (for the tables the model starts from). The attention weights are trained by
-local Adam steps: from the same start, every task trains on one in ``SHARE`` windows of its training texts, and the weights
-are averaged by the number of windows. All of this grows with the input; nothing is drawn from a fixed number of texts.
+local Adam steps: from the same start, every task trains once on every window of its training texts, and the weights
+are averaged by the number of windows. All of this grows with the input; nothing is left out or drawn.
 
 Scoring lays windows of ``WIDTH`` positions over each text, every ``STEP`` positions; each position is scored once, with at
 least ``BEFORE`` positions (or the text's beginning) before it, in batches of masked attention.
@@ -32,8 +32,7 @@ from tallywatch.llm.tables import partitions_for, stored
 
 IDS = 32_000  # the tokenizer's ids
 END_ID, NO_ID = 2, 0
-SHARE = 16  # one in so many windows of the training texts trains
-FIRST_BATCH, BATCH = 32, 256  # windows of the first step and of the later ones; one more with each step between
+FIRST_BATCH, BATCH = 32, 512  # windows of the first step and of the later ones; one more with each step between
 RATE = 3e-3
 WINDOWS = 512  # windows scored at a time
 REST = net.SLOTS - 1  # the slot of all ids without one of their own
@@ -367,18 +366,17 @@ def _trained(batches, model: Model):
         stream, _, lengths = _slot_stream(texts, ~texts.held, model.slot)
         begin = np.cumsum(lengths + 1) - lengths - 1
         text, first, n = net.windows(lengths)
-        rng = np.random.default_rng(texts.name)
-        chosen = rng.permutation(np.flatnonzero(rng.integers(0, SHARE, text.size) == 0))
+        mixed = np.random.default_rng(texts.name).permutation(text.size)
         k = 0
-        while k < chosen.size:
-            w = chosen[k : k + min(FIRST_BATCH + adam.t, BATCH)]
+        while k < mixed.size:
+            w = mixed[k : k + min(FIRST_BATCH + adam.t, BATCH)]
             k += w.size
             seen, want = net.window_slots(stream, begin, text[w], first[w])
             valid = np.arange(net.STEP)[None, :] < n[w][:, None]
             _, g = mine.gradients(seen, first[w] == 0, valid, want)
             adam.step(mine.w, g)
             mine.refresh()
-        seen_windows += chosen.size
+        seen_windows += mixed.size
     if seen_windows:
         flat = _flat(mine.w) * seen_windows
         parts = [flat[k : k + PORTION].tobytes() for k in range(0, flat.size, PORTION)]

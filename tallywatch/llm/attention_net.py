@@ -145,19 +145,20 @@ class Net:
         at = np.flatnonzero(valid.ravel())
         s, prev, want = state[at], last[at], target.ravel()[at]
         group = want // WITHIN
-        g = {name: np.zeros(shape, np.float32) for name, shape in SHAPES.items()}
+        g = {name: np.zeros(SHAPES[name], np.float32) for name in ("embed", "within")}
+        sharp = not np.abs(s).max(initial=0) * self.widest <= SHARPEST  # else no exponent can leave the range
         order = np.argsort(group.astype(np.uint8), kind="stable")
         at, s, prev, group, place = at[order], s[order], prev[order], group[order], want[order] % WITHIN
         cuts = np.searchsorted(group, np.arange(CLASSES + 1))
         p = s @ w["classes"]
         p += self.class_table.take(prev, axis=0)
-        loss = _off_target(p, group, n)
+        loss = _off_target(p, group, n, sharp)
         g["classes"] = s.T @ p
         ds = p @ w["classes"].T
         p = self.within_table.reshape(-1, WITHIN).take(prev * CLASSES + group, axis=0)
         for c in np.flatnonzero(np.diff(cuts)):
             p[cuts[c] : cuts[c + 1]] += s[cuts[c] : cuts[c + 1]] @ w["within"][c]
-        loss += _off_target(p, place, n)
+        loss += _off_target(p, place, n, sharp)
         for c in np.flatnonzero(np.diff(cuts)):
             rows = slice(cuts[c], cuts[c + 1])
             g["within"][c] = s[rows].T @ p[rows]
@@ -171,15 +172,15 @@ class Net:
         g["mix_seen"] = heard.T @ d_mixed
         d_embed_own = d + d_mixed @ w["mix_own"].T
         d_heard = (d + d_mixed @ w["mix_seen"].T).reshape(len(seen), STEP, DIM)
-        d_share = np.matmul(d_heard, self.v[seen].transpose(0, 2, 1))
+        d_share = np.matmul(d_heard, self.v.take(seen, axis=0).transpose(0, 2, 1))
         d_v = np.matmul(share.transpose(0, 2, 1), d_heard)
         d_score = share * (d_share - (share * d_share).sum(2, keepdims=True))
         g["distance"] = np.bincount(self.back[~self.future], d_score.sum(0)[~self.future], WIDTH).astype(np.float32)
-        q, k = self.q[seen[:, BEFORE:]], self.k[seen]
+        q, k = self.q.take(seen[:, BEFORE:], axis=0), self.k.take(seen, axis=0)
         d_q = np.matmul(d_score, k).reshape(-1, KEY) * np.float32(KEY**-0.5)
         d_k = np.matmul(d_score.transpose(0, 2, 1), q).reshape(-1, KEY)
         d_v = d_v.reshape(-1, DIM)
-        e_own, e_seen = w["embed"][last], w["embed"][seen.ravel()]
+        e_own, e_seen = w["embed"].take(last, axis=0), w["embed"].take(seen.ravel(), axis=0)
         g["query"] = e_own.T @ d_q
         g["key"] = e_seen.T @ d_k
         g["value"] = e_seen.T @ d_v
@@ -195,22 +196,24 @@ def _log_share(logits: np.ndarray, chosen: np.ndarray, sharp: bool) -> np.ndarra
     return picked - np.log(np.exp(logits, out=logits) @ np.ones(logits.shape[1], np.float32))
 
 
-def _off_target(logits: np.ndarray, chosen: np.ndarray, n: int) -> float:
+def _off_target(logits: np.ndarray, chosen: np.ndarray, n: int, sharp: bool) -> float:
     """Logits to the gradient of the mean negative log share, in place; the sum of the negative logs."""
-    logits -= logits.max(1, keepdims=True)
+    if sharp:
+        logits -= logits.max(1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
-    rows = np.arange(chosen.size)
-    loss = -float(np.log(np.maximum(logits[rows, chosen], 1e-30)).sum())
-    logits[rows, chosen] -= 1
-    logits /= n
+    total = logits @ np.ones(logits.shape[1], np.float32)
+    flat, picked = logits.reshape(-1), np.arange(chosen.size) * logits.shape[1] + chosen
+    loss = -float(np.log(np.maximum(flat.take(picked) / total, 1e-30)).sum())
+    logits *= (1 / (total * np.float32(n)))[:, None]
+    flat[picked] -= np.float32(1 / n)
     return loss
 
 
 def add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    order = np.argsort(at, kind="stable")
-    values, begin = np.unique(at[order], return_index=True)
-    out[values] += np.add.reduceat(rows[order], begin, axis=0)
+    order = np.argsort(at.astype(np.uint16), kind="stable")  # a radix sort
+    ordered = at[order]
+    begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    out[ordered[begin]] += np.add.reduceat(rows.take(order, axis=0), begin, axis=0)
 
 
 class Adam:

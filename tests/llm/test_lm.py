@@ -206,3 +206,21 @@ def test_block_scores_equal_plain_loops():
         slots = [net.OPENS, *[int(slot[i]) for i in [*own, lm.END_ID]]]
         logs = [plain_log_prob(n, slots, t) for t in range(len(own) + 1)] + [rest[i] for i in own if slot[i] == lm.REST]
         assert got[k] == pytest.approx(sum(logs) / math.log(10), rel=1e-4)
+
+
+def test_every_window_of_the_training_texts_trains():
+    """Long and short texts, in and out of the held part: the count that the weights are averaged by is that of all windows."""
+    import pyarrow as pa
+
+    schema = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int32())), *[(c, pa.binary()) for c in ("words", "names", "pieces", "piece_counts")]])
+    texts = ["the cat sat on the mat " * k for k in range(0, 400, 7)]
+    held_out = [k % 3 == 0 for k in range(len(texts))]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "held": held_out, "text": texts})
+    block = lm._block(batch, 0, lm.Pieces(MODEL), schema)
+    one = lm.Texts(block.to_pylist()[0])
+    _, lengths = one.stream(~one.held)
+    slot, rest = lm.slots_of(np.zeros(lm.IDS, np.int64))
+    model = lm.Model(slot, rest, np.zeros((net.SLOTS + 1, net.SLOTS)), net.first_weights())
+    (out,) = lm._trained([block], model)
+    got = dict(zip(out.column("key").to_pylist(), out.column("numbers").to_pylist(), strict=True))
+    assert np.frombuffer(got[-1], "<f8").tolist() == [sum(-(-int(n) // net.STEP) for n in lengths)]
