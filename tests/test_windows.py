@@ -118,6 +118,27 @@ def test_stream_velocity_equals_brute_force_for_any_split(spark, batches):
     assert out.filter("is_late").count() == 0
 
 
+def test_stream_velocity_groups_uids_in_buckets(spark):
+    """What reaches the keyed state is a row for each task's bucket, however many uids there are; every column comes back as it was."""
+    rows = spark.range(4000).selectExpr(
+        "id AS offset", "id AS TransactionID", "concat('u', id % 2000) AS uid", "id * 1000000 AS event_us", "CAST(id % 7 AS DOUBLE) AS TransactionAmt",
+        "IF(id % 3 = 0, NULL, 9007199254740993 + id) AS big", "array(id, NULL) AS list", "CAST(id AS DECIMAL(38, 2)) / 4 AS exact",
+        "timestamp_micros(id) AS at", "CAST(concat('b', id) AS BINARY) AS body", "IF(id % 11 = 0, 'bad', NULL) AS reject_reason",
+    )
+    root = scratch_dir(spark, "stream-buckets")
+    rows.repartition(2).write.parquet(f"{root}/log")
+    stored = spark.read.parquet(f"{root}/log")
+    packed = stateful.pieces(stored.coalesce(1), F.col("uid").isNotNull(), "uid", "event_us", "TransactionAmt", "TransactionID", "offset")
+    assert packed.count() <= stateful.BUCKETS
+    stream = filelog.read_stream(spark, f"{root}/log", stored.schema)
+    sinks.drain_to_files(stateful.velocity_on_stream(stream, rejected="reject_reason"), f"{root}/cp", f"{root}/out")
+    out = spark.read.parquet(f"{root}/out")
+    assert out.select(*rows.columns).schema == stored.schema and out.count() == 4000
+    assert out.select(*rows.columns).exceptAll(stored).isEmpty()
+    good = add_velocity(stored.filter("reject_reason IS NULL"))
+    assert out.filter("reject_reason IS NULL").drop("is_late").select(*good.columns).exceptAll(good).isEmpty()
+
+
 def test_stream_velocity_marks_late_events_and_passes_rejects(spark):
     day = 86_400_000_000
     root = scratch_dir(spark, "stream-late")
