@@ -14,6 +14,7 @@ left in company is counted string by string.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -167,17 +168,19 @@ def _cut(rows: DataFrame, repeats: Repeats) -> DataFrame:
 
     def step(batch):
         regions: dict[bytes, list] = {}
-        for doc, mark, text, filed, copies in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
-            body = text.as_buffer()
-            for x in filed:
-                place = x["place"]
+        edges, filed = batch.column(3).offsets.to_numpy(), batch.column(3).flatten()  # objects for one text's regions at a time
+        grams, places = (filed.field(name).to_numpy() for name in ("gram", "place"))
+        edges = edges - edges[0]
+        for k, (doc, mark, text, copies) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(4).to_pylist(), strict=True)):
+            body, own = text.as_buffer(), slice(edges[k], edges[k + 1])
+            for gram, place in zip(grams[own].tolist(), places[own].tolist(), strict=True):
                 start, span, offset = place >> 16, place >> 8 & 0xFF, place & 0xFF
                 content = body[start : start + span + more].to_pybytes()
                 name = xxhash.xxh3_128_digest(content + bytes([offset]))
                 known = regions.get(name)
                 if known is None:
-                    known = regions[name] = [x["gram"], span, offset, content, [], 0]
-                known[4].append((doc, mark, start))
+                    known = regions[name] = [gram, span, offset, content, array("q"), 0]
+                known[4].extend((doc, mark, start))
                 known[5] += copies
         names = np.frombuffer(b"".join(regions), "<i8").reshape(-1, 2)
         values = list(regions.values())
@@ -190,7 +193,7 @@ def _cut(rows: DataFrame, repeats: Repeats) -> DataFrame:
                 pa.array([v[2] for v in values], pa.int32()),
                 pa.array([v[5] for v in values], pa.int64()),
                 pa.array([v[3] for v in values], pa.binary()),
-                pa.array([np.array(v[4], "<i8").tobytes() for v in values], pa.binary()),
+                pa.array([v[4].tobytes() for v in values], pa.binary()),
             ],
             names=["gram", "name_a", "name_b", "span", "offset", "n", "content", "found"],
         )
