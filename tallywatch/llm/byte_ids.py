@@ -90,7 +90,11 @@ class ByteIds:
         word = piece[:-1]
         if word.isalpha() and not piece[-1].isalnum() and not piece[-1].isspace() and piece[-1].isascii():
             return self.after_space[word] + self.pretoken[piece[-1]]
-        return b"".join(map(self.pretoken.__getitem__, self.find(" " + piece)))
+        parts = self.find(" " + piece)
+        word = parts[0][1:]
+        if word.isalpha() and len(parts) > 1:  # the word may be known without what follows it
+            return self.after_space[word] + b"".join(map(self.pretoken.__getitem__, parts[1:]))
+        return b"".join(map(self.pretoken.__getitem__, parts))
 
     def encode(self, text: str) -> bytes:
         """Ids of ``text`` as little-endian 16-bit integers."""

@@ -71,6 +71,11 @@ class Plane:
 POPCOUNT = np.array([bin(b).count("1") for b in range(256)], np.int64)
 
 
+def _zeros_ones(bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of either bit: such lists cost the same whatever the bits are, while masks slow down where they mix."""
+    return np.flatnonzero(~bit), np.flatnonzero(bit)
+
+
 class WaveletMatrix:
     """Rank and select over the planes of one shard."""
 
@@ -82,28 +87,33 @@ class WaveletMatrix:
         """``ids``: unsigned integers below ``2 ** width``."""
         planes, now = [], ids
         for shift in range(width - 1, -1, -1):
-            bit = (now >> shift & 1).astype(bool)
+            bit = (now & now.dtype.type(1 << shift)) != 0
             packed = np.packbits(bit)
             padded = np.zeros(-(-packed.size // (RANK_BITS // 8)) * (RANK_BITS // 8) + RANK_BITS // 8, np.uint8)
             padded[: packed.size] = packed
             each = np.bitwise_count(padded.view(np.uint64)).reshape(-1, RANK_BITS // 64).sum(axis=1, dtype=np.int64)
             ranks = np.zeros(each.size, np.uint32)
             np.cumsum(each[:-1], out=ranks[1:], dtype=np.uint32)
-            zero = now[~bit]
+            zero, one = _zeros_ones(bit)
             planes.append(Plane(zero.size, ranks, padded))
-            now = np.concatenate([zero, now[bit]])
+            then = np.empty_like(now)
+            now.take(zero, out=then[: zero.size], mode="clip")
+            now.take(one, out=then[zero.size :], mode="clip")
+            now = then
         return cls(ids.size, planes)
 
     def all(self, dtype=np.uint32) -> np.ndarray:
         """Every id in order, by undoing the planes from the last to the first."""
-        low = np.zeros(self.n, dtype)
+        kind = np.uint16 if len(self.planes) <= 16 else dtype
+        low = np.zeros(self.n, kind)
         for k, plane in enumerate(reversed(self.planes)):
             bit = np.unpackbits(plane.packed, count=self.n).view(bool)
-            out = np.empty(self.n, dtype)
-            out[~bit] = low[: plane.zeros]
-            out[bit] = low[plane.zeros :] | dtype(1 << k)
+            zero, one = _zeros_ones(bit)
+            out = np.empty(self.n, kind)
+            out[zero] = low[: plane.zeros]
+            out[one] = low[plane.zeros :] | kind(1 << k)
             low = out
-        return low
+        return low.astype(dtype, copy=False)
 
     def access(self, at: int) -> int:
         value = 0

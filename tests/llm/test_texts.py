@@ -75,6 +75,22 @@ def test_byte_ids_equal_the_library(tokenizer):
         assert np.frombuffer(ours.encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_known_words_are_not_encoded_again_with_what_follows_them(tokenizer):
+    """Round 3: a word before several other signs was given to the library anew for each of them."""
+    ours, asked = byte_ids.ByteIds(BYTE_BPE), []
+    library = ours.model
+
+    class Counted:
+        def tokenize(self, text):
+            asked.append(text)
+            return library.tokenize(text)
+
+    ours.model = Counted()
+    text = "a streha streha,### streha$$$ streha's streha\nstreha"
+    assert np.frombuffer(ours.encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert asked.count(ours.space + "streha") == 1
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 1024, 1025, 40_000])
 def test_wavelet_matrix(n):
     rng = np.random.default_rng(n)
