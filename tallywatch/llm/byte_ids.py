@@ -8,15 +8,17 @@ whole texts wherever runs of white space make such a cut unsafe.
 from __future__ import annotations
 
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import regex
 
+from tallywatch.llm.tables import kept_by_worker
+
 # The byte-level pre-token pattern, as every file of this kind uses it.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 RECENT = 400_000  # pieces a worker keeps in each of two generations
+COUNTED = 200_000  # the same where only numbers of ids are asked for
 
 
 def byte_characters() -> str:
@@ -76,14 +78,24 @@ class ByteIds:
         self.pretoken = Recent(self._pretoken, limit)
         self.after_space = Recent(self._after_space, limit)
 
+    @staticmethod
+    def _of(tokens: list) -> bytes:
+        return array("H", [t.id for t in tokens]).tobytes()
+
+    @staticmethod
+    def _whole(ids: list[int]) -> bytes:
+        return np.array(ids, "<u2").tobytes()
+
+    _joined = staticmethod(b"".join)
+
     def _pretoken(self, pretoken: str) -> bytes:
         mapped = pretoken.encode().decode("latin-1").translate(self.stand_in)
-        return array("H", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+        return self._of(self.model.tokenize(mapped))
 
     def _after_space(self, piece: str) -> bytes:
         if piece.isalpha():
             if piece.isascii():
-                return array("H", [t.id for t in self.model.tokenize(self.space + piece)]).tobytes()
+                return self._of(self.model.tokenize(self.space + piece))
             return self._pretoken(" " + piece)
         if not piece or piece[0].isspace():
             raise Unsafe
@@ -93,26 +105,32 @@ class ByteIds:
         parts = self.find(" " + piece)
         word = parts[0][1:]
         if word.isalpha() and len(parts) > 1:  # the word may be known without what follows it
-            return self.after_space[word] + b"".join(map(self.pretoken.__getitem__, parts[1:]))
-        return b"".join(map(self.pretoken.__getitem__, parts))
+            return self.after_space[word] + self._joined(map(self.pretoken.__getitem__, parts[1:]))
+        return self._joined(map(self.pretoken.__getitem__, parts))
 
     def encode(self, text: str) -> bytes:
         """Ids of ``text`` as little-endian 16-bit integers."""
         if not text:
-            return b""
+            return self._joined(())
         try:
             if any(s in text for s in self.specials):
                 raise Unsafe
             first, *rest = text.split(" ")
-            out = b"".join(map(self.pretoken.__getitem__, self.find(first))) + b"".join(map(self.after_space.__getitem__, rest))
+            out = self._joined(map(self.pretoken.__getitem__, self.find(first))) + self._joined(map(self.after_space.__getitem__, rest))
         except Unsafe:
-            out = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+            out = self._whole(self.tokenizer.encode(text, add_special_tokens=False).ids)
         self.pretoken.trim()
         self.after_space.trim()
         return out
 
 
-@lru_cache(maxsize=2)
-def worker_encoder(path: str) -> ByteIds:
-    """The encoder of this worker, with what it remembers of earlier tasks."""
-    return ByteIds(path)
+class ByteCounts(ByteIds):
+    """Numbers of ids instead of ids: ``encode`` tells how many a text has, and the memos hold small numbers."""
+
+    _of = _whole = staticmethod(len)
+    _joined = staticmethod(sum)
+
+
+def worker_counts(path: str) -> ByteCounts:
+    """The counter of this worker, with what it remembers of earlier tasks of the same operator."""
+    return kept_by_worker(("counts", path), lambda: ByteCounts(path, COUNTED))

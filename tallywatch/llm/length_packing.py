@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallywatch.llm.byte_ids import worker_encoder
+from tallywatch.llm.byte_ids import worker_counts
 from tallywatch.llm.tables import map_batches, stored, text_or_empty
 
 
@@ -64,10 +64,10 @@ def token_lengths(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
     """``doc_id, n_tokens``: ids of every whole text and one end id; a null text has the end id only."""
 
     def start():
-        encoder = worker_encoder(tokenizer)
+        counts = worker_counts(tokenizer)
 
         def step(batch):
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(encoder.encode(t.as_py())) // 2 + 1 for t in batch.column(1)], pa.int64())], names=["doc_id", "n_tokens"])
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([counts.encode(t.as_py()) + 1 for t in batch.column(1)], pa.int64())], names=["doc_id", "n_tokens"])
 
         return step
 

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tallywatch.llm import byte_ids, compression_quality, html_extract, length_packing, piece_bpe, token_counts, wavelet_ids
+from tallywatch.llm import byte_ids, compression_quality, html_extract, length_packing, piece_bpe, tables, token_counts, wavelet_ids
 from tallywatch.llm.tables import table
 from tallywatch.session import scratch_dir
 
@@ -196,6 +196,29 @@ def test_packing_holds_every_token_once(spark, sf_dir, tokenizer):
     assert not_full <= len(slices)
 
 
+def test_counts_are_those_of_the_ids_and_are_all_that_is_kept():
+    """Round 3: packing kept the ids of every piece, though it only counts them."""
+    counts, ids = byte_ids.ByteCounts(BYTE_BPE, limit=300), byte_ids.ByteIds(BYTE_BPE)
+    for text in ["", *drawn(5, 3000)]:
+        assert counts.encode(text) == len(ids.encode(text)) // 2, repr(text)
+    assert all(type(n) is int for memo in (counts.pretoken, counts.after_space) for n in [*memo.values(), *memo.older.values()])
+
+
+def test_workers_drop_what_another_operator_kept():
+    """Round 3: an encoder's memo stayed in the workers throughout the pipeline's other stages."""
+    made = []
+
+    def task(*keys):
+        with tables._same_operator():
+            return [tables.kept_by_worker(k, lambda k=k: made.append(k) or [k]) for k in keys]
+
+    first, again, _, later = task("a"), task("a"), task(), task("a", "b", "a")
+    assert first[0] is again[0] and later[0] is later[2] and later[0] is not first[0]
+    assert made == ["a", "a", "b"] and not tables._former
+    task()
+    assert not tables._kept
+
+
 def test_packing_of_awkward_rows(spark):
     rows = [(1, 5), (1, 5), (None, 7), (2, 0), (3, None), (4, 300)]
     got = length_packing.pack(spark.createDataFrame(rows, "doc_id long, n_tokens long"), length_packing.Packing(longest=100)).collect()
