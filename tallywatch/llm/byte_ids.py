@@ -1,7 +1,8 @@
 """Byte-level BPE ids of whole texts, one pre-token run at a time.
 
 A space that follows a non-space always starts a new pre-token, so a text is cut at its spaces and each
-piece is encoded once per worker. The tokenizers library encodes what the worker has not seen lately, and
+piece is encoded once per worker; so does a sign between a letter and white space, and is cut off, lest every word be kept
+once for each sign after it. The tokenizers library encodes what the worker has not seen lately, and
 whole texts wherever runs of white space make such a cut unsafe.
 """
 
@@ -19,6 +20,9 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 RECENT = 400_000  # pieces a worker keeps in each of two generations
 COUNTED = 200_000  # the same where only numbers of ids are asked for
+GLUED = "\0"  # opens a piece that follows no space
+#: Signs that are cut off where a letter is before them; what they become; whether a letter must follow too.
+SIGNS = ((", ", f" {GLUED}, ", False), (". ", f" {GLUED}. ", False), (".\n", f" {GLUED}.\n {GLUED}", True))
 
 
 def byte_characters() -> str:
@@ -59,6 +63,15 @@ class Unsafe(Exception):
     """The text cannot be cut at this space."""
 
 
+def _signs_apart(text: str) -> str:
+    """The text with its ``SIGNS`` as pieces of their own; a kind that stands anywhere else in it stays as it is."""
+    for sign, apart, letters in SIGNS:
+        parts = text.split(sign)
+        if all(map(str.isalpha, [p[-1:] for p in parts[:-1]])) and not (letters and not all(map(str.isalpha, [p[:1] for p in parts[1:]]))):
+            text = apart.join(parts)
+    return text
+
+
 class ByteIds:
     """Encoder of one worker. ``path``: a tokenizers file with byte-level pre-tokens and at most 65,536 ids."""
 
@@ -99,6 +112,8 @@ class ByteIds:
             return self._pretoken(" " + piece)
         if not piece or piece[0].isspace():
             raise Unsafe
+        if piece[0] == GLUED:
+            return self._joined(map(self.pretoken.__getitem__, self.find(piece[1:])))
         word = piece[:-1]
         if word.isalpha() and not piece[-1].isalnum() and not piece[-1].isspace() and piece[-1].isascii():
             return self.after_space[word] + self.pretoken[piece[-1]]
@@ -113,9 +128,9 @@ class ByteIds:
         if not text:
             return self._joined(())
         try:
-            if any(s in text for s in self.specials):
+            if GLUED in text or any(s in text for s in self.specials):
                 raise Unsafe
-            first, *rest = text.split(" ")
+            first, *rest = _signs_apart(text).split(" ")
             out = self._joined(map(self.pretoken.__getitem__, self.find(first))) + self._joined(map(self.after_space.__getitem__, rest))
         except Unsafe:
             out = self._whole(self.tokenizer.encode(text, add_special_tokens=False).ids)

@@ -94,8 +94,10 @@ class WaveletMatrix:
             each = np.bitwise_count(padded.view(np.uint64)).reshape(-1, RANK_BITS // 64).sum(axis=1, dtype=np.int64)
             ranks = np.zeros(each.size, np.uint32)
             np.cumsum(each[:-1], out=ranks[1:], dtype=np.uint32)
+            planes.append(Plane(bit.size - int(np.count_nonzero(bit)), ranks, padded))
+            if not shift:
+                break  # nothing reads the order that the last plane makes
             zero, one = _zeros_ones(bit)
-            planes.append(Plane(zero.size, ranks, padded))
             then = np.empty_like(now)
             now.take(zero, out=then[: zero.size], mode="clip")
             now.take(one, out=then[zero.size :], mode="clip")
@@ -108,6 +110,9 @@ class WaveletMatrix:
         low = np.zeros(self.n, kind)
         for k, plane in enumerate(reversed(self.planes)):
             bit = np.unpackbits(plane.packed, count=self.n).view(bool)
+            if not k:
+                low = bit.astype(kind)
+                continue
             zero, one = _zeros_ones(bit)
             out = np.empty(self.n, kind)
             out[zero] = low[: plane.zeros]

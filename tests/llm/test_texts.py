@@ -91,6 +91,20 @@ def test_known_words_are_not_encoded_again_with_what_follows_them(tokenizer):
     assert asked.count(ours.space + "streha") == 1
 
 
+def test_words_are_kept_without_the_signs_after_them(tokenizer):
+    """Round 3: a worker kept a word once for each sign and each next line after it, which pushed other words out."""
+    ours, rng = byte_ids.ByteIds(BYTE_BPE), random.Random(8)
+    text = "a streha, streha. streha.\nStreha, streha b"
+    assert np.frombuffer(ours.encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert [piece for piece in ours.after_space if "streha" in piece] == ["streha"]
+    parts = [", ", ". ", ".\n", "a", "b", "\u00e9", "\u0301", " ", "  ", "\n", "\0", "1", "'s", "'", ".", ",", "!", "\u6f22", "\u3000", "..."]
+    counts = byte_ids.ByteCounts(BYTE_BPE)
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 20)))
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ours.encode(text), "<u2").tolist() == want and counts.encode(text) == len(want), repr(text)
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 1024, 1025, 40_000])
 def test_wavelet_matrix(n):
     rng = np.random.default_rng(n)
