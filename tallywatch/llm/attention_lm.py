@@ -19,6 +19,7 @@ from array import array
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -67,11 +68,9 @@ class Pieces:
         """The ids of all words end to end, and how many each has."""
         ids, counts = array("H"), np.empty(len(words), np.int64)
         for k in range(0, len(words), 4096):
-            part = self.library.encode(words[k : k + 4096], num_threads=1)
-            for n, own in enumerate(part, k):
-                own = own or [NO_ID]
-                ids.extend(own)
-                counts[n] = len(own)
+            part = [own or [NO_ID] for own in self.library.encode(words[k : k + 4096], num_threads=1)]
+            ids.extend(chain.from_iterable(part))
+            counts[k : k + len(part)] = [len(own) for own in part]
         return np.array(ids, "<u2"), counts
 
 
@@ -103,14 +102,14 @@ def _block(batch: pa.RecordBatch, name: int, pieces: Pieces, schema: pa.Schema)
     there = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)  # the cut leaves empty ends
     lengths = np.diff(np.concatenate([[0], np.cumsum(there)])[offsets - offsets[0]])
     coded = words.filter(pa.array(there)).dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False)
     digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(w) for w in distinct]), ">u8").reshape(-1, 2)
     order = np.lexsort((digests[:, 1] >> np.uint64(32), digests[:, 0]))
     rank = np.empty(order.size, "<u4")
     rank[order] = np.arange(order.size)
     names = np.empty(order.size, NAME)
     names["high"], names["low"] = digests[order, 0], digests[order, 1] >> np.uint64(32)
-    ids, counts = pieces.of([distinct[k] for k in order])
+    ids, counts = pieces.of(distinct[order].tolist())
     row = {
         "block": name,
         "doc_ids": batch.column("doc_id").to_pylist(),
@@ -409,7 +408,7 @@ def log10_probs(texts: Texts, model: Model, ready: net.Net) -> np.ndarray:
         seen, want = net.window_slots(stream, begin, text[w], first[w])
         valid = np.flatnonzero((np.arange(net.STEP)[None, :] < n[w][:, None]).ravel())
         state = ready.hidden(seen, first[w] == 0)
-        logs = ready.log_probs(state[valid], seen[:, net.BEFORE :].ravel()[valid], want.ravel()[valid])
+        logs = ready.log_probs(state.take(valid, axis=0), seen[:, net.BEFORE :].ravel().take(valid), want.ravel().take(valid))
         out += np.bincount(np.repeat(text[w], n[w]), logs, lengths.size)
     rare = np.flatnonzero(stream == REST)
     out += np.bincount(np.searchsorted(begin, rare, side="right") - 1, model.rest[ids[rare]], lengths.size)

@@ -95,7 +95,7 @@ class Net:
         self.sharp = not most <= SHARPEST  # else no exponent of attention can leave the range
 
     def hidden(self, seen: np.ndarray, opening: np.ndarray, keep: bool = False):
-        """State after each scored position. ``seen``: (windows, WIDTH) slots, ``opening``: windows without positions before them."""
+        """State after each scored position; with ``keep`` also what the gradients need. ``seen``: (windows, WIDTH) slots, ``opening``: windows without positions before them."""
         flat = seen[:, BEFORE:].ravel()
         q = self.q.take(flat, axis=0).reshape(len(seen), STEP, KEY)
         k = self.k.take(seen.ravel(), axis=0).reshape(len(seen), WIDTH, KEY)
@@ -116,7 +116,10 @@ class Net:
         state = mixed @ self.w["mix_out"]
         state += heard
         state += self.w["embed"].take(flat, axis=0)
-        return (state, score / total, heard, mixed) if keep else state
+        if not keep:
+            return state
+        score /= total
+        return state, score, heard, mixed, q, k, v[:, :, :DIM]
 
     def log_probs(self, state: np.ndarray, last: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of each ``target`` slot after ``last``, given the state."""
@@ -140,15 +143,15 @@ class Net:
     def gradients(self, seen: np.ndarray, opening: np.ndarray, valid: np.ndarray, target: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log probability of the valid positions, and its gradients."""
         w, n = self.w, max(int(valid.sum()), 1)
-        state, share, heard, mixed = self.hidden(seen, opening, keep=True)
-        last = seen[:, BEFORE:].ravel()
+        state, share, heard, mixed, q, k, v = self.hidden(seen, opening, keep=True)
+        last, want = seen[:, BEFORE:].ravel(), target.ravel()
         at = np.flatnonzero(valid.ravel())
-        s, prev, want = state[at], last[at], target.ravel()[at]
-        group = want // WITHIN
+        group = want.take(at) // WITHIN
         g = {name: np.zeros(SHAPES[name], np.float32) for name in ("embed", "within")}
-        sharp = not np.abs(s).max(initial=0) * self.widest <= SHARPEST  # else no exponent can leave the range
         order = np.argsort(group.astype(np.uint8), kind="stable")
-        at, s, prev, group, place = at[order], s[order], prev[order], group[order], want[order] % WITHIN
+        at, group = at.take(order), group.take(order)
+        s, prev, place = state.take(at, axis=0), last.take(at), want.take(at) % WITHIN
+        sharp = not np.abs(s).max(initial=0) * self.widest <= SHARPEST  # else no exponent can leave the range
         cuts = np.searchsorted(group, np.arange(CLASSES + 1))
         p = s @ w["classes"]
         p += self.class_table.take(prev, axis=0)
@@ -165,27 +168,35 @@ class Net:
             ds[rows] += p[rows] @ w["within"][c].T
         d = np.zeros_like(state)
         d[at] = ds
-        d_mixed = (d @ w["mix_out"].T) * (mixed > 0)
+        d_mixed = d @ w["mix_out"].T
+        d_mixed *= mixed > 0
+        e_own, e_seen = w["embed"].take(last, axis=0), w["embed"].take(seen.ravel(), axis=0)
         g["mix_out"] = mixed.T @ d
         g["mix_bias"] = d_mixed.sum(0)
-        g["mix_own"] = w["embed"][last].T @ d_mixed
+        g["mix_own"] = e_own.T @ d_mixed
         g["mix_seen"] = heard.T @ d_mixed
-        d_embed_own = d + d_mixed @ w["mix_own"].T
-        d_heard = (d + d_mixed @ w["mix_seen"].T).reshape(len(seen), STEP, DIM)
-        d_share = np.matmul(d_heard, self.v.take(seen, axis=0).transpose(0, 2, 1))
+        d_embed_own = d_mixed @ w["mix_own"].T
+        d_embed_own += d
+        d_heard = d_mixed @ w["mix_seen"].T
+        d_heard += d
+        d_heard = d_heard.reshape(len(seen), STEP, DIM)
+        d_score = np.matmul(d_heard, v.transpose(0, 2, 1))
         d_v = np.matmul(share.transpose(0, 2, 1), d_heard)
-        d_score = share * (d_share - (share * d_share).sum(2, keepdims=True))
+        d_score -= (share * d_score).sum(2, keepdims=True)
+        d_score *= share
         g["distance"] = np.bincount(self.back[~self.future], d_score.sum(0)[~self.future], WIDTH).astype(np.float32)
-        q, k = self.q.take(seen[:, BEFORE:], axis=0), self.k.take(seen, axis=0)
-        d_q = np.matmul(d_score, k).reshape(-1, KEY) * np.float32(KEY**-0.5)
+        d_q = np.matmul(d_score, k).reshape(-1, KEY)
+        d_q *= np.float32(KEY**-0.5)
         d_k = np.matmul(d_score.transpose(0, 2, 1), q).reshape(-1, KEY)
         d_v = d_v.reshape(-1, DIM)
-        e_own, e_seen = w["embed"].take(last, axis=0), w["embed"].take(seen.ravel(), axis=0)
         g["query"] = e_own.T @ d_q
         g["key"] = e_seen.T @ d_k
         g["value"] = e_seen.T @ d_v
-        add_rows(g["embed"], last, d_embed_own + d_q @ w["query"].T)
-        add_rows(g["embed"], seen.ravel(), d_k @ w["key"].T + d_v @ w["value"].T)
+        d_embed_own += d_q @ w["query"].T
+        add_rows(g["embed"], last, d_embed_own)
+        d_embed_seen = d_k @ w["key"].T
+        d_embed_seen += d_v @ w["value"].T
+        add_rows(g["embed"], seen.ravel(), d_embed_seen)
         return float(loss) / n, g
 
 
@@ -219,16 +230,19 @@ def add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
 class Adam:
     def __init__(self, weights: dict[str, np.ndarray], rate: float):
         self.rate, self.t = rate, 0
-        self.m = {k: np.zeros_like(v) for k, v in weights.items()}
-        self.s = {k: np.zeros_like(v) for k, v in weights.items()}
+        self.m, self.s = (np.zeros(sum(v.size for v in weights.values()), np.float32) for _ in range(2))
 
     def step(self, weights: dict[str, np.ndarray], g: dict[str, np.ndarray], rate: float | None = None) -> None:
+        """All weights move at once, as one list of numbers."""
         self.t += 1
         pace = (rate or self.rate) * (1 - 0.999**self.t) ** 0.5 / (1 - 0.9**self.t)
-        for k, v in weights.items():
-            self.m[k] += 0.1 * (g[k] - self.m[k])
-            self.s[k] += 0.001 * (g[k] ** 2 - self.s[k])
-            v -= np.float32(pace) * self.m[k] / (np.sqrt(self.s[k]) + 1e-8)
+        flat = np.concatenate([g[k].ravel() for k in weights])
+        self.m += 0.1 * (flat - self.m)
+        self.s += 0.001 * (flat**2 - self.s)
+        change, at = np.float32(pace) * self.m / (np.sqrt(self.s) + 1e-8), 0
+        for v in weights.values():
+            v -= change[at : at + v.size].reshape(v.shape)
+            at += v.size
 
 
 def window_slots(slots: np.ndarray, begin: np.ndarray, text: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

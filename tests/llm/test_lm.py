@@ -103,6 +103,41 @@ def test_gradients_equal_differences():
         assert g[name][at] == pytest.approx((losses[0] - losses[1]) / 2e-2, rel=0.05, abs=2e-4), name
 
 
+class Counted(np.ndarray):
+    """An array that counts its gathers."""
+
+    gathers: Counter = Counter()
+
+    def take(self, *args, **kwargs):
+        Counted.gathers[id(self)] += 1
+        return np.asarray(self).take(*args, **kwargs)
+
+
+def test_a_step_gathers_queries_keys_and_values_once():
+    n, rng = some_net(), np.random.default_rng(4)
+    seen, want = rng.integers(0, net.SLOTS, (5, net.WIDTH)), rng.integers(0, net.SLOTS, (5, net.STEP))
+    opening, valid = np.arange(5) == 2, rng.random((5, net.STEP)) < 0.8
+    loss, plain = n.gradients(seen, opening, valid, want)
+    tables = n.q, n.k, n.v, n.v_one = [x.view(Counted) for x in (n.q, n.k, n.v, n.v_one)]
+    Counted.gathers.clear()
+    again, g = n.gradients(seen, opening, valid, want)
+    assert [Counted.gathers[id(x)] for x in tables] == [1, 1, 0, 1]
+    assert again == loss and all(np.array_equal(g[name], plain[name]) for name in net.SHAPES)
+
+
+def test_adam_moves_each_weight_by_the_formula():
+    rng, w = np.random.default_rng(6), weights()
+    plain, adam = {k: v.astype(np.float64) for k, v in w.items()}, net.Adam(w, 1e-2)
+    m, s = ({k: np.zeros(v.shape) for k, v in w.items()} for _ in range(2))
+    for t in range(1, 6):
+        g = {k: rng.normal(0, 1, w[k].shape).astype(np.float32) for k in reversed(net.SHAPES)}
+        adam.step(w, g)
+        for k in plain:
+            m[k], s[k] = 0.9 * m[k] + 0.1 * g[k], 0.999 * s[k] + 0.001 * g[k].astype(np.float64) ** 2
+            plain[k] -= 1e-2 * (1 - 0.999**t) ** 0.5 / (1 - 0.9**t) * m[k] / (np.sqrt(s[k]) + 1e-8)
+    assert all(w[k] == pytest.approx(plain[k], abs=1e-4) for k in plain)
+
+
 def test_training_learns_what_pairs_cannot_tell():
     """The slot two places back decides the next one."""
     rng = np.random.default_rng(5)
